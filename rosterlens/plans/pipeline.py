@@ -1,0 +1,104 @@
+"""End-to-end jobs: extract -> clean -> build keyed relations -> load -> counts,
+and the full refresh (schema, tables, views)."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from rosterlens.operators.integrity import relation_counts
+from rosterlens.plans import reports
+from rosterlens.plans.clean import clean_profiles
+from rosterlens.plans.model import Relations, build_relations
+from rosterlens.schema import CHARACTER_COLUMNS
+from rosterlens.session import use_utc
+from rosterlens.sources import csv_landing, sinks
+
+LOAD_COLUMNS = {
+    "character": ["char_id", *CHARACTER_COLUMNS, "is_multiclass"],
+    "character_class": ["class_id", "char_id", "class", "subclass", "level"],
+    "character_feats": ["feat_id", "char_id", "feat"],
+}
+
+
+@dataclass
+class Settings:
+    """Where data comes from and goes to (no credentials in code: JDBC
+    properties are passed in by the caller)."""
+    source: str | None = None          # CSV file or folder
+    landing: str | None = None         # Parquet landing folder
+    database: str = "characters"       # catalog database of the tables
+    sample_rows: int | None = None
+    timestamp_format: str | None = None
+    buckets: int | None = None         # bucket the tables on char_id
+    jdbc_url: str | None = None
+    jdbc_properties: dict = field(default_factory=dict)
+
+
+def extract(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Land the CSV once (if a landing folder is given) and return the usable
+    raw rows, optionally only the first ``sample_rows``."""
+    if settings.landing:
+        csv_landing.land_csv(spark, settings.source, settings.landing)
+        raw = csv_landing.read_landed(spark, settings.landing)
+    else:
+        raw = csv_landing.read_profile_csv(spark, settings.source)
+        raw = raw.where(raw[csv_landing.STATUS] == csv_landing.OK).drop(csv_landing.STATUS)
+    return csv_landing.sample_rows(raw, settings.sample_rows)
+
+
+def transform(raw: DataFrame, settings: Settings | None = None) -> Relations:
+    fmt = settings.timestamp_format if settings else None
+    return build_relations(clean_profiles(raw, fmt), keyed=True)
+
+
+def load(spark: SparkSession, rels: Relations, settings: Settings) -> None:
+    """Full refresh of the three tables (catalog, or JDBC when a URL is set)."""
+    if settings.jdbc_url:
+        for name, df in rels.as_dict().items():
+            sinks.write_jdbc(sinks.sink_rows(df, LOAD_COLUMNS[name]), settings.jdbc_url,
+                             f"{settings.database}.{name}", settings.jdbc_properties)
+        return
+    sinks.write_relations(rels.as_dict(), settings.database, LOAD_COLUMNS, buckets=settings.buckets)
+
+
+def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
+    """Extract, transform, load; returns rows per loaded relation (three
+    numbers come back to the driver)."""
+    use_utc(spark)
+    rels = transform(extract(spark, settings), settings)
+    load(spark, rels, settings)
+    loaded = Relations(*(spark.table(f"`{settings.database}`.`{n}`") for n in LOAD_COLUMNS)) \
+        if not settings.jdbc_url else rels
+    return {r["relation"]: r["rows"] for r in relation_counts(loaded.as_dict()).collect()}
+
+
+def view_builders(rels: Relations):
+    """The reporting views in dependency order."""
+    return [
+        ("vw_class_popularity", lambda: reports.class_popularity(rels)),
+        ("vw_race_popularity", lambda: reports.race_popularity(rels)),
+        ("vw_multiclass_count", lambda: reports.multiclass_count(rels)),
+        ("vw_level_20_count", lambda: reports.level_20_count(rels)),
+        ("vw_maxed_stats", lambda: reports.maxed_stats(rels)),
+        ("vw_dump_stats", lambda: reports.dump_stats(rels)),
+        ("vw_class_notes_summary", lambda: reports.class_notes_summary(rels)),
+        ("vw_top_subclass_per_class", lambda: reports.top_subclass_per_class(rels)),
+        ("vw_dashboard_kpis", lambda: reports.dashboard_kpis(rels)),
+    ]
+
+
+def register_views(spark: SparkSession, rels: Relations) -> list[str]:
+    return sinks.register_views(spark, view_builders(rels))
+
+
+def refresh(spark: SparkSession, settings: Settings) -> dict[str, int]:
+    """Schema -> tables -> views. Views are created after the tables,
+    as a Spark view over a dropped table fails when read."""
+    sinks.create_schema(spark, settings.database, drop=True)
+    counts = run_pipeline(spark, settings)
+    db = settings.database
+    tables = Relations(*(spark.table(f"`{db}`.`{n}`") for n in LOAD_COLUMNS))
+    register_views(spark, tables)
+    return counts
