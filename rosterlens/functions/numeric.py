@@ -16,16 +16,20 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
+# Numbers Java parses but pandas does not: type suffix, hexadecimal float.
+_JAVA_ONLY = r"(?i)(?<!in)[df]\s*$|^\s*[+-]?0x"
+
+
 def parse_number(c) -> Column:
     """String -> double; bad values -> null; NaN -> null.
 
-    Spark's cast accepts a Java type suffix ('1d', '2f') that pandas rejects;
-    such values are refused (the word 'inf' excepted). NaN becomes null at once,
+    Spark's cast accepts Java forms that pandas rejects: a type suffix ('1d',
+    '2f'; the word 'inf' is not one) and hex floats ('0x1p3'); they are refused
+    by one regex test. NaN becomes null at once,
     because NaN >= 0 holds in Spark and would pass a lower bound.
     """
     s = _col(c).cast("string")
-    java_suffix = s.rlike(r"(?i)[df]\s*$") & ~s.rlike(r"(?i)inf\s*$")
-    num = F.when(~java_suffix, s.try_cast("double"))
+    num = F.when(~s.rlike(_JAVA_ONLY), s.try_cast("double"))
     return F.nanvl(num, F.lit(None).cast("double"))
 
 

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rosterlens.schema import EMPTY_TEXT_TOKENS, LIST_DROP_TOKENS, LIST_SEPARATOR, NA_TOKENS, PLACEHOLDER_NAME_PATTERN
+from rosterlens.schema import (
+    EMPTY_TEXT_TOKENS,
+    LIST_DROP_TOKENS,
+    LIST_SEPARATOR,
+    NA_TOKENS,
+    PLACEHOLDER_NAME_PATTERN,
+    STRIP_CODE_POINTS,
+)
 
-# Python's str.strip() removes Unicode white space plus the information
-# separators U+001C..U+001F; Java's (?U)\s covers the former only.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
+# Python's str.strip() set (Unicode white space plus U+001C..U+001F). Spark's
+# trim(str, chars) removes any of them from both ends, code point by code
+# point, without a regex.
+_WS = "".join(chr(c) for c in STRIP_CODE_POINTS)
 
 
 def _col(c) -> Column:
@@ -19,7 +26,7 @@ def _col(c) -> Column:
 
 def strip_text(c) -> Column:
     """Strip leading and trailing white space with Python's character set."""
-    return F.regexp_replace(_col(c), _STRIP_PATTERN, "")
+    return F.trim(_col(c), F.lit(_WS))
 
 
 def normalize_text(c) -> Column:

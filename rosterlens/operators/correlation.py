@@ -7,28 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlens.functions.stats import pair_corr, self_corr
+from rosterlens.functions.stats import pair_corr
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], decimals: int = 2,
                 names=("field_x", "field_y", "corr")) -> DataFrame:
     """All len(cols)^2 cells as (field_x, field_y, corr), rounded half-even.
 
-    One pass over the data: a single aggregate with one expression per
-    unordered pair plus the diagonal (partial aggregation, one tiny shuffle);
-    the mirror cells are filled from the same values. Zero variance -> null.
+    One pass over the data: each row is spread into its k(k+1)/2 unordered
+    (x, y) value pairs, grouped by pair with three aggregates each. The
+    grouping has a fixed, tiny number of keys, so partial aggregation leaves
+    one row per pair per task before the shuffle. The diagonal is the pair
+    (x, x): 1.0, or null for zero variance. Mirror cells are copied.
     """
     cols = list(cols)
-    exprs = []
-    for i, x in enumerate(cols):
-        exprs.append(self_corr(x).alias(f"c{i}_{i}"))
-        for j in range(i + 1, len(cols)):
-            exprs.append(pair_corr(x, cols[j]).alias(f"c{i}_{j}"))
-    wide = df.select(*cols).agg(*exprs)
     fx, fy, fc = names
-    cells = []
-    for i, x in enumerate(cols):
-        for j, y in enumerate(cols):
-            a, b = (i, j) if i <= j else (j, i)
-            cells.append(F.struct(F.lit(x).alias(fx), F.lit(y).alias(fy), F.col(f"c{a}_{b}").alias(fc)))
-    return wide.select(F.inline(F.array(*cells))).select(fx, fy, F.bround(F.col(fc), decimals).alias(fc))
+    pairs = [
+        F.struct(F.lit(x).alias(fx), F.lit(y).alias(fy),
+                 F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+        for i, x in enumerate(cols) for y in cols[i:]
+    ]
+    long = df.select(F.inline(F.array(*pairs)))
+    cells = long.groupBy(fx, fy).agg(pair_corr("_x", "_y").alias(fc))
+    mirrored = cells.select(
+        F.explode(
+            F.when(F.col(fx) == F.col(fy), F.array(F.struct(fx, fy)))
+            .otherwise(F.array(F.struct(fx, fy), F.struct(F.col(fy).alias(fx), F.col(fx).alias(fy))))
+        ).alias("_cell"),
+        fc,
+    )
+    return mirrored.select(F.col(f"_cell.{fx}").alias(fx), F.col(f"_cell.{fy}").alias(fy),
+                           F.bround(F.col(fc), decimals).alias(fc))

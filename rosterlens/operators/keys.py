@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,15 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
     ensure_checkpoint_dir(spark)
     cols = df.columns
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # The range partitioner samples its whole input in a job of its own
+    # before the sort runs; keeping the input for the two passes avoids
+    # computing it twice. The checkpoint, not the cache, is what later steps
+    # read, so losing a cached block only costs a recomputation.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ordered = src.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    finally:
+        src.unpersist()
 
     pid = F.spark_partition_id()
     indexed = ordered.select(

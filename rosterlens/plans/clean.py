@@ -53,7 +53,11 @@ def first_versions(df: DataFrame) -> DataFrame:
 def coerce_numerics(df: DataFrame) -> DataFrame:
     """Numeric coercion (bad -> null) and range rules, for the columns present."""
     present = [c for c in RAW_NUMERIC_COLUMNS if c in df.columns]
-    return df.withColumns({c: bounded(parse_number(c), *NUMERIC_BOUNDS.get(c, (None, None))) for c in present})
+    # Two projections: the parse is referenced several times by the bound
+    # test, and Spark does not inline a non-trivial expression into a
+    # projection that uses it more than once, so each value is parsed once.
+    parsed = df.withColumns({c: parse_number(c) for c in present})
+    return parsed.withColumns({c: bounded(c, *NUMERIC_BOUNDS.get(c, (None, None))) for c in present})
 
 
 def clean_profiles(raw: DataFrame, timestamp_format: str | None = None) -> DataFrame:

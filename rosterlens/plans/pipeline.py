@@ -29,6 +29,7 @@ class Settings:
     source: str | None = None          # CSV file or folder
     landing: str | None = None         # Parquet landing folder
     database: str = "characters"       # catalog database of the tables
+    database_location: str | None = None  # where a (re)created database lives
     sample_rows: int | None = None
     timestamp_format: str | None = None
     buckets: int | None = None         # bucket the tables on char_id
@@ -96,7 +97,7 @@ def register_views(spark: SparkSession, rels: Relations) -> list[str]:
 def refresh(spark: SparkSession, settings: Settings) -> dict[str, int]:
     """Schema -> tables -> views. Views are created after the tables,
     as a Spark view over a dropped table fails when read."""
-    sinks.create_schema(spark, settings.database, drop=True)
+    sinks.create_schema(spark, settings.database, drop=True, location=settings.database_location)
     counts = run_pipeline(spark, settings)
     db = settings.database
     tables = Relations(*(spark.table(f"`{db}`.`{n}`") for n in LOAD_COLUMNS))

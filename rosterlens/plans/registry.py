@@ -21,7 +21,7 @@ from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations, build_relations, split_lists
 from rosterlens.plans.pipeline import register_views
 from rosterlens.schema import RAW_NUMERIC_COLUMNS
-from rosterlens.session import use_utc
+from rosterlens.session import ensure_checkpoint_dir, use_utc
 from rosterlens.sources.csv_landing import sample_rows
 from rosterlens.sources.fixtures import raw_profiles
 from rosterlens.sources.tables import key_map, load_view, numeric_projection
@@ -35,9 +35,22 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _BUILT: dict[tuple[str, str], Relations] = {}
 
 
+_LANDED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, os.path.abspath(sf_dir)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw profile rows, landed once per session and folder (a reliable
+    checkpoint), as the reference extracts its CSV once per run."""
     use_utc(spark)
-    return raw_profiles(spark, sf_dir)
+    key = _key(spark, sf_dir)
+    if key not in _LANDED:
+        ensure_checkpoint_dir(spark)
+        _LANDED[key] = raw_profiles(spark, sf_dir).checkpoint(eager=True)
+    return _LANDED[key]
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +60,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relations(spark: SparkSession, sf_dir: str) -> Relations:
     """Keyed relations, built (and checkpointed) once per session and folder."""
     use_utc(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = _key(spark, sf_dir)
     if key not in _BUILT:
         _BUILT[key] = build_relations(cleaned(spark, sf_dir), keyed=True)
     return _BUILT[key]

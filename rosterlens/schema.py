@@ -47,6 +47,10 @@ INT_COLUMNS = ["notes_len"]
 # Numeric fields of the correlation matrix, in order.
 CORRELATION_COLUMNS = ["total_level", "hp", "str", "dex", "con", "int", "wis", "cha", "notes_len"]
 
+# White space removed by Python's str.strip(), as code points.
+STRIP_CODE_POINTS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760,
+                     8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202,
+                     8232, 8233, 8239, 8287, 12288]
 # Text normalisation: after stripping, these exact values become null.
 EMPTY_TEXT_TOKENS = ["", "nan", "None"]
 # List items dropped after splitting, compared lower-cased.

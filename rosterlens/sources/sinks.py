@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def create_schema(spark: SparkSession, database: str, drop: bool = True) -> None:
-    """DROP ... CASCADE (optional) and CREATE the database."""
+def create_schema(spark: SparkSession, database: str, drop: bool = True, location: str | None = None) -> None:
+    """DROP ... CASCADE (optional) and CREATE the database, optionally at an
+    explicit (shared) location instead of the session's warehouse."""
     if drop:
         spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
 def use_schema(spark: SparkSession, database: str) -> None:

@@ -1,0 +1,92 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlens.functions import (
+    bounded,
+    exact_rate_pct,
+    format_count,
+    format_fixed2,
+    is_placeholder_name,
+    na_to_null,
+    normalize_text,
+    parse_number,
+    split_list,
+    strip_text,
+    to_smallint,
+)
+
+
+def one(spark, expr, value, typ="string"):
+    return spark.createDataFrame([(value,)], f"v {typ}").select(expr(F.col("v")).alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize("raw, want", [
+    ("  Bob\t", "Bob"), ("\x1cBob\x1f", "Bob"), ("　Bob ", "Bob"), ("", None), ("   ", None),
+    ("nan", None), ("None", None), (" None ", None), ("NaN", "NaN"), ("none", "none"), (None, None),
+])
+def test_normalize_text_matches_python_strip(spark, raw, want):
+    assert one(spark, normalize_text, raw) == want
+
+
+def test_strip_matches_python_for_every_white_space_char(spark):
+    chars = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["​", "x"]
+    vals = [f"{c}a{c}" for c in chars]
+    got = spark.createDataFrame([(v,) for v in vals], "v string").select(strip_text("v").alias("r")).collect()
+    assert [r["r"] for r in got] == [v.strip() for v in vals]
+
+
+@pytest.mark.parametrize("name, bad", [
+    ("Bob's Character", True), ("BOB’S CHARACTER x", True), ("Bobs character", False), ("Bob", False),
+])
+def test_placeholder_names(spark, name, bad):
+    assert one(spark, is_placeholder_name, name) is bad
+
+
+@pytest.mark.parametrize("raw, want", [
+    ("Rogue/ Wizard //None/nan/NONE/ x ", ["Rogue", "Wizard", "x"]), (None, []), ("", []), ("a / b", ["a", "b"]),
+])
+def test_split_list(spark, raw, want):
+    assert one(spark, split_list, raw) == want
+
+
+@pytest.mark.parametrize("raw, want", [
+    ("12", 12.0), (" 12 ", 12.0), ("1e3", 1000.0), ("1d", None), ("2F", None), ("0x1A", None), ("0x1p3", None),
+    ("12abc", None), ("1,000", None), ("NaN", None), ("True", None), (None, None), ("inf", math.inf),
+    ("-inf", -math.inf), ("5.5", 5.5),
+])
+def test_parse_number_like_pandas(spark, raw, want):
+    assert one(spark, parse_number, raw) == want
+
+
+def test_na_tokens(spark):
+    for tok in ["#N/A", "NULL", "n/a", "<NA>", "-nan", "", "None"]:
+        assert one(spark, na_to_null, tok) is None
+    assert one(spark, na_to_null, " NA") == " NA"
+
+
+def test_bounds(spark):
+    assert one(spark, lambda c: bounded(c, 1, 20), 0.0, "double") is None
+    assert one(spark, lambda c: bounded(c, 1, 20), 20.0, "double") == 20.0
+    assert one(spark, lambda c: bounded(c, 0), -1.0, "double") is None
+    assert one(spark, lambda c: bounded(c, 0), math.inf, "double") == math.inf
+
+
+def test_smallint_rounds_half_even_and_raises_on_overflow(spark):
+    assert one(spark, to_smallint, 10.5, "double") == 10
+    assert one(spark, to_smallint, 11.5, "double") == 12
+    assert one(spark, to_smallint, None, "double") is None
+    with pytest.raises(Exception, match="out of range"):
+        one(spark, to_smallint, 40000.0, "double")
+
+
+def test_exact_rate_and_formats(spark):
+    df = spark.createDataFrame([(1, 800, 1234567, 81, 8), (2, 3, 0, 21, 2), (0, 0, 1000, 1, 3)],
+                               "s long, n long, c long, t long, k long")
+    got = df.select(exact_rate_pct("s", "n").alias("r"), format_count("c").alias("f"),
+                    format_fixed2("t", "k").alias("a")).collect()
+    assert [tuple(r) for r in got] == [(0.13, "1,234,567", "10.12"), (66.67, "0", "10.50"), (None, "1,000", "0.33")]
+    for total, count in [(81, 8), (21, 2), (1, 3), (2, 3), (1001, 200), (3, 8)]:
+        want = f"{total / count:.2f}"
+        assert spark.range(1).select(format_fixed2(F.lit(total), F.lit(count))).first()[0] == want
