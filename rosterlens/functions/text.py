@@ -41,11 +41,20 @@ def na_to_null(c) -> Column:
     return F.when(~c.isin(*NA_TOKENS), c)
 
 
+# Characters that make a one-character separator a regex, not a literal.
+_REGEX_META = set(".$|()[]{}^?*+\\")
+
+
 def split_list(c, sep: str = LIST_SEPARATOR) -> Column:
     """Split a separated list: strip items, drop empty items and nan/none
-    (case-insensitive). Null input gives an empty array."""
-    parts = F.split(_col(c), r"\Q" + sep + r"\E")
-    stripped = F.transform(parts, strip_text)
+    (case-insensitive). Null input gives an empty array.
+
+    A one-character literal separator is passed as is, so Java splits it
+    without the regex engine. The per-item strip and filter are array
+    lambdas; measured faster than an equivalent regex-only formulation.
+    """
+    pattern = sep if len(sep) == 1 and sep not in _REGEX_META else r"\Q" + sep + r"\E"
+    stripped = F.transform(F.split(_col(c), pattern), strip_text)
     kept = F.filter(stripped, lambda v: (v != "") & ~F.lower(v).isin(*LIST_DROP_TOKENS))
     return F.coalesce(kept, F.array().cast("array<string>"))
 

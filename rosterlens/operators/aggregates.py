@@ -94,14 +94,14 @@ def membership_rate(df: DataFrame, entity: str, group: str,
     """Per group: entities in it, those of them that belong to more than one
     distinct group, and the exact percentage (2 decimals, half up).
 
-    An entity is in several groups iff min(group) != max(group), so the
-    per-entity flag is a plain hash aggregate instead of a distinct count.
+    The distinct (entity, group) membership is computed once; the
+    per-entity flag counts its rows (a hash aggregate with partial
+    aggregation, reading the same shuffle output), and the join back is on
+    the entity, so a hot entity is split by adaptive skew-join handling.
     """
     members_name, multi_name, rate_name = names
     membership = df.select(entity, group).where(F.col(group).isNotNull()).distinct()
-    flags = df.where(F.col(group).isNotNull()).groupBy(entity).agg(
-        (F.min(group) != F.max(group)).alias("_multi")
-    )
+    flags = membership.groupBy(entity).agg((F.count(F.lit(1)) > 1).alias("_multi"))
     per_group = membership.join(flags, entity).groupBy(group).agg(
         F.count(F.lit(1)).alias(members_name),
         F.sum(F.col("_multi").cast("long")).alias(multi_name),

@@ -30,12 +30,15 @@ def class_entries() -> Column:
     after both lists are split and filtered (a missing subclass is null,
     surplus subclasses are ignored); repeated (class, subclass) pairs keep
     their first occurrence."""
-    start = F.struct(normalize_text("class_starting").alias("class"),
-                     normalize_text("subclass_starting").alias("subclass"))
-    start_arr = F.filter(F.array(start), lambda e: e["class"].isNotNull())
+    start_class = normalize_text("class_starting")
+    start = F.struct(start_class.alias("class"), normalize_text("subclass_starting").alias("subclass"))
+    start_arr = F.when(start_class.isNotNull(), F.array(start)).otherwise(
+        F.array().cast("array<struct<class:string,subclass:string>>"))
     classes = split_list("class_other")
-    subclasses = split_list("subclass_other")
-    others = F.transform(classes, lambda c, i: F.struct(c.alias("class"), F.get(subclasses, i).alias("subclass")))
+    # arrays_zip pads the shorter list with nulls; slicing to the class list
+    # drops surplus subclasses. No per-element lambda.
+    zipped = F.arrays_zip(classes.alias("class"), split_list("subclass_other").alias("subclass"))
+    others = F.slice(zipped, 1, F.size(classes))
     # List items are already stripped and free of ''/nan/none, so the
     # reference's second normalisation pass cannot change them.
     return F.array_distinct(F.concat(start_arr, others))

@@ -62,7 +62,11 @@ def relations(spark: SparkSession, sf_dir: str) -> Relations:
     use_utc(spark)
     key = _key(spark, sf_dir)
     if key not in _BUILT:
-        _BUILT[key] = build_relations(cleaned(spark, sf_dir), keyed=True)
+        built = build_relations(cleaned(spark, sf_dir), keyed=True)
+        # Materialised once, like the reference's loaded tables: the reports
+        # then scan plain rows instead of re-deriving key offsets each time.
+        _BUILT[key] = Relations(*(df.checkpoint(eager=True) for df in
+                                  (built.character, built.classes, built.feats)))
     return _BUILT[key]
 
 
