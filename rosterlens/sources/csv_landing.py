@@ -48,16 +48,25 @@ def read_profile_csv(spark: SparkSession, path: str, columns: Sequence[str] | No
     Spark's scan order.
     """
     columns = list(columns) if columns is not None else header_columns(spark, path)
-    schema = T.StructType(
+    raw = _csv_reader(spark).schema(scan_schema(columns)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return flag_rows(raw, columns, key, F.monotonically_increasing_id())
+
+
+def scan_schema(columns: Sequence[str]) -> T.StructType:
+    """All header columns as strings, one overflow column, the corrupt-record column."""
+    return T.StructType(
         [T.StructField(c, T.StringType()) for c in columns]
         + [T.StructField(OVERFLOW, T.StringType()), T.StructField(CORRUPT, T.StringType())]
     )
-    raw = _csv_reader(spark).schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def flag_rows(raw: DataFrame, columns: Sequence[str], key: str, src_ord) -> DataFrame:
+    """NA tokens -> null, ``src_ord``, ``_status`` (see read_profile_csv)."""
     long_row = F.col(OVERFLOW).isNotNull() | F.col(CORRUPT).isNull()
     status = F.when(long_row, F.lit("long_row")).when(na_to_null(F.col(key)).isNull(), F.lit("null_key")).otherwise(F.lit(OK))
     return raw.select(
         *[na_to_null(F.col(c)).alias(c) for c in columns],
-        F.monotonically_increasing_id().alias("src_ord"),
+        src_ord.alias("src_ord"),
         status.alias(STATUS),
     )
 
