@@ -13,8 +13,13 @@ def _one(relation: str, check: str, value_df: DataFrame) -> DataFrame:
                            F.col("violations").cast("long").alias("violations"))
 
 
-def null_violations(df: DataFrame, relation: str, col: str) -> DataFrame:
-    return _one(relation, f"not_null:{col}", df.agg(F.count_if(F.col(col).isNull()).alias("violations")))
+def null_violations(df: DataFrame, relation: str, *cols: str) -> DataFrame:
+    """Null counts of several columns from one scan, one row per column."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
+    rows = F.array(*[F.struct(F.lit(f"not_null:{c}").alias("check_name"), F.col(f"_n{i}").alias("violations"))
+                     for i, c in enumerate(cols)])
+    return counts.select(F.inline(rows)).select(
+        F.lit(relation).alias("relation"), "check_name", F.col("violations").cast("long").alias("violations"))
 
 
 def duplicate_violations(df: DataFrame, relation: str, key: str) -> DataFrame:
@@ -36,15 +41,11 @@ def check_relations(character: DataFrame, classes: DataFrame, feats: DataFrame)
     checks = [
         null_violations(character, "character", "char_id"),
         duplicate_violations(character, "character", "char_id"),
-        null_violations(classes, "character_class", "class_id"),
+        null_violations(classes, "character_class", "class_id", "char_id", "class"),
         duplicate_violations(classes, "character_class", "class_id"),
-        null_violations(classes, "character_class", "char_id"),
-        null_violations(classes, "character_class", "class"),
         orphan_violations(classes, character, "character_class", "char_id"),
-        null_violations(feats, "character_feats", "feat_id"),
+        null_violations(feats, "character_feats", "feat_id", "char_id", "feat"),
         duplicate_violations(feats, "character_feats", "feat_id"),
-        null_violations(feats, "character_feats", "char_id"),
-        null_violations(feats, "character_feats", "feat"),
         orphan_violations(feats, character, "character_feats", "char_id"),
     ]
     return reduce(DataFrame.unionByName, checks)

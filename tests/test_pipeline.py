@@ -37,3 +37,28 @@ def test_refresh_loads_tables_and_views(spark, tmp_path=None):
 def test_sink_rows_turn_nan_into_null(spark):
     df = spark.createDataFrame([(float("nan"), 1)], "x double, y int")
     assert sinks.sink_rows(df, ["x", "y"]).first()["x"] is None
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    """Tables written bucketed on char_id: R7's join reads co-located files."""
+    from rosterlens.plans import reports
+    from rosterlens.plans.model import Relations
+    from rosterlens.plans.pipeline import LOAD_COLUMNS
+    from rosterlens.plans.registry import relations
+
+    from conftest import SF_SMALL
+
+    d = tempfile.mkdtemp(prefix="bucket-", dir="/tmp")
+    db = "characters_bucketed"
+    sinks.create_schema(spark, db, drop=True, location=os.path.join(d, "db"))
+    sinks.write_relations(relations(spark, SF_SMALL).as_dict(), db, LOAD_COLUMNS, buckets=4)
+    tables = Relations(*(spark.table(f"{db}.{n}") for n in LOAD_COLUMNS))
+    joined = tables.classes.join(tables.character, "char_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert reports.class_notes_summary(tables).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
