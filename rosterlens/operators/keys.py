@@ -29,14 +29,19 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     cols = df.columns
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The range partitioner samples its whole input in a job of its own
     # before the sort runs; keeping the input for the two passes avoids
     # computing it twice. The checkpoint, not the cache, is what later steps
     # read, so losing a cached block only costs a recomputation.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ordered = src.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+        if partitions:
+            ranged = src.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+        else:
+            # A global sort: its range exchange may be coalesced by AQE, which
+            # only merges neighbouring ranges, so the order is kept.
+            ranged = src.orderBy(*order)
+        ordered = ranged.checkpoint(eager=True)
     finally:
         src.unpersist()
 
