@@ -48,3 +48,9 @@ def test_land_once_and_read_usable_rows_and_quarantine(spark):
     assert read_landed(spark, out, "long_row").count() == 1
     assert read_landed(spark, out, "null_key").count() == 1
     assert [r["char_id"] for r in sample_rows(read_landed(spark, out), 2).collect()] == ["1", "2"]
+
+
+def test_one_empty_extra_field_is_a_long_row(spark):
+    _, p = write("char_id,name\n1,a\n2,b,\n3,c,x,y\n")
+    got = {r["char_id"]: r["_status"] for r in read_profile_csv(spark, p).collect()}
+    assert got == {"1": "ok", "2": "long_row", "3": "long_row"}
