@@ -8,6 +8,7 @@ reference's reports read tables loaded once by its ETL.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 
@@ -42,14 +43,28 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return spark.sparkContext.applicationId, os.path.abspath(sf_dir)
 
 
+def _scratch(spark: SparkSession, *parts: str) -> str:
+    """A folder under this application's checkpoint directory (shared
+    storage on a cluster: spark.checkpoint.dir)."""
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "rosterlens", *parts])
+
+
+def _slug(sf_dir: str) -> str:
+    path = os.path.abspath(sf_dir)
+    return f"{os.path.basename(path)}-{hashlib.sha1(path.encode()).hexdigest()[:8]}"
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw profile rows, landed once per session and folder (a reliable
-    checkpoint), as the reference extracts its CSV once per run."""
+    """The raw profile rows, landed once per session and folder as Parquet in
+    the shared checkpoint folder, as the reference extracts its CSV once per
+    run. Reading Parquet back (not an RDD checkpoint) lets every query prune
+    columns and push filters into the scan."""
     use_utc(spark)
     key = _key(spark, sf_dir)
     if key not in _LANDED:
-        ensure_checkpoint_dir(spark)
-        _LANDED[key] = raw_profiles(spark, sf_dir).checkpoint(eager=True)
+        path = _scratch(spark, "landed", _slug(sf_dir))
+        raw_profiles(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _LANDED[key] = spark.read.parquet(path)
     return _LANDED[key]
 
 
@@ -63,10 +78,14 @@ def relations(spark: SparkSession, sf_dir: str) -> Relations:
     key = _key(spark, sf_dir)
     if key not in _BUILT:
         built = build_relations(cleaned(spark, sf_dir), keyed=True)
-        # Materialised once, like the reference's loaded tables: the reports
-        # then scan plain rows instead of re-deriving key offsets each time.
-        _BUILT[key] = Relations(*(df.checkpoint(eager=True) for df in
-                                  (built.character, built.classes, built.feats)))
+        # Loaded once, like the reference's tables: written as Parquet, so the
+        # reports scan only the columns they use, with filters pushed down.
+        loaded = []
+        for name, df in built.as_dict().items():
+            path = _scratch(spark, "relations", _slug(sf_dir), name)
+            df.write.mode("overwrite").parquet(path)
+            loaded.append(spark.read.parquet(path))
+        _BUILT[key] = Relations(*loaded)
     return _BUILT[key]
 
 
