@@ -22,17 +22,20 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], decimals: int = 2,
     """
     cols = list(cols)
     fx, fy, fc = names
-    pairs = [
-        F.struct(F.lit(x).alias(fx), F.lit(y).alias(fy),
-                 F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-        for i, x in enumerate(cols) for y in cols[i:]
-    ]
-    long = df.select(F.inline(F.array(*pairs)))
-    cells = long.groupBy(fx, fy).agg(pair_corr("_x", "_y").alias(fc))
-    mirrored = cells.select(
+    pairs = [(x, y) for i, x in enumerate(cols) for y in cols[i:]]
+    # Rows are spread into (pair number, x, y); names are attached after the
+    # aggregation, so the grouping key is one int, not two strings.
+    spread = F.array(*[
+        F.struct(F.lit(k).alias("_pair"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+        for k, (x, y) in enumerate(pairs)
+    ])
+    cells = df.select(F.inline(spread)).groupBy("_pair").agg(pair_corr("_x", "_y").alias(fc))
+    names_of = F.array(*[F.struct(F.lit(x).alias(fx), F.lit(y).alias(fy)) for x, y in pairs])
+    named = cells.select(F.element_at(names_of, F.col("_pair") + 1).alias("_n"), fc)
+    mirrored = named.select(
         F.explode(
-            F.when(F.col(fx) == F.col(fy), F.array(F.struct(fx, fy)))
-            .otherwise(F.array(F.struct(fx, fy), F.struct(F.col(fy).alias(fx), F.col(fx).alias(fy))))
+            F.when(F.col("_n")[fx] == F.col("_n")[fy], F.array(F.col("_n")))
+            .otherwise(F.array(F.col("_n"), F.struct(F.col("_n")[fy].alias(fx), F.col("_n")[fx].alias(fy))))
         ).alias("_cell"),
         fc,
     )
