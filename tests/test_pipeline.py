@@ -28,6 +28,15 @@ def test_refresh_loads_tables_and_views(spark, tmp_path=None):
     top = {r["class"]: r["most_popular_subclass"] for r in spark.table("vw_top_subclass_per_class").collect()}
     assert top == {"Wizard": "Evocation", "Fighter": "Champion", "Cleric": "Life"}
     assert spark.table("vw_dashboard_kpis").first()["total_characters"] == 2
+    # Unqualified names resolve in the chosen database
+    from rosterlens.sources.tables import load_view
+    previous = spark.catalog.currentDatabase()
+    sinks.use_schema(spark, db)
+    try:
+        assert spark.table("character_class").count() == 4
+        assert load_view(spark, "character_feats", database=db).count() == 2
+    finally:
+        sinks.use_schema(spark, previous)
     # a second full refresh replaces, it does not append
     assert run_pipeline(spark, Settings(source=src, database=db, sample_rows=2)) == \
         {"character": 1, "character_class": 3, "character_feats": 1}
