@@ -6,16 +6,24 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
 
-def build_session(master: str = "local[*]", partitions: int = 8, app: str = "rosterlens") -> SparkSession:
-    """A session tuned for local runs. On a cluster, pass the cluster master and
-    size ``partitions`` to the data (about 128-256 MB per shuffle partition)."""
+def build_session(master: str | None = "local[*]", partitions: int = 8, app: str = "rosterlens") -> SparkSession:
+    """A session with the settings this project relies on (UTC, ANSI, AQE).
+
+    ``master=None`` keeps the master given by spark-submit (falling back to
+    local mode only when none is set). On a cluster, size ``partitions`` to
+    the data (about 128-256 MB per shuffle partition).
+    """
+    builder = SparkSession.builder
+    if master or not SparkConf().contains("spark.master"):
+        builder = builder.master(master or "local[*]")
     builder = (
-        SparkSession.builder.master(master)
+        builder
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -71,3 +71,22 @@ def test_bucketed_tables_join_without_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_cli_refresh_report_check(spark, capsys):
+    from rosterlens.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="cli-", dir="/tmp")
+    src = os.path.join(d, "profiles.csv")
+    with open(src, "w") as f:
+        f.write(HEADER + "\n".join(ROWS) + "\n")
+    loc = os.path.join(d, "db")
+    assert main(["refresh", "--source", src, "--database", "cli_test", "--database-location", loc,
+                 "--partitions", "4"]) == 0
+    assert '"character": 2' in capsys.readouterr().out
+    assert main(["report", "class_popularity", "--tables", loc, "--partitions", "4"]) == 0
+    out = capsys.readouterr().out
+    assert "Fighter" in out and "Wizard" in out
+    assert main(["check", "--database", "cli_test", "--partitions", "4"]) == 0
+    spark.sql("DROP DATABASE IF EXISTS cli_test CASCADE")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
