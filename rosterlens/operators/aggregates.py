@@ -73,15 +73,17 @@ def group_summary(df: DataFrame, group: str, entity: str, value: str,
 
 
 def top_per_group(df: DataFrame, group: str, item: str, names=("item", "item_count"),
-                  where: Column | None = None) -> DataFrame:
-    """Most frequent ``item`` in each ``group`` (ties: smallest item). The
-    window runs over already aggregated (group, item) rows and is limited to
-    rank 1 before its shuffle (WindowGroupLimit)."""
+                  where: Column | None = None, collation: str | None = None) -> DataFrame:
+    """Most frequent ``item`` in each ``group`` (ties: smallest item, in
+    binary order or in ``collation`` such as 'UNICODE'). The window runs over
+    already aggregated (group, item) rows and is limited to rank 1 before its
+    shuffle (WindowGroupLimit)."""
     item_name, count_name = names
     if where is not None:
         df = df.where(where)
     counts = df.groupBy(group, item).agg(F.count(F.lit(1)).alias(count_name))
-    w = Window.partitionBy(group).orderBy(F.col(count_name).desc(), F.col(item).asc())
+    tie = F.collate(F.col(item), collation) if collation else F.col(item)
+    w = Window.partitionBy(group).orderBy(F.col(count_name).desc(), tie.asc())
     return (
         counts.withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") == 1)

@@ -62,12 +62,15 @@ def class_notes_summary(rels: Relations, ordered: bool = False) -> DataFrame:
     return df.orderBy(F.desc("avg_notes_len"), "class") if ordered else df
 
 
-def top_subclass_per_class(rels: Relations, ordered: bool = False) -> DataFrame:
-    """Most common subclass within each class (ties: smallest name)."""
+def top_subclass_per_class(rels: Relations, ordered: bool = False, collation: str | None = None) -> DataFrame:
+    """Most common subclass within each class (ties: smallest name, in
+    binary order unless a collation such as 'UNICODE' is given)."""
     sub = F.col("subclass")
     df = agg.top_per_group(rels.classes, "class", "subclass", ("most_popular_subclass", "subclass_count"),
-                           where=sub.isNotNull() & (sub != ""))
-    return df.orderBy("class") if ordered else df
+                           where=sub.isNotNull() & (sub != ""), collation=collation)
+    if ordered:
+        df = df.orderBy(F.collate(F.col("class"), collation) if collation else F.col("class"))
+    return df
 
 
 def multiclass_rate_by_class(rels: Relations, ordered: bool = True) -> DataFrame:

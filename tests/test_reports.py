@@ -87,3 +87,12 @@ def test_d10_correlation_null_on_zero_variance(rels):
     assert cells[("hp", "hp")] is None and cells[("hp", "str")] is None   # hp is constant
     assert cells[("str", "str")] == 1.0
     assert cells[("str", "dex")] == cells[("dex", "str")]
+
+
+def test_r8_tie_break_collation(spark):
+    from rosterlens.schema import CLASS_SCHEMA
+
+    classes = spark.createDataFrame([(1, 1, "F", "B", None), (2, 2, "F", "a", None)], CLASS_SCHEMA)
+    rels = Relations(None, classes, None)
+    assert rows(reports.top_subclass_per_class(rels)) == [("F", "B", 1)]
+    assert rows(reports.top_subclass_per_class(rels, collation="UNICODE")) == [("F", "a", 1)]
