@@ -15,7 +15,8 @@ _LOCAL = "_key_local"
 _OFFSET = "_key_offset"
 
 
-def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None) -> DataFrame:
+def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None,
+              cache_input: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Add ``name`` = 1..N following ``order`` (which must be a total order),
     like an identity column filled in that insert order.
 
@@ -33,7 +34,7 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
     # before the sort runs; keeping the input for the two passes avoids
     # computing it twice. The checkpoint, not the cache, is what later steps
     # read, so losing a cached block only costs a recomputation.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    src = df.persist(cache_input) if cache_input is not None else df
     try:
         if partitions:
             ranged = src.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
@@ -43,7 +44,8 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
             ranged = src.orderBy(*order)
         ordered = ranged.checkpoint(eager=True)
     finally:
-        src.unpersist()
+        if cache_input is not None:
+            src.unpersist()
 
     pid = F.spark_partition_id()
     indexed = ordered.select(

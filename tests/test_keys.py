@@ -22,3 +22,9 @@ def test_attach_keys_inner_join(spark):
     kids = spark.createDataFrame([("a", 1), ("b", 2), ("z", 3)], "source_id string, x int")
     keys = spark.createDataFrame([("a", 10), ("b", 20)], "source_id string, char_id long")
     assert rows(attach_keys(kids, keys).select("char_id", "x")) == [(10, 1), (20, 2)]
+
+
+def test_dense_key_without_input_cache(spark):
+    df = spark.range(0, 300, 1, 5).select((299 - F.col("id")).alias("v"))
+    got = sorted(tuple(r) for r in dense_key(df, ["v"], "k", cache_input=None).select("k", "v").collect())
+    assert got == [(i + 1, i) for i in range(300)]
