@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,8 @@ SAMPLE_ROWS = 1000
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 _BUILT: dict[tuple[str, str], Relations] = {}
+# One build at a time: two threads must not overwrite the same folders.
+_LOCK = threading.RLock()
 
 
 _LANDED: dict[tuple[str, str], DataFrame] = {}
@@ -61,11 +64,12 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns and push filters into the scan."""
     use_utc(spark)
     key = _key(spark, sf_dir)
-    if key not in _LANDED:
-        path = _scratch(spark, "landed", _slug(sf_dir))
-        raw_profiles(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _LANDED[key] = spark.read.parquet(path)
-    return _LANDED[key]
+    with _LOCK:
+        if key not in _LANDED:
+            path = _scratch(spark, "landed", _slug(sf_dir))
+            raw_profiles(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _LANDED[key] = spark.read.parquet(path)
+        return _LANDED[key]
 
 
 _CLEANED: dict[tuple[str, str], DataFrame] = {}
@@ -77,17 +81,23 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     relation builders (M10). The cleaning queries themselves run C1-C12 from
     the landed rows each time."""
     key = _key(spark, sf_dir)
-    if key not in _CLEANED:
-        path = _scratch(spark, "cleaned", _slug(sf_dir))
-        cl.clean_profiles(raw(spark, sf_dir)).write.mode("overwrite").parquet(path)
-        _CLEANED[key] = spark.read.parquet(path)
-    return _CLEANED[key]
+    with _LOCK:
+        if key not in _CLEANED:
+            path = _scratch(spark, "cleaned", _slug(sf_dir))
+            cl.clean_profiles(raw(spark, sf_dir)).write.mode("overwrite").parquet(path)
+            _CLEANED[key] = spark.read.parquet(path)
+        return _CLEANED[key]
 
 
 def relations(spark: SparkSession, sf_dir: str) -> Relations:
     """Keyed relations, built (and checkpointed) once per session and folder."""
     use_utc(spark)
     key = _key(spark, sf_dir)
+    with _LOCK:
+        return _relations(spark, sf_dir, key)
+
+
+def _relations(spark: SparkSession, sf_dir: str, key) -> Relations:
     if key not in _BUILT:
         built = build_relations(cleaned(spark, sf_dir), keyed=True)
         # Loaded once, like the reference's tables: written as Parquet, so the
