@@ -40,9 +40,13 @@ def write_table(df: DataFrame, database: str, table: str, mode: str = "overwrite
     """Full refresh of one catalog table. With ``bucket_key`` the table is
     bucketed and sorted on it, so later joins on that key between tables with
     the same bucket count read co-located files instead of shuffling."""
-    writer = df.write.mode(mode).format(fmt)
     if bucket_key and buckets:
-        writer = writer.bucketBy(buckets, bucket_key).sortBy(bucket_key)
+        # Hash-partition with the bucketing hash first, so each task writes
+        # the file of one bucket (not one file per bucket per task).
+        df = df.repartition(buckets, bucket_key)
+        writer = df.write.mode(mode).format(fmt).bucketBy(buckets, bucket_key).sortBy(bucket_key)
+    else:
+        writer = df.write.mode(mode).format(fmt)
     writer.saveAsTable(f"`{database}`.`{table}`")
 
 
