@@ -36,12 +36,13 @@ FIXTURE_EXCLUDED_CLASSES = "promo|small"
 SAMPLE_ROWS = 1000
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# Per session and folder: landed rows, cleaned rows, loaded relations.
+_LANDED: dict[tuple[str, str], DataFrame] = {}
+_CLEANED: dict[tuple[str, str], DataFrame] = {}
 _BUILT: dict[tuple[str, str], Relations] = {}
 # One build at a time: two threads must not overwrite the same folders.
 _LOCK = threading.RLock()
-
-
-_LANDED: dict[tuple[str, str], DataFrame] = {}
+BUCKET_BYTES = 128 * 1024 * 1024
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -74,9 +75,6 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _LANDED[key]
 
 
-_CLEANED: dict[tuple[str, str], DataFrame] = {}
-
-
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned profiles, computed once per session and folder and kept as
     Parquet: like the reference's one cleaned frame, they feed all three
@@ -92,7 +90,8 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relations(spark: SparkSession, sf_dir: str) -> Relations:
-    """Keyed relations, built (and checkpointed) once per session and folder."""
+    """Keyed relations, built once per session and folder and loaded as
+    tables bucketed on char_id."""
     use_utc(spark)
     key = _key(spark, sf_dir)
     with _LOCK:
@@ -109,13 +108,23 @@ def _relations(spark: SparkSession, sf_dir: str, key) -> Relations:
         # instead of shuffling.
         db = "rosterlens_" + re.sub(r"[^0-9a-zA-Z]", "_", _slug(sf_dir))
         create_schema(spark, db, drop=True, location=_scratch(spark, "tables", _slug(sf_dir)))
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = _bucket_count(spark, cleaned(spark, sf_dir))
         for name, df in built.as_dict().items():
             write_table(df, db, name, bucket_key="char_id", buckets=buckets)
         _BUILT[key] = Relations(*(spark.table(f"`{db}`.`{n}`") for n in built.as_dict()))
     return _BUILT[key]
 
 
+def _bucket_count(spark: SparkSession, source: DataFrame) -> int:
+    """About one bucket per 128 MB of the cleaned input (its Parquet size as
+    planned), at least the session's parallelism, at most its shuffle
+    partitions."""
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    lo = spark.sparkContext.defaultParallelism
+    hi = max(lo, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(lo, min(hi, -(-size // BUCKET_BYTES)))
+
+
 def unkeyed(spark: SparkSession, sf_dir: str) -> Relations:
     return build_relations(cleaned(spark, sf_dir), keyed=False)
 
