@@ -33,6 +33,8 @@ def build_session(master: str | None = "local[*]", partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.sql.ansi.enabled", "true")
+        # Checkpoint files whose DataFrame is gone are removed by Spark's cleaner.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("ROSTERLENS_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
