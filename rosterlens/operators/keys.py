@@ -22,10 +22,11 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
 
     Plan: a range-partitioned sort (balanced, since the order is unique), a
     reliable checkpoint so both passes below see the same partitions, the row
-    count of each partition (one row per partition), running offsets over
-    that tiny table, and a broadcast join of the offsets, whose size is
-    bounded by the partition count. No window over the data itself, no
-    single-partition step, nothing collected to the driver.
+    count of each partition (one pass; one row per partition, checkpointed),
+    running offsets over that tiny table, and a broadcast join of the
+    offsets, whose size is bounded by the partition count. No window over the
+    data itself, no single-partition step over rows, nothing collected to the
+    driver.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -54,7 +55,10 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
         (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_LOCAL),
     )
     sizes = ordered.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(_PID, (F.sum("_n").over(Window.orderBy(_PID)) - F.col("_n")).alias(_OFFSET))
+    # One row per partition; kept (reliably) so that later uses of the result
+    # do not count the sorted rows again.
+    offsets = sizes.select(_PID, (F.sum("_n").over(Window.orderBy(_PID)) - F.col("_n")).alias(_OFFSET)) \
+        .checkpoint(eager=True)
     return indexed.join(F.broadcast(offsets), _PID).select(
         (F.col(_OFFSET) + F.col(_LOCAL) + F.lit(1)).alias(name), *cols
     )
