@@ -66,3 +66,16 @@ def relation_counts(relations: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("relation"), "rows")
              for name, df in relations.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+class IntegrityError(ValueError):
+    """Raised when a declared constraint of the relations does not hold."""
+
+
+def assert_sound(character: DataFrame, classes: DataFrame, feats: DataFrame) -> None:
+    """Raise IntegrityError listing every violated constraint. Only the
+    check report (one row per check) comes back to the driver."""
+    bad = [(r["relation"], r["check_name"], r["violations"])
+           for r in check_relations(character, classes, feats).where(F.col("violations") > 0).collect()]
+    if bad:
+        raise IntegrityError("; ".join(f"{rel}.{chk}: {n} rows" for rel, chk, n in bad))

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlens.operators.integrity import relation_counts
+from rosterlens.operators.integrity import assert_sound, relation_counts
 from rosterlens.plans import reports
 from rosterlens.plans.clean import clean_profiles
 from rosterlens.plans.model import Relations, build_relations
@@ -33,6 +33,7 @@ class Settings:
     sample_rows: int | None = None
     timestamp_format: str | None = None
     buckets: int | None = None         # bucket the tables on char_id
+    validate: bool = False             # check keys and references before loading
     jdbc_url: str | None = None
     jdbc_properties: dict = field(default_factory=dict)
 
@@ -69,6 +70,10 @@ def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
     numbers come back to the driver)."""
     use_utc(spark)
     rels = transform(extract(spark, settings), settings)
+    if settings.validate:
+        # The database's constraints rejected bad rows on insert; here the
+        # built relations are checked before anything is written.
+        assert_sound(rels.character, rels.classes, rels.feats)
     load(spark, rels, settings)
     loaded = Relations(*(spark.table(f"`{settings.database}`.`{n}`") for n in LOAD_COLUMNS)) \
         if not settings.jdbc_url else rels

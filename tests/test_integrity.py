@@ -1,4 +1,6 @@
-from rosterlens.operators.integrity import cascade_delete, check_relations, relation_counts
+import pytest
+
+from rosterlens.operators.integrity import IntegrityError, assert_sound, cascade_delete, check_relations, relation_counts
 
 from conftest import rows
 
@@ -40,3 +42,12 @@ def test_fixture_relations_are_sound(spark):
     assert r.character.select("source_id").distinct().count() == n
     ids = sorted(x[0] for x in r.classes.select("class_id").collect())
     assert ids == list(range(1, len(ids) + 1))
+
+
+def test_assert_sound_raises_with_the_violations(spark):
+    character = spark.createDataFrame([(1,)], "char_id long")
+    classes = spark.createDataFrame([(1, 2, "F")], "class_id long, char_id long, class string")
+    feats = spark.createDataFrame([(1, 1, "A")], "feat_id long, char_id long, feat string")
+    with pytest.raises(IntegrityError, match="character_class.foreign_key:char_id: 1 rows"):
+        assert_sound(character, classes, feats)
+    assert_sound(character, classes.where("char_id = 1"), feats)

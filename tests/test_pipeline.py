@@ -38,7 +38,7 @@ def test_refresh_loads_tables_and_views(spark, tmp_path=None):
     finally:
         sinks.use_schema(spark, previous)
     # a second full refresh replaces, it does not append
-    assert run_pipeline(spark, Settings(source=src, database=db, sample_rows=2)) == \
+    assert run_pipeline(spark, Settings(source=src, database=db, sample_rows=2, validate=True)) == \
         {"character": 1, "character_class": 3, "character_feats": 1}
     spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
