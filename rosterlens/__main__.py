@@ -59,6 +59,7 @@ def main(argv=None) -> int:
     r.add_argument("--sample-rows", type=int)
     r.add_argument("--timestamp-format")
     r.add_argument("--buckets", type=int)
+    r.add_argument("--validate", action="store_true", help="check keys and references before loading")
     q = sub.add_parser("report", help="one reporting question over the loaded tables")
     q.add_argument("name", choices=sorted(REPORTS))
     q.add_argument("--database", default="characters")
@@ -79,7 +80,7 @@ def main(argv=None) -> int:
         counts = refresh(spark, Settings(
             source=args.source, landing=args.landing, database=args.database,
             database_location=args.database_location, sample_rows=args.sample_rows,
-            timestamp_format=args.timestamp_format, buckets=args.buckets))
+            timestamp_format=args.timestamp_format, buckets=args.buckets, validate=args.validate))
         print(json.dumps(counts))
     elif args.cmd == "report":
         REPORTS[args.name](_tables(spark, args.database, args.tables)).show(args.rows, truncate=False)
