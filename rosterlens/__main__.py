@@ -54,6 +54,7 @@ def main(argv=None) -> int:
     r = sub.add_parser("refresh", help="schema -> land -> clean -> keyed tables -> views")
     r.add_argument("--source", required=True)
     r.add_argument("--landing")
+    r.add_argument("--stream-checkpoint", help="with --landing: land only new files of the --source folder")
     r.add_argument("--database", default="characters")
     r.add_argument("--database-location")
     r.add_argument("--sample-rows", type=int)
@@ -78,7 +79,8 @@ def main(argv=None) -> int:
     spark = build_session(args.master, args.partitions)
     if args.cmd == "refresh":
         counts = refresh(spark, Settings(
-            source=args.source, landing=args.landing, database=args.database,
+            source=args.source, landing=args.landing, stream_checkpoint=args.stream_checkpoint,
+            database=args.database,
             database_location=args.database_location, sample_rows=args.sample_rows,
             timestamp_format=args.timestamp_format, buckets=args.buckets, validate=args.validate))
         print(json.dumps(counts))

@@ -14,6 +14,7 @@ from rosterlens.plans.model import Relations, build_relations
 from rosterlens.schema import CHARACTER_COLUMNS
 from rosterlens.session import use_utc
 from rosterlens.sources import csv_landing, sinks
+from rosterlens.streaming.landing import land_csv_stream
 
 LOAD_COLUMNS = {
     "character": ["char_id", *CHARACTER_COLUMNS, "is_multiclass"],
@@ -28,6 +29,7 @@ class Settings:
     properties are passed in by the caller)."""
     source: str | None = None          # CSV file or folder
     landing: str | None = None         # Parquet landing folder
+    stream_checkpoint: str | None = None  # with `landing`: land only new files of a drop folder
     database: str = "characters"       # catalog database of the tables
     database_location: str | None = None  # where a (re)created database lives
     sample_rows: int | None = None
@@ -41,7 +43,13 @@ class Settings:
 def extract(spark: SparkSession, settings: Settings) -> DataFrame:
     """Land the CSV once (if a landing folder is given) and return the usable
     raw rows, optionally only the first ``sample_rows``."""
-    if settings.landing:
+    if settings.landing and settings.stream_checkpoint:
+        # Drop folder: each CSV file is landed once (Structured Streaming,
+        # availableNow); the cleaning then sees every landed version.
+        columns = csv_landing.header_columns(spark, settings.source)
+        land_csv_stream(spark, settings.source, settings.landing, settings.stream_checkpoint, columns)
+        raw = csv_landing.read_landed(spark, settings.landing)
+    elif settings.landing:
         csv_landing.land_csv(spark, settings.source, settings.landing)
         raw = csv_landing.read_landed(spark, settings.landing)
     else:

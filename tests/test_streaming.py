@@ -26,3 +26,24 @@ def test_drop_folder_is_landed_once_and_incrementally(spark):
     land_csv_stream(spark, src, out, ck, COLS)
     rows = sorted((r["char_id"], r["name"]) for r in clean_profiles(read_landed(spark, out)).collect())
     assert rows == [("1", "Ann2"), ("2", "Bob2")]    # same date: the later-landed row wins
+
+
+def test_pipeline_with_incremental_landing(spark):
+    from rosterlens.plans.pipeline import Settings, run_pipeline
+    from tests_pipeline_data import HEADER, ROWS
+
+    d = tempfile.mkdtemp(prefix="stream-etl-", dir="/tmp")
+    src = os.path.join(d, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write(HEADER + "\n".join(ROWS[:1]) + "\n")
+    from rosterlens.sources import sinks
+    sinks.create_schema(spark, "stream_db", location=os.path.join(d, "db"))
+    settings = Settings(source=src, landing=os.path.join(d, "landed"), stream_checkpoint=os.path.join(d, "ck"),
+                        database="stream_db")
+    assert run_pipeline(spark, settings)["character"] == 1
+    with open(os.path.join(src, "b.csv"), "w") as f:
+        f.write(HEADER + "\n".join(ROWS[1:]) + "\n")
+    counts = run_pipeline(spark, settings)
+    assert counts == {"character": 2, "character_class": 4, "character_feats": 2}
+    spark.sql("DROP DATABASE IF EXISTS stream_db CASCADE")
