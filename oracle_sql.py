@@ -167,37 +167,33 @@ r_class_popularity AS (
   SELECT race, count(*) AS character_count FROM character_k
   WHERE race IS NOT NULL AND race <> '' GROUP BY race
 ), r_stats AS (
-  SELECT 'str' AS stat_name, str AS stat_value FROM character_k
-  UNION ALL SELECT 'dex', dex FROM character_k
-  UNION ALL SELECT 'con', con FROM character_k
-  UNION ALL SELECT 'int', "int" FROM character_k
-  UNION ALL SELECT 'wis', wis FROM character_k
-  UNION ALL SELECT 'cha', cha FROM character_k
+  UNPIVOT (SELECT char_id, str, dex, con, "int", wis, cha FROM character_k)
+  ON str, dex, con, "int", wis, cha INTO NAME stat_name VALUE stat_value
 ), r_maxed_stats AS (
   SELECT stat_name, count(*) AS maxed_count FROM r_stats WHERE stat_value >= 20 GROUP BY stat_name
 ), r_dump_stats AS (
-  SELECT v.stat_name, count(*) AS dump_count
-  FROM (SELECT *, least(str, dex, con, "int", wis, cha) AS min_stat FROM character_k) c,
-       LATERAL (VALUES ('str', c.str), ('dex', c.dex), ('con', c.con), ('int', c."int"),
-                       ('wis', c.wis), ('cha', c.cha)) AS v(stat_name, stat_value)
-  WHERE v.stat_value = c.min_stat GROUP BY v.stat_name
+  SELECT s.stat_name, count(*) AS dump_count
+  FROM r_stats s JOIN (SELECT char_id, least(str, dex, con, "int", wis, cha) AS lowest FROM character_k) m
+    ON m.char_id = s.char_id AND s.stat_value = m.lowest
+  GROUP BY s.stat_name
 ), r_class_notes_summary AS (
   SELECT cc.class, count(DISTINCT c.char_id) AS characters, avg(c.notes_len) AS avg_notes_len,
          quantile_cont(c.notes_len, 0.5) AS median_notes_len
   FROM character_k c JOIN class_k cc ON cc.char_id = c.char_id
   WHERE c.notes_len IS NOT NULL GROUP BY cc.class
 ), r_top_subclass_per_class AS (
-  SELECT class, subclass AS most_popular_subclass, subclass_count FROM (
-    SELECT class, subclass, subclass_count,
-           row_number() OVER (PARTITION BY class ORDER BY subclass_count DESC, subclass) AS rn
-    FROM (SELECT class, subclass, count(*) AS subclass_count FROM class_k
-          WHERE subclass IS NOT NULL AND subclass <> '' GROUP BY class, subclass)) WHERE rn = 1
+  SELECT class, first(subclass ORDER BY subclass_count DESC, subclass) AS most_popular_subclass,
+         max(subclass_count) AS subclass_count
+  FROM (SELECT class, subclass, count(*) AS subclass_count FROM class_k
+        WHERE subclass IS NOT NULL AND subclass <> '' GROUP BY class, subclass)
+  GROUP BY class
 ), r_multiclass_rate AS (
-  SELECT class, count(*) AS characters_with_class, CAST(sum(is_multiclass) AS BIGINT) AS multiclass_characters,
-         CAST((20000 * sum(is_multiclass) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS multiclass_rate_pct
-  FROM (SELECT DISTINCT cc.char_id, cc.class, CASE WHEN cnt.class_count > 1 THEN 1 ELSE 0 END AS is_multiclass
-        FROM class_k cc JOIN (SELECT char_id, count(DISTINCT class) AS class_count FROM class_k GROUP BY char_id) cnt
-        ON cnt.char_id = cc.char_id)
+  SELECT class, count(*) AS characters_with_class,
+         count(*) FILTER (WHERE n_classes > 1) AS multiclass_characters,
+         CAST((20000 * count(*) FILTER (WHERE n_classes > 1) + count(*)) // (2 * count(*)) AS DOUBLE) / 100
+           AS multiclass_rate_pct
+  FROM (SELECT DISTINCT char_id, class FROM class_k) m
+  JOIN (SELECT char_id, count(DISTINCT class) AS n_classes FROM class_k GROUP BY char_id) n USING (char_id)
   GROUP BY class
 ), r_multiclass_count AS (
   SELECT count(*) AS multiclass_characters FROM (SELECT char_id FROM class_k GROUP BY char_id HAVING count(*) > 1)
@@ -318,11 +314,10 @@ ORACLE: dict[str, str] = {
     "top_subclass_per_class": _with("SELECT * FROM r_top_subclass_per_class ORDER BY class"),
     "multiclass_rate_by_class": _with("SELECT * FROM r_multiclass_rate "
                                       "ORDER BY multiclass_rate_pct DESC, characters_with_class DESC"),
-    "dashboard_kpis": _with("SELECT (SELECT count(*) FROM character_k) AS total_characters, "
-                            "(SELECT multiclass_characters FROM r_multiclass_count) AS multiclass_characters, "
-                            "(SELECT level_20_characters FROM r_level_20) AS level_20_characters, "
-                            "(SELECT avg(total_level) FROM character_k WHERE total_level IS NOT NULL) "
-                            "AS avg_total_level"),
+    "dashboard_kpis": _with("SELECT count(*) AS total_characters, "
+                            "count(*) FILTER (WHERE is_multiclass) AS multiclass_characters, "
+                            "count(*) FILTER (WHERE total_level = 20) AS level_20_characters, "
+                            "avg(total_level) AS avg_total_level FROM character_k"),
     "top_classes": _with("SELECT * FROM r_class_popularity ORDER BY character_count DESC, class LIMIT 15"),
     "top_races": _with("SELECT * FROM r_race_popularity ORDER BY character_count DESC, race LIMIT 15"),
     "maxed_sorted": _with("SELECT * FROM r_maxed_stats ORDER BY maxed_count DESC"),
