@@ -51,3 +51,20 @@ def test_assert_sound_raises_with_the_violations(spark):
     with pytest.raises(IntegrityError, match="character_class.foreign_key:char_id: 1 rows"):
         assert_sound(character, classes, feats)
     assert_sound(character, classes.where("char_id = 1"), feats)
+
+
+def test_report_properties_on_fixture(spark):
+    from conftest import SF_SMALL
+    from rosterlens.plans import reports
+    from rosterlens.plans.registry import relations
+
+    r = relations(spark, SF_SMALL)
+    n = r.character.count()
+    for df, col in ((reports.maxed_stats(r), "maxed_count"), (reports.dump_stats(r), "dump_count")):
+        counts = [row[col] for row in df.collect()]
+        assert all(c <= n for c in counts) and sum(counts) <= 6 * n
+    rates = reports.multiclass_rate_by_class(r).collect()
+    assert rates and all(0 <= x["multiclass_rate_pct"] <= 100 for x in rates)
+    assert all(x["multiclass_characters"] <= x["characters_with_class"] for x in rates)
+    # R3 (class rows) and R10 (flag made inside each row) agree
+    assert reports.multiclass_count(r).first()[0] == reports.dashboard_kpis(r).first()["multiclass_characters"]
