@@ -45,3 +45,12 @@ def test_cleaning_is_idempotent_on_its_output(spark):
     as_raw = once.select(*[once[c].cast("string").alias(c) if c != "src_ord" else once[c] for c in once.columns])
     assert rows(clean_profiles(as_raw).select("char_id", "name", "total_level")) == \
         rows(once.select("char_id", "name", "total_level"))
+
+
+def test_parse_dates_default_iso_and_explicit_format(spark):
+    df = spark.createDataFrame([("2020-01-02",), ("2020-01-02T03:04:05",), ("01/02/2020",), ("garbage",)],
+                               "date_modified string")
+    iso = [r[0] for r in parse_dates(df).collect()]
+    assert [str(v) if v else None for v in iso] == ["2020-01-02 00:00:00", "2020-01-02 03:04:05", None, None]
+    us = [r[0] for r in parse_dates(df, "MM/dd/yyyy").collect()]
+    assert [str(v) if v else None for v in us] == [None, None, "2020-01-02 00:00:00", None]
