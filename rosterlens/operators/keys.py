@@ -21,12 +21,12 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
     like an identity column filled in that insert order.
 
     Plan: a range-partitioned sort (balanced, since the order is unique), a
-    reliable checkpoint so both passes below see the same partitions, the row
-    count of each partition (one pass; one row per partition, checkpointed),
-    running offsets over that tiny table, and a broadcast join of the
-    offsets, whose size is bounded by the partition count. No window over the
-    data itself, no single-partition step over rows, nothing collected to the
-    driver.
+    reliable checkpoint so both passes below see the same partitions, then
+    ``ordered_numbering``: the row count of each partition (one pass; one row
+    per partition, checkpointed), running offsets over that tiny table, and a
+    broadcast join of the offsets, whose size is bounded by the partition
+    count. No window over the data itself, no single-partition step over
+    rows, nothing collected to the driver.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -48,20 +48,37 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
         if cache_input is not None:
             src.unpersist()
 
+    return ordered_numbering([ordered], name)[0]
+
+
+def ordered_numbering(groups: Sequence[DataFrame], name: str) -> list[DataFrame]:
+    """Number the rows of several groups 1..N as one sequence: every row of
+    ``groups[0]`` first, then ``groups[1]``, ..., each group in its parent's
+    order.
+
+    Each group must be derived from the same range-sorted, checkpointed
+    DataFrame by narrow, order-preserving steps only (filter, explode,
+    project, broadcast join), so that within each checkpoint partition
+    ``monotonically_increasing_id`` is the running index of the group's rows.
+    Then only a tiny table is needed: rows per (group, partition), running
+    offsets over it (checkpointed once, at most groups x partitions rows) and
+    a broadcast join. The groups themselves are never sorted or shuffled.
+    """
     pid = F.spark_partition_id()
-    indexed = ordered.select(
-        "*",
-        pid.alias(_PID),
-        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_LOCAL),
-    )
-    sizes = ordered.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition; kept (reliably) so that later uses of the result
-    # do not count the sorted rows again.
-    offsets = sizes.select(_PID, (F.sum("_n").over(Window.orderBy(_PID)) - F.col("_n")).alias(_OFFSET)) \
-        .checkpoint(eager=True)
-    return indexed.join(F.broadcast(offsets), _PID).select(
-        (F.col(_OFFSET) + F.col(_LOCAL) + F.lit(1)).alias(name), *cols
-    )
+    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    sizes = None
+    for i, g in enumerate(groups):
+        part = g.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("_n")).withColumn("_grp", F.lit(i))
+        sizes = part if sizes is None else sizes.unionByName(part)
+    w = Window.orderBy("_grp", _PID)
+    offsets = sizes.select("_grp", _PID, (F.sum("_n").over(w) - F.col("_n")).alias(_OFFSET)).checkpoint(eager=True)
+    out = []
+    for i, g in enumerate(groups):
+        mine = F.broadcast(offsets.where(F.col("_grp") == i).drop("_grp"))
+        indexed = g.select("*", pid.alias(_PID), local.alias(_LOCAL))
+        out.append(indexed.join(mine, _PID).select((F.col(_OFFSET) + F.col(_LOCAL) + F.lit(1)).alias(name),
+                                                   *g.columns))
+    return out
 
 
 def attach_keys(children: DataFrame, key_map: DataFrame, on: str = "source_id", key: str = "char_id") -> DataFrame:

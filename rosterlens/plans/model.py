@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rosterlens.functions.numeric import to_int, to_smallint
 from rosterlens.functions.text import normalize_text, split_list
-from rosterlens.operators.keys import dense_key
+from rosterlens.operators.keys import dense_key, ordered_numbering
 from rosterlens.schema import CHARACTER_COLUMNS, INT_COLUMNS, RENAME_MAP, SMALLINT_COLUMNS
 
 CLASSES = "_classes"
@@ -136,11 +136,18 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
         )
     keyed_rows = dense_key(nested, source_order(), "char_id")
     character = character_rows(keyed_rows, "char_id")
-    cls = class_rows(keyed_rows, "char_id")
-    classes = dense_key(cls, [(F.col("_ord") > 0).asc(), F.col("char_id").asc(), F.col("_ord").asc()], "class_id")
-    feats = dense_key(feat_rows(keyed_rows, "char_id"), [F.col("char_id").asc(), F.col("_ord").asc()], "feat_id")
-    return Relations(
-        character,
-        classes.select("class_id", "char_id", "class", "subclass", "level"),
-        feats.select("feat_id", "char_id", "feat"),
-    )
+    # Children are numbered straight from the sorted, checkpointed character
+    # rows (filter / explode keep their order), so they need no sort of their
+    # own: starting classes first, then the other classes, each by character
+    # and position; feats by character and position.
+    has_start = F.col(HAS_START)
+    starts = keyed_rows.where(has_start).select(
+        "char_id", F.col(CLASSES)[0]["class"].alias("class"), F.col(CLASSES)[0]["subclass"].alias("subclass"),
+        F.col(START_LEVEL).alias("level"))
+    rest = F.when(has_start, F.slice(CLASSES, 2, F.greatest(F.size(CLASSES) - 1, F.lit(0)))).otherwise(F.col(CLASSES))
+    others = keyed_rows.select("char_id", F.explode(rest).alias("_e")).select(
+        "char_id", F.col("_e.class").alias("class"), F.col("_e.subclass").alias("subclass"),
+        F.lit(None).cast("smallint").alias("level"))
+    start_keyed, other_keyed = ordered_numbering([starts, others], "class_id")
+    feats = ordered_numbering([keyed_rows.select("char_id", F.explode(FEATS).alias("feat"))], "feat_id")[0]
+    return Relations(character, start_keyed.unionByName(other_keyed), feats)

@@ -28,3 +28,17 @@ def test_dense_key_without_input_cache(spark):
     df = spark.range(0, 300, 1, 5).select((299 - F.col("id")).alias("v"))
     got = sorted(tuple(r) for r in dense_key(df, ["v"], "k", cache_input=None).select("k", "v").collect())
     assert got == [(i + 1, i) for i in range(300)]
+
+
+def test_ordered_numbering_of_filtered_and_exploded_groups(spark):
+    from rosterlens.operators.keys import ordered_numbering
+
+    base = spark.range(0, 2000, 1, 7).select((F.col("id") * 7 % 2000).alias("v"))
+    ordered = base.repartitionByRange(9, "v").sortWithinPartitions("v").checkpoint(eager=True)
+    evens = ordered.where(F.col("v") % 2 == 0).select("v")
+    pairs = ordered.select("v", F.explode(F.array(F.lit(0), F.lit(1))).alias("j"))
+    a, b = ordered_numbering([evens, pairs], "k")
+    got_a = sorted(tuple(r) for r in a.select("k", "v").collect())
+    got_b = sorted(tuple(r) for r in b.select("k", "v", "j").collect())
+    assert got_a == [(i + 1, 2 * i) for i in range(1000)]
+    assert got_b == [(1001 + 2 * v + j, v, j) for v in range(2000) for j in (0, 1)]
