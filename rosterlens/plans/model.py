@@ -124,8 +124,9 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
 
     ``keyed``: dense surrogate keys 1..N in insert order (characters by
     source id; starting classes before other classes; feats by character
-    and position), each from one balanced range sort. Unkeyed relations use
-    ``source_id`` as the key and need no sort at all.
+    and position). Characters take one balanced range sort; class and feat
+    rows are numbered from it without a sort of their own. Unkeyed relations
+    use ``source_id`` as the key and need no sort at all.
     """
     nested = nest(clean)
     if not keyed:
