@@ -11,7 +11,7 @@ from rosterlens.operators.integrity import assert_sound, relation_counts
 from rosterlens.plans import reports
 from rosterlens.plans.clean import clean_profiles
 from rosterlens.plans.model import Relations, build_relations
-from rosterlens.schema import CHARACTER_COLUMNS
+from rosterlens.schema import CHARACTER_COLUMNS, VIEW_NAMES
 from rosterlens.session import use_utc
 from rosterlens.sources import csv_landing, sinks
 from rosterlens.streaming.landing import land_csv_stream
@@ -90,17 +90,18 @@ def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
 
 def view_builders(rels: Relations):
     """The reporting views in dependency order."""
-    return [
-        ("vw_class_popularity", lambda: reports.class_popularity(rels)),
-        ("vw_race_popularity", lambda: reports.race_popularity(rels)),
-        ("vw_multiclass_count", lambda: reports.multiclass_count(rels)),
-        ("vw_level_20_count", lambda: reports.level_20_count(rels)),
-        ("vw_maxed_stats", lambda: reports.maxed_stats(rels)),
-        ("vw_dump_stats", lambda: reports.dump_stats(rels)),
-        ("vw_class_notes_summary", lambda: reports.class_notes_summary(rels)),
-        ("vw_top_subclass_per_class", lambda: reports.top_subclass_per_class(rels)),
-        ("vw_dashboard_kpis", lambda: reports.dashboard_kpis(rels)),
+    builders = [
+        lambda: reports.class_popularity(rels),
+        lambda: reports.race_popularity(rels),
+        lambda: reports.multiclass_count(rels),
+        lambda: reports.level_20_count(rels),
+        lambda: reports.maxed_stats(rels),
+        lambda: reports.dump_stats(rels),
+        lambda: reports.class_notes_summary(rels),
+        lambda: reports.top_subclass_per_class(rels),
+        lambda: reports.dashboard_kpis(rels),
     ]
+    return list(zip(VIEW_NAMES, builders))
 
 
 def register_views(spark: SparkSession, rels: Relations) -> list[str]:

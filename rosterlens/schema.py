@@ -86,6 +86,10 @@ KPI_CARDS = [
     ("Level 20 Characters", "level_20_characters", 0),
     ("Average Level", "avg_total_level", 2),
 ]
+# Reporting views, in creation (dependency) order.
+VIEW_NAMES = ["vw_class_popularity", "vw_race_popularity", "vw_multiclass_count", "vw_level_20_count",
+              "vw_maxed_stats", "vw_dump_stats", "vw_class_notes_summary", "vw_top_subclass_per_class",
+              "vw_dashboard_kpis"]
 TOP_CLASSES = 15
 TOP_RACES = 15
 TOP_SUBCLASSES = 20
