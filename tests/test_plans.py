@@ -42,3 +42,28 @@ def test_unpivot_reads_character_once(spark):
         p = plan(fn(rels))
         assert p.count("Scan ExistingRDD") == base   # six stats, no extra scan
         assert "Expand" in p
+
+
+def test_report_scans_prune_columns_and_push_filters(spark):
+    df = registry.QUERIES["race_popularity"](spark, SF_SMALL)
+    df._jdf.queryExecution().executedPlan()  # planned
+    formatted = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "ReadSchema: struct<race:string>" in formatted
+    assert "IsNotNull(race)" in formatted
+
+
+def test_bucketed_relations_need_no_shuffle_for_character_joins(spark):
+    import re
+
+    from rosterlens.plans import reports
+
+    rels = registry.relations(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = rels.classes.join(rels.character, "char_id")
+        assert "Exchange" not in plan(joined)
+        per_char = plan(reports.multiclass_count(rels))
+        assert len(re.findall(r"Exchange hashpartitioning", per_char)) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
