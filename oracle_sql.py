@@ -17,6 +17,12 @@ _STATS = [("str", "stats_1"), ("dex", "stats_2"), ("con", "stats_3"),
           ("int", "stats_4"), ("wis", "stats_5"), ("cha", "stats_6")]
 _CORR = ["total_level", "hp", "str", "dex", "con", "int", "wis", "cha", "notes_len"]
 _EXCLUDED = "promo|small"
+# pandas read_csv default NA tokens.
+_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+_RAW_COLUMNS = ["char_id", "name", "race", "background", "total_level", "base_hp", "stats_1", "stats_2",
+                "stats_3", "stats_4", "stats_5", "stats_6", "notes_len", "date_modified", "class_starting",
+                "subclass_starting", "class_starting_level", "class_other", "subclass_other", "feats"]
 # ------------------------------------------------------------ end fixed values
 
 _WS = "(" + "||".join(f"chr({c})" for c in _WS_CODES) + ")"
@@ -266,6 +272,8 @@ def _checks() -> str:
 
 
 _TS = "strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+_NA_LIST = ", ".join("'" + t.replace("'", "''") + "'" for t in _NA_TOKENS)
+_CSV_COLS = ", ".join(f"CASE WHEN {c} IN ({_NA_LIST}) THEN NULL ELSE {c} END AS {c}" for c in _RAW_COLUMNS)
 _CHAR_COLS = ("source_id, name, race, background, total_level, hp, str, dex, con, \"int\", wis, cha, notes_len, "
               + _TS.format(c="recorded_at") + ", is_multiclass")
 _EXCL = f"NOT coalesce(regexp_matches(class, '{_EXCLUDED}', 'i'), false)"
@@ -304,6 +312,7 @@ ORACLE: dict[str, str] = {
     "sample_rows": _with("SELECT * REPLACE (CAST(src_ord AS BIGINT) AS src_ord) FROM raw "
                          "ORDER BY src_ord, try_cast(char_id AS DECIMAL(38,0)) NULLS LAST, char_id LIMIT 1000"),
     "view_lookup": _with("SELECT * FROM r_top_subclass_per_class"),
+    "csv_landing": _with(f"SELECT {_CSV_COLS} FROM raw"),
     "class_popularity": _with("SELECT * FROM r_class_popularity ORDER BY character_count DESC"),
     "race_popularity": _with("SELECT * FROM r_race_popularity ORDER BY character_count DESC"),
     "multiclass_count": _with("SELECT * FROM r_multiclass_count"),

@@ -25,7 +25,7 @@ from rosterlens.plans.model import Relations, build_relations, split_lists
 from rosterlens.plans.pipeline import register_views
 from rosterlens.schema import RAW_NUMERIC_COLUMNS
 from rosterlens.session import ensure_checkpoint_dir, use_utc
-from rosterlens.sources.csv_landing import sample_rows
+from rosterlens.sources.csv_landing import OK, STATUS, read_profile_csv, sample_rows, write_profile_csv
 from rosterlens.sources.fixtures import raw_profiles
 from rosterlens.sources.sinks import create_schema, write_table
 from rosterlens.sources.tables import key_map, load_view, numeric_projection
@@ -40,6 +40,7 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _LANDED: dict[tuple[str, str], DataFrame] = {}
 _CLEANED: dict[tuple[str, str], DataFrame] = {}
 _BUILT: dict[tuple[str, str], Relations] = {}
+_CSV: dict[tuple[str, str], str] = {}
 # One build at a time: two threads must not overwrite the same folders.
 _LOCK = threading.RLock()
 BUCKET_BYTES = 128 * 1024 * 1024
@@ -226,6 +227,20 @@ def q_sample_rows(spark, d):
     return _ord(sample_rows(df, SAMPLE_ROWS, ("src_ord", "_n", "char_id")).drop("_n"))
 
 
+def q_csv_landing(spark, d):
+    """S1 on the whole fixture: the raw columns written once per session as a
+    CSV file set, then scanned with the all-string schema, NA tokens, status
+    and source order; the usable rows are returned (without the new
+    ``src_ord``, which numbers file rows)."""
+    key = _key(spark, d)
+    with _LOCK:
+        if key not in _CSV:
+            path = _scratch(spark, "csv", _slug(d))
+            _CSV[key] = write_profile_csv(raw(spark, d).drop("src_ord"), path)
+    landed = read_profile_csv(spark, _CSV[key])
+    return landed.where(F.col(STATUS) == OK).drop(STATUS, "src_ord")
+
+
 def q_view_lookup(spark, d):
     register_views(spark, relations(spark, d))
     return load_view(spark, "vw_top_subclass_per_class")
@@ -257,6 +272,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "numeric_projection": q_numeric_projection,
     "sample_rows": q_sample_rows,
     "view_lookup": q_view_lookup,
+    "csv_landing": q_csv_landing,
     "class_popularity": _on_relations(lambda r: reports.class_popularity(r, ordered=True)),
     "race_popularity": _on_relations(lambda r: reports.race_popularity(r, ordered=True)),
     "multiclass_count": _on_relations(reports.multiclass_count),

@@ -89,3 +89,18 @@ def sample_rows(df: DataFrame, n: int | None, order: Sequence[str] = ("src_ord",
     if n is None:
         return df
     return df.orderBy(*order).limit(n)
+
+
+def write_profile_csv(df: DataFrame, path: str) -> str:
+    """Write rows as CSV the way the reader above expects: header, RFC 4180
+    quoting (quotes doubled), white space kept, null as an empty field."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
