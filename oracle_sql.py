@@ -304,6 +304,9 @@ ORACLE: dict[str, str] = {
     "relation_counts": _with("SELECT 'character' AS relation, count(*) AS \"rows\" FROM character_k "
                              "UNION ALL SELECT 'character_class', count(*) FROM class_k "
                              "UNION ALL SELECT 'character_feats', count(*) FROM feat_k"),
+    "refresh_counts": _with("SELECT 'character' AS relation, count(*) AS \"rows\" FROM character_k "
+                            "UNION ALL SELECT 'character_class', count(*) FROM class_k "
+                            "UNION ALL SELECT 'character_feats', count(*) FROM feat_k"),
     "orphan_check": _with(_checks()),
     "cascade_delete": _with("SELECT class_id, char_id, class, subclass, level FROM class_k WHERE char_id NOT IN "
                             "(SELECT char_id FROM character_k WHERE recorded_at IS NULL)"),

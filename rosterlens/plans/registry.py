@@ -22,7 +22,7 @@ from rosterlens.operators.keys import attach_keys
 from rosterlens.plans import clean as cl
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations, build_relations, split_lists
-from rosterlens.plans.pipeline import register_views
+from rosterlens.plans.pipeline import LOAD_COLUMNS, Settings, refresh, register_views
 from rosterlens.schema import RAW_NUMERIC_COLUMNS
 from rosterlens.session import ensure_checkpoint_dir, use_utc
 from rosterlens.sources.csv_landing import OK, STATUS, read_profile_csv, sample_rows, write_profile_csv
@@ -232,13 +232,30 @@ def q_csv_landing(spark, d):
     CSV file set, then scanned with the all-string schema, NA tokens, status
     and source order; the usable rows are returned (without the new
     ``src_ord``, which numbers file rows)."""
+    landed = read_profile_csv(spark, _profile_csv(spark, d))
+    return landed.where(F.col(STATUS) == OK).drop(STATUS, "src_ord")
+
+
+def _profile_csv(spark: SparkSession, d: str) -> str:
+    """The raw columns as a CSV file set, written once per session and folder
+    (the landing assigns its own source order, so ``src_ord`` is left out)."""
     key = _key(spark, d)
     with _LOCK:
         if key not in _CSV:
             path = _scratch(spark, "csv", _slug(d))
             _CSV[key] = write_profile_csv(raw(spark, d).drop("src_ord"), path)
-    landed = read_profile_csv(spark, _CSV[key])
-    return landed.where(F.col(STATUS) == OK).drop(STATUS, "src_ord")
+        return _CSV[key]
+
+
+def q_refresh_counts(spark, d):
+    """P1/P2 end to end on the fixture's CSV: drop and create the database,
+    land the CSV, clean, build keyed relations, load the tables (L4, L5),
+    create the views; returns rows per loaded table (L8)."""
+    slug = _slug(d)
+    db = "rosterlens_refresh_" + re.sub(r"[^0-9a-zA-Z]", "_", slug)
+    refresh(spark, Settings(source=_profile_csv(spark, d), landing=_scratch(spark, "refresh", slug, "landed"),
+                            database=db, database_location=_scratch(spark, "refresh", slug, "db")))
+    return relation_counts({n: spark.table(f"`{db}`.`{n}`") for n in LOAD_COLUMNS})
 
 
 def q_view_lookup(spark, d):
@@ -273,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": q_sample_rows,
     "view_lookup": q_view_lookup,
     "csv_landing": q_csv_landing,
+    "refresh_counts": q_refresh_counts,
     "class_popularity": _on_relations(lambda r: reports.class_popularity(r, ordered=True)),
     "race_popularity": _on_relations(lambda r: reports.race_popularity(r, ordered=True)),
     "multiclass_count": _on_relations(reports.multiclass_count),
