@@ -59,7 +59,7 @@ def main(argv=None) -> int:
     r.add_argument("--database-location")
     r.add_argument("--sample-rows", type=int)
     r.add_argument("--timestamp-format")
-    r.add_argument("--buckets", type=int)
+    r.add_argument("--buckets", default="auto", help='bucket count on char_id, "auto" (default) or 0 for none')
     r.add_argument("--validate", action="store_true", help="check keys and references before loading")
     q = sub.add_parser("report", help="one reporting question over the loaded tables")
     q.add_argument("name", choices=sorted(REPORTS))
@@ -82,7 +82,9 @@ def main(argv=None) -> int:
             source=args.source, landing=args.landing, stream_checkpoint=args.stream_checkpoint,
             database=args.database,
             database_location=args.database_location, sample_rows=args.sample_rows,
-            timestamp_format=args.timestamp_format, buckets=args.buckets, validate=args.validate))
+            timestamp_format=args.timestamp_format,
+            buckets=args.buckets if args.buckets == "auto" else (int(args.buckets) or None),
+            validate=args.validate))
         print(json.dumps(counts))
     elif args.cmd == "report":
         REPORTS[args.name](_tables(spark, args.database, args.tables)).show(args.rows, truncate=False)

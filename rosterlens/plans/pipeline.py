@@ -34,7 +34,7 @@ class Settings:
     database_location: str | None = None  # where a (re)created database lives
     sample_rows: int | None = None
     timestamp_format: str | None = None
-    buckets: int | None = None         # bucket the tables on char_id
+    buckets: int | str | None = "auto"  # bucket the tables on char_id: a count, "auto" or None
     validate: bool = False             # check keys and references before loading
     jdbc_url: str | None = None
     jdbc_properties: dict = field(default_factory=dict)
@@ -63,26 +63,32 @@ def transform(raw: DataFrame, settings: Settings | None = None) -> Relations:
     return build_relations(clean_profiles(raw, fmt), keyed=True)
 
 
-def load(spark: SparkSession, rels: Relations, settings: Settings) -> None:
-    """Full refresh of the three tables (catalog, or JDBC when a URL is set)."""
+def load(spark: SparkSession, rels: Relations, settings: Settings, size_hint: DataFrame | None = None) -> None:
+    """Full refresh of the three tables (catalog, or JDBC when a URL is set).
+    With ``buckets="auto"`` the bucket count follows the size of
+    ``size_hint`` (the extracted input, whose file sizes Spark knows)."""
     if settings.jdbc_url:
         for name, df in rels.as_dict().items():
             sinks.write_jdbc(sinks.sink_rows(df, LOAD_COLUMNS[name]), settings.jdbc_url,
                              f"{settings.database}.{name}", settings.jdbc_properties)
         return
-    sinks.write_relations(rels.as_dict(), settings.database, LOAD_COLUMNS, buckets=settings.buckets)
+    buckets = settings.buckets
+    if buckets == "auto":
+        buckets = sinks.auto_buckets(spark, size_hint if size_hint is not None else rels.character)
+    sinks.write_relations(rels.as_dict(), settings.database, LOAD_COLUMNS, buckets=buckets)
 
 
 def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
     """Extract, transform, load; returns rows per loaded relation (three
     numbers come back to the driver)."""
     use_utc(spark)
-    rels = transform(extract(spark, settings), settings)
+    raw = extract(spark, settings)
+    rels = transform(raw, settings)
     if settings.validate:
         # The database's constraints rejected bad rows on insert; here the
         # built relations are checked before anything is written.
         assert_sound(rels.character, rels.classes, rels.feats)
-    load(spark, rels, settings)
+    load(spark, rels, settings, size_hint=raw)
     loaded = Relations(*(spark.table(f"`{settings.database}`.`{n}`") for n in LOAD_COLUMNS)) \
         if not settings.jdbc_url else rels
     return {r["relation"]: r["rows"] for r in relation_counts(loaded.as_dict()).collect()}

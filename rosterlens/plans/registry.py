@@ -27,7 +27,7 @@ from rosterlens.schema import RAW_NUMERIC_COLUMNS
 from rosterlens.session import ensure_checkpoint_dir, use_utc
 from rosterlens.sources.csv_landing import OK, STATUS, read_profile_csv, sample_rows, write_profile_csv
 from rosterlens.sources.fixtures import raw_profiles
-from rosterlens.sources.sinks import create_schema, write_table
+from rosterlens.sources.sinks import auto_buckets, create_schema, write_table
 from rosterlens.sources.tables import key_map, load_view, numeric_projection
 
 # Oracle tests exercise the class exclusion with a pattern that matches the
@@ -43,7 +43,6 @@ _BUILT: dict[tuple[str, str], Relations] = {}
 _CSV: dict[tuple[str, str], str] = {}
 # One build at a time: two threads must not overwrite the same folders.
 _LOCK = threading.RLock()
-BUCKET_BYTES = 128 * 1024 * 1024
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -109,23 +108,13 @@ def _relations(spark: SparkSession, sf_dir: str, key) -> Relations:
         # instead of shuffling.
         db = "rosterlens_" + re.sub(r"[^0-9a-zA-Z]", "_", _slug(sf_dir))
         create_schema(spark, db, drop=True, location=_scratch(spark, "tables", _slug(sf_dir)))
-        buckets = _bucket_count(spark, cleaned(spark, sf_dir))
+        buckets = auto_buckets(spark, cleaned(spark, sf_dir))
         for name, df in built.as_dict().items():
             write_table(df, db, name, bucket_key="char_id", buckets=buckets)
         _BUILT[key] = Relations(*(spark.table(f"`{db}`.`{n}`") for n in built.as_dict()))
     return _BUILT[key]
 
 
-def _bucket_count(spark: SparkSession, source: DataFrame) -> int:
-    """About one bucket per 128 MB of the cleaned input (its Parquet size as
-    planned), at least the session's parallelism, at most its shuffle
-    partitions."""
-    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    lo = spark.sparkContext.defaultParallelism
-    hi = max(lo, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(lo, min(hi, -(-size // BUCKET_BYTES)))
-
-
 def unkeyed(spark: SparkSession, sf_dir: str) -> Relations:
     return build_relations(cleaned(spark, sf_dir), keyed=False)
 

@@ -35,6 +35,19 @@ def sink_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*out)
 
 
+BUCKET_BYTES = 128 * 1024 * 1024
+
+
+def auto_buckets(spark: SparkSession, source: DataFrame) -> int:
+    """About one bucket per 128 MB of ``source`` (its planned size, e.g. the
+    Parquet bytes), at least the session's parallelism, at most its shuffle
+    partitions."""
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    lo = spark.sparkContext.defaultParallelism
+    hi = max(lo, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(lo, min(hi, -(-size // BUCKET_BYTES)))
+
+
 def write_table(df: DataFrame, database: str, table: str, mode: str = "overwrite",
                 bucket_key: str | None = None, buckets: int | None = None, fmt: str = "parquet") -> None:
     """Full refresh of one catalog table. With ``bucket_key`` the table is
