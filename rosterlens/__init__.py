@@ -4,7 +4,7 @@ Layers:
   functions/  column expressions (text, numbers, statistics)
   operators/  generic DataFrame operators (dedupe, explode, keys, aggregates)
   sources/    CSV landing, fixture adapter, table reads, sinks
-  plans/      the domain plans: cleaning, modelling, reports, explorer, pipeline
+  plans/      the domain plans: cleaning, modelling, reports, explorer, ETL job
   streaming/  incremental landing of a CSV drop folder
 """
 

@@ -16,7 +16,7 @@ import sys
 
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations
-from rosterlens.plans.pipeline import LOAD_COLUMNS, Settings, refresh
+from rosterlens.plans.etl import LOAD_COLUMNS, Settings, refresh
 
 REPORTS = {
     "class_popularity": lambda r: reports.class_popularity(r, ordered=True),

@@ -1 +1 @@
-"""Domain plans: cleaning, modelling, reports, explorer, pipeline."""
+"""Domain plans: cleaning, modelling, reports, explorer, ETL job."""

@@ -22,7 +22,7 @@ from rosterlens.operators.keys import attach_keys
 from rosterlens.plans import clean as cl
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations, build_relations, split_lists
-from rosterlens.plans.pipeline import LOAD_COLUMNS, Settings, refresh, register_views
+from rosterlens.plans.etl import LOAD_COLUMNS, Settings, refresh, register_views
 from rosterlens.schema import RAW_NUMERIC_COLUMNS
 from rosterlens.session import ensure_checkpoint_dir, use_utc
 from rosterlens.sources.csv_landing import OK, STATUS, read_profile_csv, sample_rows, write_profile_csv

@@ -1,7 +1,7 @@
 import os
 import tempfile
 
-from rosterlens.plans.pipeline import Settings, refresh, run_pipeline
+from rosterlens.plans.etl import Settings, refresh, run_pipeline
 from rosterlens.sources import sinks
 
 from tests_pipeline_data import HEADER, ROWS
@@ -44,7 +44,7 @@ def test_bucketed_tables_join_without_shuffle(spark):
     """Tables written bucketed on char_id: R7's join reads co-located files."""
     from rosterlens.plans import reports
     from rosterlens.plans.model import Relations
-    from rosterlens.plans.pipeline import LOAD_COLUMNS
+    from rosterlens.plans.etl import LOAD_COLUMNS
     from rosterlens.plans.registry import relations
 
     from conftest import SF_SMALL

@@ -29,7 +29,7 @@ def test_drop_folder_is_landed_once_and_incrementally(spark):
 
 
 def test_pipeline_with_incremental_landing(spark):
-    from rosterlens.plans.pipeline import Settings, run_pipeline
+    from rosterlens.plans.etl import Settings, run_pipeline
     from tests_pipeline_data import HEADER, ROWS
 
     d = tempfile.mkdtemp(prefix="stream-etl-", dir="/tmp")
