@@ -92,3 +92,45 @@ def test_argmin_counts_brute_force(spark):
                 if v == min(vals):
                     want[c] += 1
     assert got == dict(want)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_group_summary_mean_and_exact_median(spark, seed):
+    import statistics
+
+    rnd = random.Random(seed)
+    data = [(rnd.choice("gh"), rnd.randint(1, 30), None if rnd.random() < 0.1 else rnd.randint(0, 500))
+            for _ in range(200)]
+    got = {r[0]: tuple(r[1:]) for r in agg.group_summary(
+        spark.createDataFrame(data, "g string, e int, v int"), "g", "e", "v").collect()}
+    for g in {g for g, _, _ in data}:
+        vals = [v for gg, _, v in data if gg == g and v is not None]
+        ents = {e for gg, e, v in data if gg == g and v is not None}
+        n, mean, median = got[g]
+        assert n == len(ents)
+        assert mean == pytest.approx(statistics.fmean(vals))
+        assert median == statistics.median(vals)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_popularity_distinct_and_rows(spark, seed):
+    rnd = random.Random(seed)
+    data = [(rnd.choice("abc"), rnd.randint(1, 15)) for _ in range(100)]
+    df = spark.createDataFrame(data, "g string, e int")
+    distinct = {r[0]: r[1] for r in agg.popularity(df, "g", "e").collect()}
+    rows_ = {r[0]: r[1] for r in agg.popularity(df, "g").collect()}
+    for g in {g for g, _ in data}:
+        assert distinct[g] == len({e for gg, e in data if gg == g})
+        assert rows_[g] == sum(1 for gg, _ in data if gg == g)
+
+
+def test_page_matches_python_slicing(spark):
+    from rosterlens.operators.paging import page
+
+    rnd = random.Random(5)
+    data = [(rnd.randint(0, 9), f"k{i:03d}") for i in range(57)]
+    df = spark.createDataFrame(data, "c int, k string")
+    want = sorted(data, key=lambda t: (-t[0], t[1]))
+    for p in range(4):
+        got = [tuple(r) for r in page(df, [F.desc("c"), "k"], p, 20).collect()]
+        assert got == want[p * 20:(p + 1) * 20]
