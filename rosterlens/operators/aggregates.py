@@ -40,20 +40,29 @@ def unpivot_measures(df: DataFrame, ids: Sequence[str], measures: Sequence[str],
     return df.unpivot(list(ids), list(measures), name_col, value_col)
 
 
+def _stacked(counts: DataFrame, measures: Sequence[str], name: str, name_col: str) -> DataFrame:
+    """One-row counts per measure -> (measure, count) rows, zero counts
+    dropped (a GROUP BY over matching rows has no row for them)."""
+    cells = F.array(*[F.struct(F.lit(m).alias(name_col), F.col(m).alias(name)) for m in measures])
+    return counts.select(F.inline(cells)).where(F.col(name) > 0)
+
+
 def threshold_counts(df: DataFrame, measures: Sequence[str], threshold, name: str,
                      name_col: str = "stat_name") -> DataFrame:
     """Per measure, the rows whose value is >= threshold. Measures with no such
-    row give no output row."""
-    long = unpivot_measures(df.select(*measures), [], measures, name_col, "_v")
-    return long.where(F.col("_v") >= threshold).groupBy(name_col).agg(F.count(F.lit(1)).alias(name))
+    row give no output row. One pass: one conditional count per measure in a
+    single aggregate (no row multiplication, no group-by shuffle)."""
+    counts = df.agg(*[F.count_if(F.col(m) >= threshold).alias(m) for m in measures])
+    return _stacked(counts, measures, name, name_col)
 
 
 def argmin_counts(df: DataFrame, measures: Sequence[str], name: str, name_col: str = "stat_name") -> DataFrame:
     """Per measure, the rows where it equals the row's minimum over all
-    measures (nulls skipped by least; ties all counted)."""
-    with_min = df.select(*measures, F.least(*[F.col(m) for m in measures]).alias("_min"))
-    long = unpivot_measures(with_min, ["_min"], measures, name_col, "_v")
-    return long.where(F.col("_v") == F.col("_min")).groupBy(name_col).agg(F.count(F.lit(1)).alias(name))
+    measures (nulls skipped by least; ties all counted). One pass, as above;
+    the row minimum is a shared subexpression."""
+    low = F.least(*[F.col(m) for m in measures])
+    counts = df.agg(*[F.count_if(F.col(m) == low).alias(m) for m in measures])
+    return _stacked(counts, measures, name, name_col)
 
 
 def group_summary(df: DataFrame, group: str, entity: str, value: str,
