@@ -134,3 +134,9 @@ def test_page_matches_python_slicing(spark):
     for p in range(4):
         got = [tuple(r) for r in page(df, [F.desc("c"), "k"], p, 20).collect()]
         assert got == want[p * 20:(p + 1) * 20]
+
+
+def test_unpivot_measures_keeps_nulls(spark):
+    df = spark.createDataFrame([(1, 5, None), (2, None, 7)], "id int, a int, b int")
+    got = sorted(tuple(r) for r in agg.unpivot_measures(df, ["id"], ["a", "b"], "m", "v").collect())
+    assert got == [(1, "a", 5), (1, "b", None), (2, "a", None), (2, "b", 7)]

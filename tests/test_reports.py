@@ -96,3 +96,9 @@ def test_r8_tie_break_collation(spark):
     rels = Relations(None, classes, None)
     assert rows(reports.top_subclass_per_class(rels)) == [("F", "B", 1)]
     assert rows(reports.top_subclass_per_class(rels, collation="UNICODE")) == [("F", "a", 1)]
+
+
+def test_d9_custom_order_and_filter(rels):
+    got = [tuple(r) for r in explore.explorer_page(rels, where="metric = 'class_popularity'",
+                                                   order=[F.asc("category")], size=5).collect()]
+    assert got == [("class_popularity", "Fighter", 2.0), ("class_popularity", "Wizard", 2.0)]
