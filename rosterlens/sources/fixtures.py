@@ -1,8 +1,8 @@
 """Raw profile rows derived from the supplied TPC-H-like tables.
 
-``orders`` gives the profile, ``customer`` name and race, the first four
-lines of an order (``lineitem`` x ``part``) the classes (p_type), subclasses
-(p_brand) and feats (p_name). Dirt is put in by key arithmetic so that every
+``orders`` gives the profile, ``customer`` name and race, all lines of an
+order (``lineitem`` x ``part``) the classes (p_type), subclasses (p_brand) and
+feats (p_name): line 1 the starting class, the others the listed ones. Dirt is put in by key arithmetic so that every
 cleaning rule has work to do; the rules and their targets are listed in
 FIXTURES.md section 4. Output: all-string raw columns plus ``src_ord``.
 """
@@ -12,38 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LINES_PER_PROFILE = 4
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(k, c1, s1, c2, s2, c3, s3, c4, f1, f2, f3): the first four lines of each
-    order by (line number, part, supplier), pivoted.
-
-    ``row_number() <= 4`` is limited map-side (partial WindowGroupLimit), so
-    an order with very many lines ships at most four rows per map task.
-    """
+    """(k, lines): all lines of each order, by (line number, part, supplier),
+    with their part's type, brand and name. The list is the profile's own
+    content, so its length is that of one order."""
     li = _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("pk"), "l_linenumber", "l_suppkey"
     )
-    w = Window.partitionBy("k").orderBy("l_linenumber", "pk", "l_suppkey")
-    line = li.withColumn("ln", F.row_number().over(w)).where(F.col("ln") <= LINES_PER_PROFILE)
     part = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"), "p_type", "p_brand", "p_name")
-    ln = F.col("ln")
-
-    def at(n, c):
-        return F.max(F.when(ln == n, F.col(c)))
-
-    return line.join(part, "pk").groupBy("k").agg(
-        at(1, "p_type").alias("c1"), at(1, "p_brand").alias("s1"),
-        at(2, "p_type").alias("c2"), at(2, "p_brand").alias("s2"),
-        at(3, "p_type").alias("c3"), at(3, "p_brand").alias("s3"),
-        at(4, "p_type").alias("c4"),
-        at(1, "p_name").alias("f1"), at(2, "p_name").alias("f2"), at(3, "p_name").alias("f3"),
-    )
+    line = F.struct("l_linenumber", "pk", "l_suppkey", "p_type", "p_brand", "p_name")
+    return li.join(part, "pk").groupBy("k").agg(F.sort_array(F.collect_list(line)).alias("lines"))
 
 
 def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +66,13 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined = F.concat_ws(sep, *parts)
         return F.when(joined != "", joined)
 
+    lines = F.col("lines")
+
+    def some(field, first, n=None, sep="/", shape=lambda c: c):
+        """Lines first, first + 1, ... (n of them, or all) as one list; null when there are none."""
+        part = F.slice(lines, F.lit(first), F.lit(n) if n else F.greatest(F.size(lines), F.lit(1)))
+        return F.when(F.size(part) > 0, F.array_join(F.transform(part, lambda x: shape(x[field])), sep))
+
     return versions.select(
         v.alias("src_ord"),
         s(k).alias("char_id"),
@@ -100,11 +89,11 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         s((k * 23 + 6) % 33).alias("stats_6"),
         F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(s((k * 13) % 5000 - 50)).alias("notes_len"),
         ds.alias("date_modified"),
-        F.col("c1").alias("class_starting"),
-        F.when(k % 31 == 0, F.lit(" None ")).otherwise(F.col("s1")).alias("subclass_starting"),
+        F.get(lines, F.lit(0))["p_type"].alias("class_starting"),
+        F.when(k % 31 == 0, F.lit(" None ")).otherwise(F.get(lines, F.lit(0))["p_brand"]).alias("subclass_starting"),
         s(k % 22).alias("class_starting_level"),
-        listed("/", F.col("c2"), F.concat(F.lit(" "), F.col("c3"), F.lit(" ")),
-               F.when(k % 13 == 0, F.lit("NONE")), F.lit(""), F.col("c4")).alias("class_other"),
-        listed("/", F.col("s2"), F.col("s3")).alias("subclass_other"),
-        listed(" / ", F.col("f1"), F.col("f2"), F.col("f3")).alias("feats"),
+        listed("/", some("p_type", 2, 1), some("p_type", 3, 1, shape=lambda c: F.concat(F.lit(" "), c, F.lit(" "))),
+               F.when(k % 13 == 0, F.lit("NONE")), F.lit(""), some("p_type", 4)).alias("class_other"),
+        listed("/", some("p_brand", 2), F.when(k % 23 == 0, F.lit("Extra/More"))).alias("subclass_other"),
+        listed(" / ", some("p_name", 1, sep=" / ")).alias("feats"),
     )
