@@ -68,16 +68,22 @@ def argmin_counts(df: DataFrame, measures: Sequence[str], name: str, name_col: s
 def group_summary(df: DataFrame, group: str, entity: str, value: str,
                   names=("characters", "avg_value", "median_value")) -> DataFrame:
     """Per group: distinct entities, mean and exact interpolated median of
-    ``value`` over non-null values."""
+    ``value`` over the non-null rows.
+
+    Rows are first merged to (group, entity, value) with a weight, then to
+    (group, value), so the median's map holds a group's distinct values and
+    neither step keeps a map per entity. An entity may have several values."""
     n_name, avg_name, med_name = names
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group)
-        .agg(
-            F.count_distinct(entity).alias(n_name),
-            F.avg(value).alias(avg_name),
-            F.percentile(F.col(value), F.lit(0.5)).alias(med_name),
-        )
+    per_value = df.where(F.col(value).isNotNull()).groupBy(entity, group, value).agg(F.count(F.lit(1)).alias("_w"))
+    # an entity counts once a group: with its first value there
+    per_entity = per_value.groupBy(entity, group).agg(F.collect_list(F.struct(F.col(value), F.col("_w"))).alias("_values"))
+    rows = per_entity.select(group, F.posexplode("_values").alias("_i", "_v")).select(
+        group, F.col("_v." + value).alias(value), F.col("_v._w").alias("_w"), (F.col("_i") == 0).cast("long").alias("_one"))
+    merged = rows.groupBy(group, value).agg(F.sum("_w").alias("_w"), F.sum("_one").alias("_one"))
+    return merged.groupBy(group).agg(
+        F.sum("_one").alias(n_name),
+        (F.sum(F.col("_w") * F.col(value)) / F.sum("_w")).alias(avg_name),
+        F.percentile(F.col(value), F.lit(0.5), F.col("_w")).alias(med_name),
     )
 
 
@@ -105,15 +111,13 @@ def membership_rate(df: DataFrame, entity: str, group: str,
     """Per group: entities in it, those of them that belong to more than one
     distinct group, and the exact percentage (2 decimals, half up).
 
-    The distinct (entity, group) membership is computed once; the
-    per-entity flag counts its rows (a hash aggregate with partial
-    aggregation, reading the same shuffle output), and the join back is on
-    the entity, so a hot entity is split by adaptive skew-join handling.
+    One scan and no join: a window over the distinct (entity, group) rows of an
+    entity counts its groups.
     """
     members_name, multi_name, rate_name = names
     membership = df.select(entity, group).where(F.col(group).isNotNull()).distinct()
-    flags = membership.groupBy(entity).agg((F.count(F.lit(1)) > 1).alias("_multi"))
-    per_group = membership.join(flags, entity).groupBy(group).agg(
+    flags = membership.withColumn("_multi", F.count(F.lit(1)).over(Window.partitionBy(entity)) > 1)
+    per_group = flags.groupBy(group).agg(
         F.count(F.lit(1)).alias(members_name),
         F.sum(F.col("_multi").cast("long")).alias(multi_name),
     )
