@@ -7,7 +7,9 @@ reason instead of aborting the load.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from rosterlens.functions.text import na_to_null
 OVERFLOW = "_overflow"
 CORRUPT = "_bad"
 STATUS = "_status"
+FILE = "_file"
 OK = "ok"
 
 
@@ -31,8 +34,22 @@ def _csv_reader(spark: SparkSession):
     )
 
 
+def file_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(header columns, files) for each distinct header under ``path``. One
+    line of each file comes back, beside the file list the driver has anyway."""
+    first = (spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+             .where("file_block_start = 0").withColumn("n", F.monotonically_increasing_id())
+             .groupBy("file_path").agg(F.min_by("value", "n").alias("header")))
+    found: dict[tuple, list[str]] = {}
+    for r in first.orderBy("file_path").toLocalIterator():
+        columns = next(csv.reader([r["header"].lstrip("\ufeff").rstrip("\r")]), [])
+        found.setdefault(tuple(columns), []).append(r["file_path"])
+    return [(list(c), files) for c, files in found.items()]
+
+
 def header_columns(spark: SparkSession, path: str) -> list[str]:
-    return _csv_reader(spark).csv(path).columns
+    """All columns that some file under ``path`` has, in order of first appearance."""
+    return list(dict.fromkeys(c for columns, _ in file_headers(spark, path) for c in columns))
 
 
 def read_profile_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -42,14 +59,24 @@ def read_profile_csv(spark: SparkSession, path: str, columns: Sequence[str] | No
     each row a ``_status``: ``ok``, ``long_row`` (more fields than the
     header; pandas would abort) or ``null_key``.
 
-    One extra trailing column catches overflow fields: a row is long when it
-    fills that column, or when Spark does not flag it as short of the extra
-    column. ``src_ord`` follows row order within a file; files are taken in
-    Spark's scan order.
+    Each file is read by its own header: columns go by name, a column that a
+    file lacks is null there. One extra trailing column catches overflow fields:
+    a row is long when it fills that column, or when Spark does not flag it as
+    short of the extra column. ``src_ord`` is (batch, file, row): files by path,
+    rows as they stand in the file, whatever the files' sizes.
     """
-    columns = list(columns) if columns is not None else header_columns(spark, path)
-    raw = _csv_reader(spark).schema(scan_schema(columns)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-    return flag_rows(raw, columns, key, F.monotonically_increasing_id())
+    headers = file_headers(spark, path)
+    columns = list(columns) if columns is not None else list(dict.fromkeys(c for h, _ in headers for c in h))
+    parts = []
+    for header, files in headers:
+        raw = _csv_reader(spark).schema(scan_schema(header)).option("columnNameOfCorruptRecord", CORRUPT)
+        raw = raw.csv(path) if len(headers) == 1 else raw.csv(files)
+        raw = raw.withColumn(FILE, F.col("_metadata.file_path"))
+        raw = raw.withColumns({c: F.lit(None).cast("string") for c in columns if c not in header})
+        parts.append(flag_rows(raw, columns, key, 0))
+    if not parts:
+        return spark.createDataFrame([], landed_schema(columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_schema(columns: Sequence[str]) -> T.StructType:
@@ -60,28 +87,47 @@ def scan_schema(columns: Sequence[str]) -> T.StructType:
     )
 
 
-def flag_rows(raw: DataFrame, columns: Sequence[str], key: str, src_ord) -> DataFrame:
+def landed_schema(columns: Sequence[str]) -> T.StructType:
+    """What a scan gives: the columns, ``src_ord`` and ``_status``."""
+    order = T.StructType([T.StructField("batch", T.LongType()), T.StructField("file", T.StringType()),
+                          T.StructField("row", T.LongType())])
+    return T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField("src_ord", order),
+                         T.StructField(STATUS, T.StringType())])
+
+
+def flag_rows(raw: DataFrame, columns: Sequence[str], key: str, batch: int) -> DataFrame:
     """NA tokens -> null, ``src_ord``, ``_status`` (see read_profile_csv)."""
     long_row = F.col(OVERFLOW).isNotNull() | F.col(CORRUPT).isNull()
     status = F.when(long_row, F.lit("long_row")).when(na_to_null(F.col(key)).isNull(), F.lit("null_key")).otherwise(F.lit(OK))
+    # a multi-line file is read by one task from its start, so ids grow along it
+    order = F.struct(F.lit(batch).cast("long").alias("batch"), F.col(FILE).alias("file"),
+                     F.monotonically_increasing_id().alias("row"))
     return raw.select(
         *[na_to_null(F.col(c)).alias(c) for c in columns],
-        src_ord.alias("src_ord"),
+        order.alias("src_ord"),
         status.alias(STATUS),
     )
 
 
+BATCH = "landed_batch"
+
+
 def land_csv(spark: SparkSession, path: str, out: str, columns: Sequence[str] | None = None,
              key: str = "char_id") -> str:
     """One pass: scan, flag, write Parquet partitioned by ``_status`` so the
     usable rows and the quarantine come from the same read."""
-    read_profile_csv(spark, path, columns, key).write.mode("overwrite").partitionBy(STATUS).parquet(out)
+    rows = read_profile_csv(spark, path, columns, key)
+    rows.withColumn(BATCH, F.lit(0)).write.mode("overwrite").partitionBy(BATCH, STATUS).parquet(out)
     return out
 
 
-def read_landed(spark: SparkSession, out: str, status: str = OK) -> DataFrame:
-    """Rows of one status (partition pruning reads only that folder)."""
-    return spark.read.parquet(out).where(F.col(STATUS) == status).drop(STATUS)
+def read_landed(spark: SparkSession, out: str, status: str = OK, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows of one status (partition pruning reads only that folder). With
+    ``columns`` the schema is given, so a landing without rows reads as empty."""
+    reader = spark.read
+    if columns is not None:
+        reader = reader.schema(landed_schema(columns).add(BATCH, T.IntegerType()))
+    return reader.parquet(out).where(F.col(STATUS) == status).drop(STATUS, BATCH)
 
 
 def sample_rows(df: DataFrame, n: int | None, order: Sequence[str] = ("src_ord",)) -> DataFrame:

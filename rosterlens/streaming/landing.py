@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlens.sources.csv_landing import CORRUPT, STATUS, flag_rows, scan_schema
+from rosterlens.sources.csv_landing import BATCH, CORRUPT, FILE, STATUS, flag_rows, scan_schema
 
 
 def land_csv_stream(spark: SparkSession, src_dir: str, out: str, checkpoint: str, columns: Sequence[str],
@@ -15,11 +15,12 @@ def land_csv_stream(spark: SparkSession, src_dir: str, out: str, checkpoint: str
     """Land every CSV file in ``src_dir`` not landed before, then stop.
 
     Runs as ``trigger(availableNow=True)``: all files present at the start,
-    in micro-batches, exactly once (file log + commit log in ``checkpoint``,
-    which must be on shared storage). Each batch is flagged like the batch
-    landing and appended to ``out`` partitioned by ``_status``. ``src_ord``
-    is (batch, row) so later versions land after earlier ones. Returns the
-    number of batches run.
+    in micro-batches (file log + commit log in ``checkpoint``, which must be on
+    shared storage). Each batch is flagged like the batch landing and written
+    to a folder of its own under ``out``; a batch that runs again after a crash
+    overwrites that folder, so its rows are there once. ``src_ord`` is (batch,
+    file, row), so later versions land after earlier ones. All files must have
+    the header ``columns``. Returns the number of batches run.
     """
     reader = spark.readStream.format("csv").schema(scan_schema(columns))
     stream = (
@@ -28,11 +29,14 @@ def land_csv_stream(spark: SparkSession, src_dir: str, out: str, checkpoint: str
     )
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
-    source = stream.load(src_dir)
+    source = stream.load(src_dir).withColumn(FILE, F.col("_metadata.file_path"))
+
+    ran: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        order = F.struct(F.lit(batch_id).cast("long").alias("batch"), F.monotonically_increasing_id().alias("row"))
-        flag_rows(batch, columns, key, order).write.mode("append").partitionBy(STATUS).parquet(out)
+        rows = flag_rows(batch, columns, key, batch_id)
+        rows.write.mode("overwrite").partitionBy(STATUS).parquet(f"{out.rstrip('/')}/{BATCH}={batch_id}")
+        ran.append(batch_id)
 
     query = (
         source.writeStream.foreachBatch(write_batch)
@@ -41,4 +45,4 @@ def land_csv_stream(spark: SparkSession, src_dir: str, out: str, checkpoint: str
         .start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)
+    return len(ran)
