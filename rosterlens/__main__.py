@@ -60,11 +60,12 @@ def main(argv=None) -> int:
     r.add_argument("--sample-rows", type=int)
     r.add_argument("--timestamp-format")
     r.add_argument("--buckets", default="auto", help='bucket count on char_id, "auto" (default) or 0 for none')
-    r.add_argument("--validate", action="store_true", help="check keys and references before loading")
+    r.add_argument("--no-validate", action="store_true", help="skip the check of keys and references before the switch")
     q = sub.add_parser("report", help="one reporting question over the loaded tables")
     q.add_argument("name", choices=sorted(REPORTS))
     q.add_argument("--database", default="characters")
-    q.add_argument("--rows", type=int, default=50)
+    q.add_argument("--rows", type=int, help="show only so many rows (default: all)")
+    q.add_argument("--out", help="write the whole result here as CSV instead of showing it")
     c = sub.add_parser("check", help="integrity checks over the loaded tables")
     c.add_argument("--database", default="characters")
     for p in (q, c):
@@ -84,15 +85,20 @@ def main(argv=None) -> int:
             database_location=args.database_location, sample_rows=args.sample_rows,
             timestamp_format=args.timestamp_format,
             buckets=args.buckets if args.buckets == "auto" else (int(args.buckets) or None),
-            validate=args.validate))
+            validate=not args.no_validate))
         print(json.dumps(counts))
     elif args.cmd == "report":
-        REPORTS[args.name](_tables(spark, args.database, args.tables)).show(args.rows, truncate=False)
+        result = REPORTS[args.name](_tables(spark, args.database, args.tables))
+        if args.out:
+            result.write.mode("overwrite").option("header", True).csv(args.out)
+        else:
+            result.show(args.rows if args.rows is not None else max(1, result.count()), truncate=False)
     else:
         from rosterlens.operators.integrity import check_relations
 
         t = _tables(spark, args.database, args.tables)
-        check_relations(t.character, t.classes, t.feats).show(50, truncate=False)
+        found = check_relations(t.character, t.classes, t.feats)
+        found.show(max(1, found.count()), truncate=False)
     return 0
 
 

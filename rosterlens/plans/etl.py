@@ -11,16 +11,16 @@ from rosterlens.operators.integrity import assert_sound, relation_counts
 from rosterlens.plans import reports
 from rosterlens.plans.clean import clean_profiles
 from rosterlens.plans.model import Relations, build_relations
-from rosterlens.schema import CHARACTER_COLUMNS, VIEW_NAMES
+from rosterlens.plans.views import VIEWS
+from rosterlens.schema import CHARACTER_SCHEMA, CLASS_SCHEMA, FEAT_SCHEMA, VIEW_NAMES
 from rosterlens.session import use_utc
 from rosterlens.sources import csv_landing, sinks
 from rosterlens.streaming.landing import land_csv_stream
 
-LOAD_COLUMNS = {
-    "character": ["char_id", *CHARACTER_COLUMNS, "is_multiclass"],
-    "character_class": ["class_id", "char_id", "class", "subclass", "level"],
-    "character_feats": ["feat_id", "char_id", "feat"],
-}
+# The declared tables; a load writes exactly these columns.
+TABLES = {"character": CHARACTER_SCHEMA, "character_class": CLASS_SCHEMA, "character_feats": FEAT_SCHEMA}
+LOAD_COLUMNS = {name: schema.names for name, schema in TABLES.items()}
+STAGED = "__staged"
 
 
 @dataclass
@@ -35,8 +35,9 @@ class Settings:
     sample_rows: int | None = None
     timestamp_format: str | None = None
     buckets: int | str | None = "auto"  # bucket the tables on char_id: a count, "auto" or None
-    validate: bool = False             # check keys and references before loading
+    validate: bool = True              # check keys and references before the new tables replace the old
     jdbc_url: str | None = None
+    jdbc_partitions: int | None = None  # connections of a JDBC load
     jdbc_properties: dict = field(default_factory=dict)
 
 
@@ -48,10 +49,11 @@ def extract(spark: SparkSession, settings: Settings) -> DataFrame:
         # availableNow); the cleaning then sees every landed version.
         columns = csv_landing.header_columns(spark, settings.source)
         land_csv_stream(spark, settings.source, settings.landing, settings.stream_checkpoint, columns)
-        raw = csv_landing.read_landed(spark, settings.landing)
+        raw = csv_landing.read_landed(spark, settings.landing, columns=columns)
     elif settings.landing:
-        csv_landing.land_csv(spark, settings.source, settings.landing)
-        raw = csv_landing.read_landed(spark, settings.landing)
+        columns = csv_landing.header_columns(spark, settings.source)
+        csv_landing.land_csv(spark, settings.source, settings.landing, columns)
+        raw = csv_landing.read_landed(spark, settings.landing, columns=columns)
     else:
         raw = csv_landing.read_profile_csv(spark, settings.source)
         raw = raw.where(raw[csv_landing.STATUS] == csv_landing.OK).drop(csv_landing.STATUS)
@@ -63,19 +65,26 @@ def transform(raw: DataFrame, settings: Settings | None = None) -> Relations:
     return build_relations(clean_profiles(raw, fmt), keyed=True)
 
 
-def load(spark: SparkSession, rels: Relations, settings: Settings, size_hint: DataFrame | None = None) -> None:
-    """Full refresh of the three tables (catalog, or JDBC when a URL is set).
-    With ``buckets="auto"`` the bucket count follows the size of
-    ``size_hint`` (the extracted input, whose file sizes Spark knows)."""
-    if settings.jdbc_url:
-        for name, df in rels.as_dict().items():
-            sinks.write_jdbc(sinks.sink_rows(df, LOAD_COLUMNS[name]), settings.jdbc_url,
-                             f"{settings.database}.{name}", settings.jdbc_properties)
-        return
-    buckets = settings.buckets
-    if buckets == "auto":
-        buckets = sinks.auto_buckets(spark, size_hint if size_hint is not None else rels.character)
-    sinks.write_relations(rels.as_dict(), settings.database, LOAD_COLUMNS, buckets=buckets)
+def load_jdbc(rels: Relations, settings: Settings) -> None:
+    """Full refresh of the three tables behind a JDBC URL."""
+    for name, df in rels.as_dict().items():
+        sinks.write_jdbc(sinks.sink_rows(df, LOAD_COLUMNS[name]), settings.jdbc_url, f"{settings.database}.{name}",
+                         settings.jdbc_properties, num_partitions=settings.jdbc_partitions)
+
+
+def load_catalog(spark: SparkSession, rels: Relations, settings: Settings, raw: DataFrame) -> Relations:
+    """Full refresh of the catalog tables: written beside the old ones, checked
+    there, and only then put in their place. A failure before that leaves the
+    old tables as they are."""
+    db = settings.database
+    buckets = sinks.auto_buckets(spark, raw) if settings.buckets == "auto" else settings.buckets
+    for name, df in rels.as_dict().items():
+        sinks.write_table(sinks.as_declared(df, TABLES[name]), db, name + STAGED,
+                          bucket_key="char_id" if buckets else None, buckets=buckets)
+    if settings.validate:
+        assert_sound(*(spark.table(f"`{db}`.`{n}{STAGED}`") for n in TABLES))
+    sinks.replace_tables(spark, db, list(TABLES), STAGED)
+    return Relations(*(spark.table(f"`{db}`.`{n}`") for n in TABLES))
 
 
 def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
@@ -84,13 +93,13 @@ def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
     use_utc(spark)
     raw = extract(spark, settings)
     rels = transform(raw, settings)
-    if settings.validate:
-        # The database's constraints rejected bad rows on insert; here the
-        # built relations are checked before anything is written.
-        assert_sound(rels.character, rels.classes, rels.feats)
-    load(spark, rels, settings, size_hint=raw)
-    loaded = Relations(*(spark.table(f"`{settings.database}`.`{n}`") for n in LOAD_COLUMNS)) \
-        if not settings.jdbc_url else rels
+    if settings.jdbc_url:
+        if settings.validate:
+            assert_sound(rels.character, rels.classes, rels.feats)
+        load_jdbc(rels, settings)
+        loaded = rels
+    else:
+        loaded = load_catalog(spark, rels, settings, raw)
     return {r["relation"]: r["rows"] for r in relation_counts(loaded.as_dict()).collect()}
 
 
@@ -115,11 +124,13 @@ def register_views(spark: SparkSession, rels: Relations) -> list[str]:
 
 
 def refresh(spark: SparkSession, settings: Settings) -> dict[str, int]:
-    """Schema -> tables -> views. Views are created after the tables,
-    as a Spark view over a dropped table fails when read."""
-    sinks.create_schema(spark, settings.database, drop=True, location=settings.database_location)
+    """Database -> tables -> the database's views, which then is the current
+    one. Behind a JDBC URL only the tables are refreshed; the catalog is not
+    touched."""
+    if settings.jdbc_url:
+        return run_pipeline(spark, settings)
+    sinks.create_schema(spark, settings.database, drop=False, location=settings.database_location)
     counts = run_pipeline(spark, settings)
-    db = settings.database
-    tables = Relations(*(spark.table(f"`{db}`.`{n}`") for n in LOAD_COLUMNS))
-    register_views(spark, tables)
+    sinks.create_views(spark, settings.database, VIEWS)
+    sinks.use_schema(spark, settings.database)
     return counts

@@ -35,17 +35,28 @@ def sink_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*out)
 
 
-BUCKET_BYTES = 128 * 1024 * 1024
+BUCKET_ROWS = 1_000_000
 
 
 def auto_buckets(spark: SparkSession, source: DataFrame) -> int:
-    """About one bucket per 128 MB of ``source`` (its planned size, e.g. the
-    Parquet bytes), at least the session's parallelism, at most its shuffle
-    partitions."""
-    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    lo = spark.sparkContext.defaultParallelism
-    hi = max(lo, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(lo, min(hi, -(-size // BUCKET_BYTES)))
+    """About one bucket per million rows of ``source`` (a count of it), at least
+    the session's parallelism, without an upper limit."""
+    return max(spark.sparkContext.defaultParallelism, -(-source.count() // BUCKET_ROWS))
+
+
+def as_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, in its order and types; floating NaN becomes
+    SQL NULL and a null in a required column fails the load."""
+    out = []
+    for f in schema:
+        col = F.col(f.name)
+        if dict(df.dtypes)[f.name] in ("double", "float"):
+            col = F.nanvl(col, F.lit(None).cast("double"))
+        col = col.cast(f.dataType)
+        if not f.nullable:
+            col = F.coalesce(col, F.raise_error(F.lit(f"null in required column {f.name}")).cast(f.dataType))
+        out.append(col.alias(f.name))
+    return df.select(*out)
 
 
 def write_table(df: DataFrame, database: str, table: str, mode: str = "overwrite",
@@ -86,14 +97,25 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     )
 
 
+def replace_tables(spark: SparkSession, database: str, names: Sequence[str], suffix: str) -> None:
+    """The staged tables ``name + suffix`` take the place of the old ones."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.sql(f"ALTER TABLE `{database}`.`{name}{suffix}` RENAME TO `{database}`.`{name}`")
+
+
+def create_views(spark: SparkSession, database: str, views: Mapping[str, str]) -> list[str]:
+    """Create or replace the database's own views, in the given (dependency)
+    order. ``{db}`` in a view's SQL is the quoted database name."""
+    for name, sql in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {sql.format(db=f'`{database}`')}")
+    return list(views)
+
+
 def register_views(spark: SparkSession, builders: Sequence[tuple[str, Callable[[], DataFrame]]]) -> list[str]:
-    """Create or replace temporary views, in the given (dependency) order."""
+    """Create or replace session views over DataFrames that are no catalog tables."""
     names = []
     for name, build in builders:
         build().createOrReplaceTempView(name)
         names.append(name)
     return names
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
