@@ -59,16 +59,15 @@ line AS (
 ), wide AS (
   select k,
     max(case when ln = 1 then p_type end) as c1, max(case when ln = 1 then p_brand end) as s1,
-    max(case when ln = 2 then p_type end) as c2, max(case when ln = 2 then p_brand end) as s2,
-    max(case when ln = 3 then p_type end) as c3, max(case when ln = 3 then p_brand end) as s3,
-    max(case when ln = 4 then p_type end) as c4,
-    max(case when ln = 1 then p_name end) as f1, max(case when ln = 2 then p_name end) as f2,
-    max(case when ln = 3 then p_name end) as f3
-  from line join part on p_partkey = pk where ln <= 4 group by k
+    max(case when ln = 2 then p_type end) as c2, max(case when ln = 3 then p_type end) as c3,
+    string_agg(p_type, '/' order by ln) filter (ln >= 4) as c4,
+    string_agg(p_brand, '/' order by ln) filter (ln >= 2) as s2,
+    string_agg(p_name, ' / ' order by ln) as f
+  from line join part on p_partkey = pk group by k
 ), base AS (
   select o_orderkey as k, o_orderdate as d, o_orderpriority as background, c_name, c_mktsegment, w.*
   from orders join customer on c_custkey = o_custkey
-  left join (select k as wk, c1, s1, c2, s2, c3, s3, c4, f1, f2, f3 from wide) w on w.wk = o_orderkey
+  left join (select k as wk, c1, s1, c2, c3, c4, s2, f from wide) w on w.wk = o_orderkey
 ), versions AS (
   select base.*, 0 as v, cast(d as string) as ds from base
   union all
@@ -99,8 +98,8 @@ select
   case when k % 31 = 0 then ' None ' else s1 end as subclass_starting,
   cast(k % 22 as string) as class_starting_level,
   nullif(concat_ws('/', c2, ' ' || c3 || ' ', case when k % 13 = 0 then 'NONE' end, '', c4), '') as class_other,
-  nullif(concat_ws('/', s2, s3), '') as subclass_other,
-  nullif(concat_ws(' / ', f1, f2, f3), '') as feats
+  nullif(concat_ws('/', s2, case when k % 23 = 0 then 'Extra/More' end), '') as subclass_other,
+  nullif(f, '') as feats
 from versions
 )"""
 
@@ -278,6 +277,29 @@ _CHAR_COLS = ("source_id, name, race, background, total_level, hp, str, dex, con
               + _TS.format(c="recorded_at") + ", is_multiclass")
 _EXCL = f"NOT coalesce(regexp_matches(class, '{_EXCLUDED}', 'i'), false)"
 
+def _views() -> str:
+    """Every number of the nine views: (view, category, field, value)."""
+    fields = [
+        ("vw_class_popularity", "r_class_popularity", "class", ["character_count"]),
+        ("vw_race_popularity", "r_race_popularity", "race", ["character_count"]),
+        ("vw_multiclass_count", "(SELECT count(*) AS multiclass_characters FROM "
+         "(SELECT char_id FROM class_k GROUP BY char_id HAVING count(*) > 1))", None, ["multiclass_characters"]),
+        ("vw_level_20_count", "(SELECT count(*) AS level_20_characters FROM character_k WHERE total_level = 20)", None,
+         ["level_20_characters"]),
+        ("vw_maxed_stats", "r_maxed_stats", "stat_name", ["maxed_count"]),
+        ("vw_dump_stats", "r_dump_stats", "stat_name", ["dump_count"]),
+        ("vw_class_notes_summary", "r_class_notes_summary", "class", ["characters", "avg_notes_len", "median_notes_len"]),
+        ("vw_top_subclass_per_class", "r_top_subclass_per_class", "class", ["subclass_count"]),
+        ("vw_dashboard_kpis", "(SELECT count(*) AS total_characters, (SELECT count(*) FROM (SELECT char_id FROM class_k "
+         "GROUP BY char_id HAVING count(*) > 1)) AS multiclass_characters, count(*) FILTER (WHERE total_level = 20) "
+         "AS level_20_characters, avg(total_level) AS avg_total_level FROM character_k)", None,
+         ["total_characters", "multiclass_characters", "level_20_characters", "avg_total_level"]),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{view}' AS \"view\", {label or repr(c)} AS category, '{c}' AS field, round(CAST({c} AS DOUBLE), 6) AS value "
+        f"FROM {table}" for view, table, label, cs in fields for c in cs)
+
+
 ORACLE: dict[str, str] = {
     "clean_profiles": _with("SELECT * REPLACE (CAST(src_ord AS BIGINT) AS src_ord, "
                             + _TS.format(c="date_modified") + ") FROM clean"),
@@ -307,9 +329,16 @@ ORACLE: dict[str, str] = {
     "refresh_counts": _with("SELECT 'character' AS relation, count(*) AS \"rows\" FROM character_k "
                             "UNION ALL SELECT 'character_class', count(*) FROM class_k "
                             "UNION ALL SELECT 'character_feats', count(*) FROM feat_k"),
+    "refreshed_character": _with(f"SELECT * EXCLUDE (is_multiclass) FROM (SELECT char_id, {_CHAR_COLS} FROM character_k)"),
+    "refreshed_classes": _with("SELECT class_id, char_id, class, subclass, level FROM class_k"),
+    "refreshed_feats": _with("SELECT feat_id, char_id, feat FROM feat_k"),
+    "refreshed_views": _with(_views()),
     "orphan_check": _with(_checks()),
-    "cascade_delete": _with("SELECT class_id, char_id, class, subclass, level FROM class_k WHERE char_id NOT IN "
-                            "(SELECT char_id FROM character_k WHERE recorded_at IS NULL)"),
+    "cascade_delete": _with(" UNION ALL ".join(
+        f"SELECT '{name}' AS relation, {key} AS row_id, char_id, {item} AS item FROM {table} WHERE char_id NOT IN "
+        "(SELECT char_id FROM character_k WHERE recorded_at IS NULL)" for name, table, key, item in (
+            ("character", "character_k", "char_id", "source_id"), ("character_class", "class_k", "class_id", "class"),
+            ("character_feats", "feat_k", "feat_id", "feat")))),
     "numeric_projection": _with("SELECT total_level, hp, str, dex, con, \"int\" AS int_stat, wis, cha, notes_len "
                                 "FROM character_k"),
     "sample_rows": _with("SELECT * REPLACE (CAST(src_ord AS BIGINT) AS src_ord) FROM raw "
@@ -327,7 +356,7 @@ ORACLE: dict[str, str] = {
     "multiclass_rate_by_class": _with("SELECT * FROM r_multiclass_rate "
                                       "ORDER BY multiclass_rate_pct DESC, characters_with_class DESC"),
     "dashboard_kpis": _with("SELECT count(*) AS total_characters, "
-                            "count(*) FILTER (WHERE is_multiclass) AS multiclass_characters, "
+                            "(SELECT count(*) FROM (SELECT char_id FROM class_k GROUP BY char_id HAVING count(*) > 1)) AS multiclass_characters, "
                             "count(*) FILTER (WHERE total_level = 20) AS level_20_characters, "
                             "avg(total_level) AS avg_total_level FROM character_k"),
     "top_classes": _with("SELECT * FROM r_class_popularity ORDER BY character_count DESC, class LIMIT 15"),

@@ -13,6 +13,7 @@ import os
 import re
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from rosterlens.plans import clean as cl
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations, build_relations, split_lists
 from rosterlens.plans.etl import LOAD_COLUMNS, Settings, refresh, register_views
-from rosterlens.schema import RAW_NUMERIC_COLUMNS
+from rosterlens.schema import RAW_NUMERIC_COLUMNS, VIEW_NAMES
 from rosterlens.session import ensure_checkpoint_dir, use_utc
 from rosterlens.sources.csv_landing import OK, STATUS, read_profile_csv, sample_rows, write_profile_csv
 from rosterlens.sources.fixtures import raw_profiles
@@ -38,6 +39,7 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Per session and folder: landed rows, cleaned rows, loaded relations.
 _LANDED: dict[tuple[str, str], DataFrame] = {}
+_REFRESHED: set[tuple[str, str]] = set()
 _CLEANED: dict[tuple[str, str], DataFrame] = {}
 _BUILT: dict[tuple[str, str], Relations] = {}
 _CSV: dict[tuple[str, str], str] = {}
@@ -199,12 +201,18 @@ def q_orphan_check(spark, d):
 
 
 def q_cascade_delete(spark, d):
-    """Delete characters whose version date could not be parsed; their class
-    rows go with them. Returns the class rows that remain."""
+    """Delete characters whose version date could not be parsed; their class and
+    feat rows go with them. Returns what remains of all three relations."""
     r = relations(spark, d)
     doomed = r.character.where(F.col("recorded_at").isNull())
-    _, children = cascade_delete(r.character, {"character_class": r.classes, "character_feats": r.feats}, doomed)
-    return children["character_class"]
+    parents, children = cascade_delete(r.character, {"character_class": r.classes, "character_feats": r.feats}, doomed)
+
+    def rows(name, df, key, item):
+        return df.select(F.lit(name).alias("relation"), F.col(key).alias("row_id"), "char_id", F.col(item).alias("item"))
+
+    return (rows("character", parents, "char_id", "source_id")
+            .unionByName(rows("character_class", children["character_class"], "class_id", "class"))
+            .unionByName(rows("character_feats", children["character_feats"], "feat_id", "feat")))
 
 
 def q_numeric_projection(spark, d):
@@ -236,17 +244,57 @@ def _profile_csv(spark: SparkSession, d: str) -> str:
         return _CSV[key]
 
 
-def q_refresh_counts(spark, d):
-    """P1/P2 end to end on the fixture's CSV: drop and create the database,
-    land the CSV, clean, build keyed relations, load the tables (L4, L5),
-    create the views; returns rows per loaded table (L8)."""
+def _refreshed(spark: SparkSession, d: str) -> str:
+    """P1/P2 end to end on the fixture's CSV, once per session and folder: land,
+    clean, build keyed relations, stage, check and switch the tables (L4, L5,
+    L6), create the views. Returns the database. ``current`` is put back."""
     slug = _slug(d)
     db = "rosterlens_refresh_" + re.sub(r"[^0-9a-zA-Z]", "_", slug)
-    refresh(spark, Settings(source=_profile_csv(spark, d), landing=_scratch(spark, "refresh", slug, "landed"),
-                            database=db, database_location=_scratch(spark, "refresh", slug, "db")))
+    path = _profile_csv(spark, d)
+    key = _key(spark, d)
+    with _LOCK:
+        if key not in _REFRESHED:
+            before = spark.catalog.currentDatabase()
+            refresh(spark, Settings(source=path, landing=_scratch(spark, "refresh", slug, "landed"),
+                                    database=db, database_location=_scratch(spark, "refresh", slug, "db")))
+            spark.catalog.setCurrentDatabase(before if spark.catalog.databaseExists(before) else "default")
+            _REFRESHED.add(key)
+    return db
+
+
+def q_refresh_counts(spark, d):
+    """Rows per refreshed table."""
+    db = _refreshed(spark, d)
     return relation_counts({n: spark.table(f"`{db}`.`{n}`") for n in LOAD_COLUMNS})
 
 
+def q_refreshed_character(spark, d):
+    """The refreshed ``character`` table, its 15 declared columns."""
+    return _ts(spark.table(f"`{_refreshed(spark, d)}`.character"), "recorded_at")
+
+
+def q_refreshed_classes(spark, d):
+    return spark.table(f"`{_refreshed(spark, d)}`.character_class")
+
+
+def q_refreshed_feats(spark, d):
+    return spark.table(f"`{_refreshed(spark, d)}`.character_feats")
+
+
+def q_refreshed_views(spark, d):
+    """All nine views of the refreshed database, stacked as (view, category, value)."""
+    db = _refreshed(spark, d)
+    parts = []
+    for name in VIEW_NAMES:
+        df = spark.table(f"`{db}`.`{name}`")
+        label = df.columns[0] if dict(df.dtypes)[df.columns[0]] == "string" else None
+        cells = [F.struct(F.lit(name).alias("view"), (F.col(label) if label else F.lit(c)).alias("category"),
+                          F.lit(c).alias("field"), F.round(F.col(c).cast("double"), 6).alias("value"))
+                 for c in df.columns if dict(df.dtypes)[c] != "string"]
+        parts.append(df.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_view_lookup(spark, d):
     register_views(spark, relations(spark, d))
     return load_view(spark, "vw_top_subclass_per_class")
@@ -280,6 +328,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_lookup": q_view_lookup,
     "csv_landing": q_csv_landing,
     "refresh_counts": q_refresh_counts,
+    "refreshed_character": q_refreshed_character,
+    "refreshed_classes": q_refreshed_classes,
+    "refreshed_feats": q_refreshed_feats,
+    "refreshed_views": q_refreshed_views,
     "class_popularity": _on_relations(lambda r: reports.class_popularity(r, ordered=True)),
     "race_popularity": _on_relations(lambda r: reports.race_popularity(r, ordered=True)),
     "multiclass_count": _on_relations(reports.multiclass_count),
