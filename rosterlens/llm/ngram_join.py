@@ -46,6 +46,7 @@ from rosterlens.llm.work import keep, ship_code
 BLOCK_BYTES = 1_000_000
 FLUSH_TOKENS = 1_000_000
 BUCKET_TOKENS = 3_000_000
+STRETCHES = 16  # of a bucket, compared one after the other
 LOW_BYTES = 6  # of a hash that travel; its bucket gives the top bits
 MOST_WEIGHT = 65_535
 
@@ -118,48 +119,59 @@ def _deal(size: int, bits: int):
 
 
 def _joined(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    return text_buffers(table.column(name))[0].view(kind)
 
 
 def _shared(bits: int, parts: int):
-    """In one bucket: the shingles of two sets or more, back to groups of sets."""
+    """In one bucket: the shingles of two sets or more, back to groups of sets.
+
+    Shingles are compared in ``STRETCHES`` stretches of their low bits, so that
+    only one stretch at a time is unpacked and sorted."""
     schema = pa.schema([("part", pa.int64()), *((c, pa.binary()) for c in ("sids", "ns", "counts", "hashes", "weights"))])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         sids, ns = _joined(table, "sids", "<i8"), _joined(table, "ns", "<i4")
-        counts = _joined(table, "counts", "<i4")
         raw = _joined(table, "low", "u1").reshape(-1, LOW_BYTES)
-        h = np.zeros((len(raw), 8), np.uint8)
-        h[:, :LOW_BYTES] = raw
-        h = h.view("<u8").ravel()
-        if bits:
-            h = (h & U(2 ** min(8 * LOW_BYTES, 64 - bits) - 1)) | (U(bucket) << U(64 - bits))
         first = np.zeros(len(sids), bool)  # a set met in several tasks counts once
         first[np.unique(sids, return_index=True)[1]] = True
-        of = np.repeat(np.arange(len(sids), dtype=np.int32), counts)
-        once = first[of]
-        h, of = h[once], of[once]
-        order = np.argsort(h, kind="stable")
-        h, of = h[order], of[order]
-        edge = np.append(0, np.flatnonzero(h[1:] != h[:-1]) + 1) if len(h) else np.zeros(0, np.int64)
-        size = np.diff(np.append(edge, len(h)))
-        weight = np.repeat(size, size)
-        shared = weight > 1
-        h, of, weight = h[shared], of[shared], np.minimum(weight[shared], MOST_WEIGHT)
-        part = sids[of] % parts
-        order = np.lexsort((of, part))
-        h, of, weight, part = h[order], of[order], weight[order], part[order]
+        of = np.repeat(np.arange(len(sids), dtype=np.int32), _joined(table, "counts", "<i4"))
+        stretch = np.where(first[of], raw[:, 0] % STRETCHES, STRETCHES).astype(np.uint8)
+        found = []
+        for k in range(STRETCHES):
+            at = np.flatnonzero(stretch == k)
+            h = np.zeros((len(at), 8), np.uint8)
+            h[:, :LOW_BYTES] = raw[at]
+            h = h.view("<u8").ravel()
+            order = np.argsort(h, kind="stable")
+            h, at = h[order], at[order]
+            edge = np.append(0, np.flatnonzero(h[1:] != h[:-1]) + 1) if len(h) else np.zeros(0, np.int64)
+            size = np.diff(np.append(edge, len(h)))
+            weight = np.repeat(np.minimum(size, MOST_WEIGHT).astype("<u2"), size)
+            shared = weight > 1
+            found.append((h[shared], of[at[shared]], weight[shared]))
+        del raw, stretch
+        h, of, weight = (np.concatenate(x) for x in zip(*found))
+        del found
+        if bits:
+            h &= U(2 ** min(8 * LOW_BYTES, 64 - bits) - 1)
+            h |= U(bucket) << U(64 - bits)
+        part = sids % parts
+        place = np.empty(len(sids), np.int32)  # of a set, groups one after the other
+        place[np.argsort(part, kind="stable")] = np.arange(len(sids), dtype=np.int32)
+        order = np.argsort(place[of], kind="stable")
+        h, of, weight = h[order], of[order], weight[order]
+        del order
         rows = []
-        edge = np.flatnonzero(np.diff(part)) + 1
-        for a, b in zip(np.append(0, edge), np.append(edge, len(h))):
+        at = np.append(0, np.flatnonzero(of[1:] != of[:-1]) + 1) if len(of) else np.zeros(0, np.int64)
+        who = of[at]
+        count = np.diff(np.append(at, len(of))).astype("<i4")
+        edge = np.flatnonzero(np.diff(part[who])) + 1
+        for a, b in zip(np.append(0, edge), np.append(edge, len(who))):
             if b > a:
-                o = of[a:b]
-                at = np.append(0, np.flatnonzero(np.diff(o)) + 1)
-                who = o[at]
-                rows.append((int(part[a]), sids[who].tobytes(), ns[who].tobytes(),
-                             np.diff(np.append(at, b - a)).astype("<i4").tobytes(), h[a:b].tobytes(),
-                             weight[a:b].astype("<u2").tobytes()))
+                x, y = at[a], at[b] if b < len(at) else len(of)
+                rows.append((int(part[who[a]]), sids[who[a:b]].tobytes(), ns[who[a:b]].tobytes(), count[a:b].tobytes(),
+                             h[x:y].tobytes(), weight[x:y].tobytes()))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, schema)], schema=schema)
     return run
 
@@ -169,29 +181,32 @@ def _prefixes(percent: int):
     schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("v", pa.int64()),
                         ("prefix", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 
+    def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values.view(np.int64)))
+
     def run(table: pa.Table) -> pa.Table:
         sids, ns = _joined(table, "sids", "<i8"), _joined(table, "ns", "<i4").astype(np.int64)
-        counts = _joined(table, "counts", "<i4")
         h, w = _joined(table, "hashes", "<u8"), _joined(table, "weights", "<u2")
         ids, number = np.unique(sids, return_inverse=True)
         n = np.zeros(len(ids), np.int64)
         n[number] = ns
-        of = np.repeat(number, counts)
+        of = np.repeat(number.astype(np.int32), _joined(table, "counts", "<i4"))
         v = np.bincount(of, minlength=len(ids))
         most = n - (percent * n + 99) // 100 + 1 - (n - v)  # prefix places left for shared shingles
         chosen = (most > 0)[of]
         h, w, of = h[chosen], w[chosen], of[chosen]
-        order = np.argsort(of, kind="stable")
-        h, w, of = h[order], w[order], of[order]
-        edge = np.searchsorted(of, np.arange(len(ids) + 1))
-        out = [[], [], [], [], []]
-        for d in np.flatnonzero(most > 0):
-            a, b = edge[d], edge[d + 1]
-            hh = h[a:b]
-            order = np.lexsort((hh, w[a:b]))[:most[d]]
-            for c, x in zip(out, (ids[d], n[d], v[d], hh[order].view(np.int64), np.sort(hh.view(np.int64)))):
-                c.append(x)
-        return pa.table([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+        order = np.lexsort((h, of))
+        h, w = h[order], w[order]
+        del order, of, chosen
+        sets = np.flatnonzero(most > 0)
+        edge = np.append(0, np.cumsum(v[sets]))
+        prefix = []  # equal weights stand in the order of their hashes
+        for a, b, k in zip(edge[:-1], edge[1:], most[sets]):
+            prefix.append(h[a:b][np.argsort(w[a:b], kind="stable")[:k]])
+        sizes = np.array([len(x) for x in prefix], np.int64)
+        prefix = np.concatenate([np.zeros(0, U), *prefix])
+        return pa.table([pa.array(ids[sets]), pa.array(n[sets]), pa.array(v[sets].astype(np.int64)), lists(prefix, sizes),
+                         lists(h, v[sets])], schema=schema)
     return run
 
 
