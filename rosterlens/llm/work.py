@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from rosterlens.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once per application."""
+    """Give the executors' Python workers this package, once per application,
+    and bound the bytes of an Arrow batch where the session does not: rows of
+    long texts would else make batches of tens of megabytes, held several times
+    by the executor and its workers."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
