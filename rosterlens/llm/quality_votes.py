@@ -90,7 +90,7 @@ def document_counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarra
     at_break[:len(data)] = data == 10
     start = np.append(0, stop[:-1] + at_break[stop[:-1]]) if len(stop) else stop
     keep_ = start < stop
-    lines.data, lines.start, lines.end, lines._sums = data, start[keep_], stop[keep_], None
+    lines.data, lines.start, lines.end = data, start[keep_], stop[keep_]
     has_word = np.searchsorted(words.start, lines.end) > np.searchsorted(words.start, lines.start)
     lines.start, lines.end = lines.start[has_word], lines.end[has_word]
     owner = np.searchsorted(bounds, lines.start, "right") - 1

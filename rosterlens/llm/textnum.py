@@ -14,6 +14,7 @@ U = np.uint64
 MULTIPLIERS = [U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)]
 BASE = U(0x5851F42D4C957F2D)
 SEED = 20240229
+PIECE = 2**18 - 1  # bytes hashed with one running sum
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -87,22 +88,45 @@ class Words:
         self.first = np.searchsorted(self.start, bounds)  # of each document, and the end
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(bounds) - 1), self.count)
-        self._sums = None
 
     def __len__(self) -> int:
         return len(self.start)
 
-    def hashes(self, lower: bool = True, most: int | None = None) -> np.ndarray:
-        """64-bit hash of each word, of its first ``most`` bytes if given."""
-        p, inverse = _powers(len(self.data) + 1)
-        if self._sums is None or self._sums[0] != lower:
-            sums = np.zeros(len(self.data) + 1, U)
-            np.cumsum((_LOWER if lower else _BYTE)[self.data] * p[:-1], out=sums[1:])
-            self._sums = (lower, sums)
-        sums = self._sums[1]
-        end = self.end if most is None else np.minimum(self.end, self.start + most)
-        length = (end - self.start).astype(U)
-        return mix((sums[end] - sums[self.start]) * inverse[self.start] + length * MULTIPLIERS[0])
+    def hashes(self, lower: bool = True) -> np.ndarray:
+        """64-bit hash of each word."""
+        return self.hash_lists([None], lower)[0]
+
+    def hash_lists(self, lengths: list, lower: bool = True) -> list[np.ndarray]:
+        """64-bit hashes of the words, for each of ``lengths`` those of their
+        first so many bytes (None: of whole words). Sums run over pieces of the
+        buffer, so what they need does not grow with it."""
+        table = _LOWER if lower else _BYTE
+        out = [np.empty(len(self.start), U) for _ in lengths]
+        i = 0
+        while i < len(self.start):
+            base = int(self.start[i])
+            j = max(i + 1, int(np.searchsorted(self.end, base + PIECE, "right")))
+            start, end = self.start[i:j] - base, self.end[i:j] - base
+            n = int(end[-1])
+            if n > PIECE:  # a single word
+                for o, most in zip(out, lengths):
+                    o[i] = self._long_hash(base, n if most is None else min(n, most), table)
+            else:
+                p, inverse = _powers(n + 1)
+                sums = np.zeros(n + 1, U)
+                np.cumsum(table[self.data[base:base + n]] * p[:-1], out=sums[1:])
+                for o, most in zip(out, lengths):
+                    stop = end if most is None else np.minimum(end, start + most)
+                    o[i:j] = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(U) * MULTIPLIERS[0])
+            i = j
+        return out
+
+    def _long_hash(self, base: int, n: int, table: np.ndarray) -> np.uint64:
+        total = n * int(MULTIPLIERS[0])
+        for at in range(0, n, PIECE):
+            part = table[self.data[base + at:base + min(n, at + PIECE)]]
+            total += int(np.add.reduce(part * _powers(len(part))[0])) * pow(int(BASE), at, 2**64)
+        return mix(np.array([total % 2**64], U))[0]
 
 
 def gram_hashes(h: np.ndarray, size: int) -> np.ndarray:

@@ -248,7 +248,7 @@ class PrefixCounts:
         if not len(start):
             return [PrefixTable([])] * (len(bounds) - 1)
         pieces = Words.__new__(Words)
-        pieces.data, pieces.start, pieces.end, pieces._sums = data, start, end, None
+        pieces.data, pieces.start, pieces.end = data, start, end
         raws, number = distinct(data, start, end, pieces.hashes(lower=False))
         odd = np.fromiter((not r.isascii() and _WIDE_SPACE.search(r.decode()) is not None for r in raws), bool, len(raws))
         keys = [None if o else r.decode() for r, o in zip(raws, odd)]

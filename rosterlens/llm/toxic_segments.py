@@ -47,11 +47,11 @@ TABLE_ROWS = 2_000_000  # never reached with TRAIN_ROWS documents; checked
 
 def _levels(words: Words) -> list[np.ndarray]:
     """Hashes of each token, then of its beginnings (0 where it is no longer than that)."""
-    out = [words.hashes()]
+    whole, *begun = words.hash_lists([None, *BEGINNINGS])
+    out = [whole]
     size = words.end - words.start
-    for n in BEGINNINGS:
-        h = mix(words.hashes(most=n) ^ (MULTIPLIERS[2] >> U(n)))
-        out.append(np.where(size > n, h, U(0)))
+    for n, h in zip(BEGINNINGS, begun):
+        out.append(np.where(size > n, mix(h ^ (MULTIPLIERS[2] >> U(n))), U(0)))
     return out
 
 
