@@ -336,8 +336,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "race_popularity": _on_relations(lambda r: reports.race_popularity(r, ordered=True)),
     "multiclass_count": _on_relations(reports.multiclass_count),
     "level_20_count": _on_relations(reports.level_20_count),
-    "maxed_stats": _on_relations(reports.maxed_stats),
-    "dump_stats": _on_relations(reports.dump_stats),
+    "maxed_stats": _on_relations(lambda r: reports.maxed_stats(r, ordered=True)),
+    "dump_stats": _on_relations(lambda r: reports.dump_stats(r, ordered=True)),
     "class_notes_summary": _on_relations(lambda r: reports.class_notes_summary(r, ordered=True)),
     "top_subclass_per_class": _on_relations(lambda r: reports.top_subclass_per_class(r, ordered=True)),
     "multiclass_rate_by_class": _on_relations(reports.multiclass_rate_by_class),
