@@ -34,7 +34,7 @@ def _csv_reader(spark: SparkSession):
     )
 
 
-def file_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+def file_headers(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str]]]:
     """(header columns, files) for each distinct header under ``path``. One
     line of each file comes back, beside the file list the driver has anyway."""
     first = (spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
@@ -52,8 +52,8 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
     return list(dict.fromkeys(c for columns, _ in file_headers(spark, path) for c in columns))
 
 
-def read_profile_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                     key: str = "char_id") -> DataFrame:
+def read_profile_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None,
+                     key: str = "char_id", batch: int = 0) -> DataFrame:
     """Scan with an explicit all-string schema (no inference), map the pandas
     NA tokens to null, number rows in source order (``src_ord``) and give
     each row a ``_status``: ``ok``, ``long_row`` (more fields than the
@@ -73,7 +73,7 @@ def read_profile_csv(spark: SparkSession, path: str, columns: Sequence[str] | No
         raw = raw.csv(path) if len(headers) == 1 else raw.csv(files)
         raw = raw.withColumn(FILE, F.col("_metadata.file_path"))
         raw = raw.withColumns({c: F.lit(None).cast("string") for c in columns if c not in header})
-        parts.append(flag_rows(raw, columns, key, 0))
+        parts.append(flag_rows(raw, columns, key, batch))
     if not parts:
         return spark.createDataFrame([], landed_schema(columns))
     return reduce(DataFrame.unionByName, parts)

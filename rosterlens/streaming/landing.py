@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from rosterlens.sources.csv_landing import BATCH, CORRUPT, FILE, STATUS, flag_rows, scan_schema
+from rosterlens.sources.csv_landing import BATCH, STATUS, read_profile_csv
 
 
 def land_csv_stream(spark: SparkSession, src_dir: str, out: str, checkpoint: str, columns: Sequence[str],
@@ -19,22 +18,22 @@ def land_csv_stream(spark: SparkSession, src_dir: str, out: str, checkpoint: str
     shared storage). Each batch is flagged like the batch landing and written
     to a folder of its own under ``out``; a batch that runs again after a crash
     overwrites that folder, so its rows are there once. ``src_ord`` is (batch,
-    file, row), so later versions land after earlier ones. All files must have
-    the header ``columns``. Returns the number of batches run.
+    file, row), so later versions land after earlier ones. Files go by their own
+    headers: a column of ``columns`` that a file lacks is null there. Returns the
+    number of batches run.
     """
-    reader = spark.readStream.format("csv").schema(scan_schema(columns))
-    stream = (
-        reader.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    )
+    # the stream only names the files (no content is read); each batch is then
+    # scanned like a batch landing, every file by its own header
+    stream = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
-    source = stream.load(src_dir).withColumn(FILE, F.col("_metadata.file_path"))
+    source = stream.load(src_dir).select("path")
 
     ran: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = flag_rows(batch, columns, key, batch_id)
+        paths = [r["path"] for r in batch.orderBy("path").toLocalIterator()]
+        rows = read_profile_csv(batch.sparkSession, paths, columns, key, batch_id)
         rows.write.mode("overwrite").partitionBy(STATUS).parquet(f"{out.rstrip('/')}/{BATCH}={batch_id}")
         ran.append(batch_id)
 

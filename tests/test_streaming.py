@@ -28,6 +28,19 @@ def test_drop_folder_is_landed_once_and_incrementally(spark):
     assert rows == [("1", "Ann2"), ("2", "Bob2")]    # same date: the later-landed row wins
 
 
+def test_files_of_one_batch_go_by_their_own_headers(spark):
+    d = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
+    src, out, ck = (os.path.join(d, x) for x in ("in", "out", "ck"))
+    os.makedirs(src)
+    for name, text in (("a.csv", "char_id,name,date_modified\n1,Ann,2020-01-01\n"),
+                       ("b.csv", "name,char_id\nBob,2\n")):
+        with open(os.path.join(src, name), "w") as f:
+            f.write(text)
+    assert land_csv_stream(spark, src, out, ck, COLS) == 1
+    got = sorted((r["char_id"], r["name"], r["date_modified"]) for r in read_landed(spark, out).collect())
+    assert got == [("1", "Ann", "2020-01-01"), ("2", "Bob", None)]
+
+
 def test_pipeline_with_incremental_landing(spark):
     from rosterlens.plans.etl import Settings, run_pipeline
     from tests_pipeline_data import HEADER, ROWS
