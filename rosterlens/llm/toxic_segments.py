@@ -3,9 +3,9 @@
 A token's score is its log-odds between toxic and clean labelled documents
 under a Dirichlet prior at the corpus rate, less its standard error; a token
 the table lacks scores by its beginning (first 6, 5 or 4 bytes), so new forms
-of a known stem score too. A token counts where a document first has it. A
-drift makes ordinary text score below zero. A linear scan (Ruzzo and Tompa)
-finds all maximal segments of positive total in a document. Clean labelled
+of a known stem score too. Every occurrence of a token counts. A drift makes
+ordinary text score below zero. A linear scan (Ruzzo and Tompa) finds all
+maximal segments of positive total in a document. Clean labelled
 documents that the table has not seen give the extreme-value law of segment
 totals (decay rate and frequency a token); by it a segment total becomes its
 surplus over what a clean document of that length shows by chance, and the
@@ -114,19 +114,11 @@ class Scorer:
         if not len(self.keys):
             return out
         open_ = np.ones(len(words), bool)
-        form = np.zeros(len(words), np.int64)
         for h in _levels(words):
             at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
             hit = open_ & (self.keys[at] == h)
             out[hit] = self.scores[at[hit]] - DRIFT
-            form[hit] = at[hit]
             open_ &= ~hit
-        # a form counts where the document first has it
-        hit = np.flatnonzero(~open_)
-        order = np.lexsort((hit, form[hit], words.doc[hit]))
-        hit = hit[order]
-        again = (form[hit[1:]] == form[hit[:-1]]) & (words.doc[hit[1:]] == words.doc[hit[:-1]])
-        out[hit[1:][again]] = -DRIFT
         return out
 
     def segments(self, data: np.ndarray, bounds: np.ndarray):

@@ -254,6 +254,25 @@ def test_op10_held_out_accuracy(spark, docs, empty):
     assert toxic_segments.maximal_segments([4, -5, 3, -3, 1, 2, -2, 2, -2, 1, 5]) == [(0, 1, 4), (2, 3, 3), (4, 11, 7)]
 
 
+def test_op10_every_occurrence():
+    words = [f"vile{c}word" for c in "abcdefgh"]
+    passage = " ".join(words)
+
+    def buffers(text):
+        raw = text.encode()
+        return np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+
+    keys = np.sort(toxic_segments._levels(toxic_segments.Words(*buffers(passage), toxic_segments.NOT_ALNUM))[0])
+    scorer = toxic_segments.Scorer(keys, np.full(len(keys), 2.0), 1.0, 0.01)
+    calm = " ".join(["calm"] * 1000)
+    twice = f"{calm} {passage} {calm} {passage} {calm}"
+    late = " ".join(f"{calm} {w}" for w in words) + f" {calm} {passage}"
+    for text, want in ((twice, 2), (late, 1)):
+        surplus, (spans,) = scorer.documents(*buffers(text))
+        assert [text[a:b] for a, b, _ in spans] == [passage] * want
+        assert abs(surplus[0] - sum(x for *_, x in spans)) < 1e-9 and surplus[0] > 5
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline
 
