@@ -1,11 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Each source's documents, in a shuffled order fixed by their hash, form one
-stream of words cut into blocks of equal size. The schedule has one slot for
-each block of the mix; slot t belongs to the source whose stretch of the
-cumulative weights holds the golden-ratio point frac(t * phi), so every
-stretch of the schedule has each source within a few blocks of its share. A
-source's k-th slot takes its k-th block, and starts over at its end.
+stream of words cut into blocks equal to within a word: at least ``ENOUGH``,
+and as many more as keep them to a size fixed for the corpus. The schedule has
+one slot for each block of the mix; slot t belongs to the source whose stretch
+of the cumulative weights (in blocks) holds the golden-ratio point frac(t *
+phi), so every stretch of the schedule has each source within a few blocks of
+its share, and a small source's few blocks are few of its words. A source's
+k-th slot takes its k-th block, and starts over at its end.
 
 No source is one task's work: positions in a stream and ranks in the schedule
 are counts per bucket, offsets over buckets, and sums inside a bucket.
@@ -28,7 +30,8 @@ from rosterlens.llm.work import keep, ship_code
 
 BLOCK_BYTES = 4_000_000
 BUCKET_ROWS = 20_000  # documents or slots of one source summed together, on average
-SLOTS = 4_000_000  # aimed at; a block has 16 to 4096 words
+SLOTS = 4_000_000  # aimed at; a block has at most 16 to 4096 words
+ENOUGH = 1024  # blocks of a source at least; some are empty where it has fewer words
 GOLDEN = (5 ** 0.5 - 1) / 2
 
 
@@ -80,7 +83,7 @@ def _running(df: DataFrame, group: str, order: list, value, name: str) -> DataFr
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              weights=(5, 2, 1), most: int = 3) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """(documents, blocks' pieces, schedule, words of a block).
+    """(documents, blocks' pieces, schedule, most words of a block).
 
     documents: rid, doc, source, size, source_size, number, target, before.
     pieces: rid, before, number, block, words. schedule: slot, number, turn,
@@ -92,8 +95,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)).alias("rid")).mapInArrow(
             _sizes, "doc long, source string, rid long, size long"), "sizes")
     targets = keep(source_targets(sizes, weights, most), "targets")
-    facts = targets.agg(F.sum("source_size"), F.sum("target")).first()
-    total = int(facts[0] or 0)
+    total = int(targets.agg(F.sum("source_size")).first()[0] or 0)
     words = int(min(4096, max(16, total // SLOTS)))
     # few rows, one a source: small against a task, but of no proven size, so joined, not sent
     named = sizes.join(targets, sizes.source.eqNullSafe(targets.source)).drop(targets.source)
@@ -104,15 +106,26 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     named = named.withColumn("mixed", mixed).withColumn(
         "_bucket", F.floor((F.col("mixed").cast("double") / 2.0 ** 64 + 0.5) * buckets).cast("long"))
     placed = keep(_running(named, "number", ["mixed", "rid", "doc"], F.col("size"), "before"), "streams")
-    pieces = (placed.where("size > 0")
-              .withColumn("block", F.explode(F.sequence(F.floor(F.col("before") / words),
-                                                        F.floor((F.col("before") + F.col("size") - 1) / words))))
-              .withColumn("words", F.least(F.col("before") + F.col("size"), (F.col("block") + 1) * words)
-                          - F.greatest("before", F.col("block") * words))
-              .select("rid", "doc", "size", "before", "number", "block", "words"))
-    slots = -(-total // words)
-    # stretches of the cumulative weights, one row a source
-    edges = targets.where("target > 0").withColumn("hi", F.sum("target").over(Window.orderBy("number")) / float(facts[1] or 1))
+    n = F.greatest(F.lit(ENOUGH).cast("long"), F.ceil(F.col("source_size") / words))
+
+    def edge(block: str) -> str:
+        """The word at which a block of ``n`` begins: block * source_size / n, rounded, in whole numbers."""
+        return f"({block}) * (source_size div n) + (2 * ({block}) * (source_size % n) + n) div (2 * n)"
+
+    # a block to either side, for the rounding; those without words of the document go
+    per = F.col("n") / F.col("source_size")
+    pieces = (placed.where("size > 0").withColumn("n", n)
+              .withColumn("block", F.explode(F.sequence(
+                  F.greatest(F.floor(F.col("before") * per) - 1, F.lit(0)),
+                  F.least(F.floor((F.col("before") + F.col("size")) * per) + 1, F.col("n") - 1))))
+              .withColumn("words", F.least(F.col("before") + F.col("size"), F.expr(edge("block + 1")))
+                          - F.greatest("before", F.expr(edge("block"))))
+              .where("words > 0").select("rid", "doc", "size", "before", "number", "block", "words"))
+    # stretches of the cumulative weights, one row a source; a block weighs the same in each
+    edges = targets.where("target > 0").withColumn("blocks", F.col("target") / F.col("source_size") * n)
+    weight = float(edges.agg(F.sum("blocks")).first()[0] or 0)
+    slots = round(weight)
+    edges = edges.withColumn("hi", F.sum("blocks").over(Window.orderBy("number")) / (weight or 1.0))
     edges = edges.withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("number")), F.lit(0.0)))
     # a grid over [0, 1) turns the range join into an equality join
     cells = 1024
@@ -126,7 +139,6 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         (F.col("number") == (top if top is not None else -1)) & (F.col("hi") < 1.0) & (F.col("u") >= F.col("hi")))))
     t = t.withColumn("_bucket", F.floor(F.col("slot") / BUCKET_ROWS))
     turns = _running(t.select("slot", "number", "source_size", "_bucket"), "number", ["slot"], F.lit(1), "turn")
-    n = F.ceil(F.col("source_size") / words)
     schedule = turns.withColumn("block", F.col("turn") % n).withColumn("epoch", F.floor(F.col("turn") / n)).where(
         F.col("epoch") < most).select("slot", "number", "turn", "block", "epoch")
     return placed, pieces, schedule, words

@@ -222,6 +222,24 @@ def test_op8_targets(spark, docs, empty):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("slots", [mixing.SLOTS, 100])
+def test_op8_tiny_sources(spark, monkeypatch, slots):
+    monkeypatch.setattr(mixing, "SLOTS", slots)  # 100: blocks as long as in a large corpus
+    sizes = {"a": [5, 7, 1], "b": [2000] * 100, "c": [400], "d": [1], "e": [1300, 13], "f": [37] * 4}
+    rows = [(100 * k + i, f"w{i} " * n, s) for k, (s, ns) in enumerate(sizes.items()) for i, n in enumerate(ns)]
+    df = documents(spark, rows)
+    source = {i: s for i, _, s in rows}
+    taken, target = collections.Counter(), {}
+    for r in mixing.mix(df).collect():
+        taken[source[r["doc_id"]]] += r["taken"]
+        target[source[r["doc_id"]]] = r["target"]
+    assert set(target) == set(sizes) and target["b"] > sum(v for s, v in target.items() if s != "b")
+    for s, want in target.items():
+        assert abs(taken[s] - want) <= max(1, 0.02 * want), (s, taken[s], want)
+    copies = collections.Counter(r["source"] for r in mixing.mixed_documents(df).collect())
+    assert {s: copies[s] for s in "acdef"} == {s: 3 * len(sizes[s]) for s in "acdef"}
+
+
 def test_op9_counts_and_verdict(spark, docs, empty):
     def brute(text):
         text = text or ""
