@@ -3,8 +3,8 @@ whose result is written as Parquet and read again as the next one's documents.
 
 1. toxicity: documents predicted toxic go.
 2. near_duplicates: of each component of the five-word shingle join one document
-   stays, the one with the smallest doc_id (all rows of that id with equal text
-   are one).
+   stays, the one with the smallest doc_id, null last (all rows of that id with
+   equal text are one); documents without words stay.
 3. repeats: byte ranges of 200 and more that occur elsewhere are cut; a document
    of which nothing is left goes; n_chars follows the text.
 4. mix: sources to their target weights; a document comes once for each pass

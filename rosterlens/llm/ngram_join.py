@@ -71,8 +71,8 @@ def _measure(size: int):
             for _, s in _sets_of(batch.column(1), size):
                 n.append(len(s))
                 sid.append(_sid(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64())], ["doc", "n", "sid"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), batch.column(2)],
+                                             ["doc", "n", "sid", "hash"])
     return run
 
 
@@ -271,10 +271,10 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def set_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
-    """(doc, n, sid): set size and set digest of every document."""
+    """(doc, n, sid, hash): set size, set digest and hash of the text of every document."""
     ship_code(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
-        _measure(size), "doc long, n long, sid long")
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("hash")).mapInArrow(_measure(size), "doc long, n long, sid long, hash long")
 
 
 def linked_sets(docs: DataFrame, total: int, text_col: str, size: int, percent: int) -> DataFrame:
@@ -315,14 +315,19 @@ def linked_sets(docs: DataFrame, total: int, text_col: str, size: int, percent:
     return first.unionByName(sure).unionByName(checked)
 
 
+def _rooted(docs: DataFrame, table: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
+    """(sid, root) of the sets in links: root names the component."""
+    total = table.agg(F.sum("n")).first()[0] or 0
+    found = connected_components(linked_sets(docs, total, text_col, size, percent), "a", "b")
+    return found.select(F.col("node").alias("sid"), "root")
+
+
 def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                        percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     table = keep(set_table(docs, id_col, text_col, size), "measures")
-    total = table.agg(F.sum("n")).first()[0] or 0
-    found = connected_components(linked_sets(docs, total, text_col, size, percent), "a", "b")
     low = (table.where("sid is not null").groupBy("sid").agg(F.min("doc").alias("low"))
-           .join(found.select(F.col("node").alias("sid"), "root"), "sid", "left")
+           .join(_rooted(docs, table, text_col, size, percent), "sid", "left")
            .select("sid", "low", F.coalesce("root", "sid").alias("root")))
     least = low.groupBy("root").agg(F.min("low").alias("component_id"))
     named = low.join(least, "root").select("sid", "component_id")
@@ -332,13 +337,19 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
-    """One row of each component: of the rows with its smallest id, any one with
-    words. Rows without words and rows without id stay. All columns are kept."""
-    found = shingle_components(docs, id_col, text_col, size, percent)
-    first = found.where(F.col(id_col).isNull() | (F.col(id_col) == F.col("component_id"))).groupBy(id_col).agg(
-        F.max("n_shingles").alias("_most"))
-    rows = docs.join(first.withColumnRenamed(id_col, "_id"), F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
-    one = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    many = F.count("*").over(Window.partitionBy(id_col))
-    rows = rows.withColumn("_many", many).withColumn("_rank", F.row_number().over(one))
-    return rows.where(F.col(id_col).isNull() | (F.col("_most") == 0) | (F.col("_many") == 1) | (F.col("_rank") == 1)).select(*docs.columns)
+    """One row of each component: the one with the smallest id, null last, and
+    of that id's texts in the component the one with the smallest hash; of rows
+    equal in both, any. Ids may repeat: rows of one id in two components are two
+    rows. Rows without words stay. All columns are kept."""
+    table = keep(set_table(docs, id_col, text_col, size), "measures")
+    rank = F.struct(F.col("doc").isNull().alias("none"), "doc", "hash")
+    low = table.where("sid is not null").groupBy("sid").agg(F.min(rank).alias("low"))
+    first = (low.join(_rooted(docs, table, text_col, size, percent), "sid", "left")
+             .groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("low").alias("low"))
+             .select(F.col("low.doc").alias("_id"), F.col("low.hash").alias("_hash"), F.lit(False).alias("_all")))
+    stay = table.where("sid is null").select(F.col("doc").alias("_id"), F.col("hash").alias("_hash"), F.lit(True).alias("_all")).distinct()
+    rows = docs.join(first.unionByName(stay), F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")))
+    # a row without words is alone in its window
+    rows = rows.withColumn("_each", F.when(F.col("_all"), F.monotonically_increasing_id()))
+    one = Window.partitionBy("_id", "_hash", "_each").orderBy("_hash")
+    return rows.withColumn("_rank", F.row_number().over(one)).where("_rank = 1").select(*docs.columns)

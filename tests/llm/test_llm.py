@@ -65,6 +65,41 @@ def test_op1_odd_rows(spark, docs, empty):
     assert ngram_join.shingle_components(empty).count() == 0
 
 
+def brute_one_of_each(rows):
+    """(id, text) of the rows that stay; of a component's rows with the smallest id, any text."""
+    sets = []
+    for _, text in rows:
+        w = WORDS.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
+    stay = [r for r, s in zip(rows, sets) if not s]
+    groups = collections.defaultdict(list)
+    for r, s, k in zip(rows, sets, root):
+        if s:
+            groups[k].append(r)
+    low = [min(g, key=lambda r: (r[0] is None, r[0] or 0))[0] for g in groups.values()]
+    return stay, [{r for r in g if r[0] == i} for g, i in zip(groups.values(), low)]
+
+
+def test_op1_one_of_each_brute_force(spark):
+    other = " ".join(f"z{i}" for i in range(90))
+    rows = [(1, BASE), (1, other), (2, BASE + " tail"), (2, "two alone"), (3, other + " end"), (4, ""), (4, "four alone"), (4, None),
+            (5, ""), (5, ""), (5, BASE.upper()), (6, "six six"), (6, "six six"), (None, "null copies"), (None, "null copies"),
+            (None, BASE), (None, "null alone"), (None, None), (None, ""), (7, "null alone too"), (8, "null alone too"), (8, BASE + " x")]
+    small = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    for rows in (rows, [(i // 2, t) for i, t in small[:400]]):
+        got = [(r["doc_id"], r["text"]) for r in ngram_join.one_of_each(documents(spark, [(*r, "a") for r in rows])).collect()]
+        stay, groups = brute_one_of_each(rows)
+        left = collections.Counter(got) - collections.Counter(stay)
+        assert len(got) == len(stay) + len(groups)
+        assert all(sum(left[r] for r in g) == 1 for g in groups)
+
+
 def brute_repeats(texts, length):
     raws = [(t or "").encode() for t in texts]
     seen = collections.Counter(b[k:k + length] for b in raws for k in range(len(b) - length + 1))
