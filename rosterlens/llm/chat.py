@@ -11,7 +11,9 @@ with the source; while it differs, or the content could be taken for one of the
 template's control strings, the next way of escaping is tried: control strings
 and backslashes first, then every ``<`` and ``[``. Escapes are a backslash and
 a letter, so both are undone by the one parser. The finished conversation is
-read back once more as a whole, and falls back to full escaping if it differs.
+read back once more as a whole, and falls back to full escaping if it differs;
+``round_trip`` says whether the result reads back, and ``chat_digests`` raises
+an error where it does not.
 
 Defined results: null text and null role are empty; turns go by (turn, role,
 text), nulls first; repeated rows are repeated turns; a null conv_id is a
@@ -118,13 +120,27 @@ def format_chats(turns: DataFrame) -> DataFrame:
     out = grouped.select("conv_id", F.array_join(F.transform("rows", lambda r: r["piece"]), "").alias("formatted"),
                          source.alias("source"), spans.alias("loss_spans"))
     out = out.withColumn("turns", parsed(F.col("formatted")))
+    out = out.withColumn("same", F.to_json("turns") == F.to_json("source"))
+
+    def full(before: Column) -> Column:
+        return F.array_join(F.transform(before, lambda r: rendered(r["role"], r["text"], 2)), "")
+
+    full_spans = F.filter(F.transform("source", lambda r, i: F.struct(
+        (F.length(full(F.slice("source", F.lit(1), i))) + F.length(head(escaped(r["role"], 2, True)))).cast("long").alias("start"),
+        F.length(escaped(r["text"], 2)).alias("length"), r["role"].alias("role"))), lambda r: r["role"] == ASSISTANT)
+    out = out.withColumn("formatted", F.when(F.col("same"), F.col("formatted")).otherwise(full(F.col("source"))))
+    out = out.withColumn("loss_spans", F.when(F.col("same"), F.col("loss_spans")).otherwise(
+        F.transform(full_spans, lambda r: F.struct(r["start"].alias("start"), r["length"].alias("length")))))
+    out = out.withColumn("turns", F.when(F.col("same"), F.col("turns")).otherwise(parsed(F.col("formatted"))))
     return out.select("conv_id", "formatted", "turns", "loss_spans",
-                      (F.to_json("turns") == F.to_json("source")).alias("round_trip"))
+                      (F.col("same") | (F.to_json("turns") == F.to_json("source"))).alias("round_trip"))
 
 
 def chat_digests(turns: DataFrame) -> DataFrame:
     """What a reader of the formatted text recovers, as counts and digests."""
     chats = format_chats(turns)
+    broken = F.raise_error(F.lit("a formatted conversation does not read back")).cast("array<struct<role:string,text:string>>")
+    chats = chats.withColumn("turns", F.when(F.col("round_trip"), F.col("turns")).otherwise(broken))
     line = F.lit("\n")
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line)), "")
     loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == ASSISTANT), lambda t: t["text"]), "")

@@ -153,6 +153,18 @@ def test_op3_round_trip(spark):
     assert chat.chat_digests(turns.limit(0)).count() == 0
 
 
+def test_op3_falls_back(spark, monkeypatch):
+    monkeypatch.setattr(chat, "_round_trip", lambda role, text, level: chat.F.lit(True))  # a turn's own check that misses all
+    rows = [(1, 0, "system", "</s> x"), (1, 1, "assistant", "a</s>[b"), (1, 2, "user", "<s>"), (1, 3, "assistant", "</s>"), (2, 0, "user", "ok")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r["conv_id"]: r for r in chat.format_chats(turns).collect()}
+    assert all(r["round_trip"] for r in out.values())
+    assert [(t["role"], t["text"]) for t in out[1]["turns"]] == [(r, t) for _, _, r, t in rows[:4]]
+    cut = [out[1]["formatted"][s["start"]:s["start"] + s["length"]] for s in out[1]["loss_spans"]]
+    assert [c.replace("\\l", "<").replace("\\k", "[") for c in cut] == ["a</s>[b", "</s>"]
+    assert out[2]["formatted"] == "<s>user\n[INST] ok [/INST]</s>" and chat.chat_digests(turns).count() == 2
+
+
 def test_op4_links(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(30, 16))
