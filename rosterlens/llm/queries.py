@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlens.llm import chat, mixing, ngram_join, packing, prefix_counts, quality_votes, repeat_index, toxic_segments, vector_graph, warc
+from rosterlens.llm import chat, dialogue_repair, mixing, ngram_join, packing, prefix_counts, quality_votes, repeat_index, toxic_segments, vector_graph, warc
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -64,6 +64,10 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_segments.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.repair_digests(dialogue_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,7 +76,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_repeat_index, op3_chat_format, op4_vector_graph, op5_best_fit_packing, op6_token_counts, op7_warc,
-    op8_source_mix, op9_quality_votes, op10_toxic_segments, pipeline)}
+    op8_source_mix, op9_quality_votes, op10_toxic_segments, op11_dialogue_repair, pipeline)}
 
 _CHAT_MARKS = [("\\", "b"), *chat.CONTROL]
 
@@ -94,7 +98,81 @@ def _escaped_sql(column: str, line: bool) -> str:
 _REACH = """reach(a, b) as (
   select a, b from link union select reach.a, link.b from reach join link on link.a = reach.b)"""
 
+# The cheapest (cost, audit) of two or more, as DuckDB structs.
+def _cheapest(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _edit(rest: str, initial: str, cost: str) -> str:
+    return f"{{'c': {rest}.c + {cost}, 'a': '{initial}' || {rest}.a}}"
+
+
+def _kept_sql(role: str, then: str) -> str:
+    """Keep or rerole of row r to a state's next turn; impossible where the row must go."""
+    never = "{'c': 1000000000000, 'a': 'Z'}"
+    stay = f"case when r.gone then {never} when r.i = '{role}' then {_edit(then, 'K', 'r.more')} else {_edit(then, 'R', 'r.more + 1')} end"
+    return stay
+
+
+_DIALOGUE_SQL = f"""
+with recursive keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    encode(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')) as k from conversations
+), hashed as (
+  select *, xor(list_reduce(list_concat([4294967295::bigint],
+    list_transform(range(octet_length(k)), lambda i: ('0x' || substr(hex(k), (2 * i + 1)::int, 2))::bigint)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::bigint) % 20 as h from keyed
+), hurt as (
+  select conv_id, turn, case when h = 4 then 'user' else role end as role,
+    case when h = 1 then '' when h = 2 then translate(text, '.!?', '') else text end as text,
+    unnest(range(case when h = 3 then 2 else 1 end)) as copy from hashed where h <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id, role, text order by p) > 1 as again,
+    right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) as last
+  from (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as p from hurt)
+), rows_ as (
+  select conv_id, turn, role, text, p, left(role, 1) as i, last = '' as blank, last <> '' and again as duplicate,
+    last not in ('', '.', '!', '?') and not again as cut, lag(left(role, 1)) over (partition by conv_id order by p) || left(role, 1) as pair
+  from placed
+), counts as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(blank) as blank,
+    count_if(duplicate) as duplicate, count_if(cut) as truncated, count_if(pair not in ('su', 'ua', 'au')) as illegal
+  from rows_ group by conv_id
+), symbols as (
+  select conv_id, p, i, blank or duplicate as gone, case when cut then 5 else 0 end as more from rows_
+), walk as (
+  select conv_id, n + 1 as p, {{'c': 0::bigint, 'a': ''}} as s0, {{'c': 10::bigint, 'a': 'II'}} as s1, {{'c': 5::bigint, 'a': 'I'}} as s2,
+    {{'c': 0::bigint, 'a': ''}} as s3 from counts
+  union all
+  select conv_id, p, {_cheapest('b0', _edit('b2', 'I', '5'), _edit('b3', 'II', '10'))},
+    {_cheapest('b1', _edit('b2', 'I', '5'), _edit('b3', 'II', '10'))}, {_cheapest('b2', _edit('b3', 'I', '5'))},
+    {_cheapest('b3', _edit('b2', 'I', '5'))}
+  from (select w.conv_id, r.p,
+    {_cheapest(_edit('s0', 'D', '2'), _kept_sql('u', 's2'), "case when r.i = 's' and not r.gone then " + _edit('s1', 'K', 'r.more') + " else " + _edit('s0', 'D', '2') + " end")} as b0,
+    {_cheapest(_edit('s1', 'D', '2'), _kept_sql('u', 's2'))} as b1, {_cheapest(_edit('s2', 'D', '2'), _kept_sql('a', 's3'))} as b2,
+    {_cheapest(_edit('s3', 'D', '2'), _kept_sql('u', 's2'))} as b3
+    from walk w join symbols r on r.conv_id is not distinct from w.conv_id and r.p = w.p - 1)
+), best as (select conv_id, s0.c as cost, s0.a as audit from walk where p = 1
+), letters as (
+  select conv_id, audit[k] as l, len(replace(audit[:k], 'I', '')) as p, len(replace(audit[:k], 'D', '')) as f
+  from (select conv_id, audit, unnest(range(1, len(audit) + 1)) as k from best)
+), joined as (
+  select l.conv_id, l.l, l.f, r.role, case when l.l = 'I' then '' else r.text end as text,
+    max(l.l = 'K' and l.f = 1 and r.i = 's') over (partition by l.conv_id) as has
+  from letters l left join rows_ r on r.conv_id is not distinct from l.conv_id and r.p = l.p where l.l <> 'D'
+), repaired as (
+  select conv_id, sha256(string_agg(case when l = 'K' then role when f % 2 = has::int then 'assistant' else 'user' end || ':' || text,
+    chr(10) order by f)) as h from joined group by conv_id
+), ids as (select distinct conv_id from conversations)
+select ids.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost,
+  coalesce(audit, '') as audit, coalesce(h, sha256('')) as repaired_sha256
+from ids left join counts c on c.conv_id is not distinct from ids.conv_id left join best b on b.conv_id is not distinct from ids.conv_id
+left join repaired d on d.conv_id is not distinct from ids.conv_id"""
+
 ORACLE = {
+    "op11_dialogue_repair": _DIALOGUE_SQL,
     "op1_ngram_jaccard": f"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
