@@ -2,39 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterlens.session import ensure_checkpoint_dir
+from rosterlens.session import kept
 
+PID, ROW = "_pid", "_row"
 _PID = "_key_pid"
 _LOCAL = "_key_local"
 _OFFSET = "_key_offset"
 
 
-def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None,
-              cache_input: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Add ``name`` = 1..N following ``order`` (which must be a total order),
-    like an identity column filled in that insert order.
-
-    Plan: a range-partitioned sort (balanced, since the order is unique), a
-    reliable checkpoint so both passes below see the same partitions, then
-    ``ordered_numbering``: the row count of each partition (one pass; one row
-    per partition, checkpointed), running offsets over that tiny table, and a
-    broadcast join of the offsets, whose size is bounded by the partition
-    count. No window over the data itself, no single-partition step over
-    rows, nothing collected to the driver.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    cols = df.columns
-    # The range partitioner samples its whole input in a job of its own
-    # before the sort runs; keeping the input for the two passes avoids
-    # computing it twice. The checkpoint, not the cache, is what later steps
-    # read, so losing a cached block only costs a recomputation.
+def in_order(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None,
+             cache_input: StorageLevel | None = StorageLevel.MEMORY_AND_DISK, keep: Callable = kept) -> DataFrame:
+    """``df`` range-sorted by ``order`` (a total order) and kept as Parquet with
+    each row's place: ``_pid``, its partition of the sort, and ``_row``, its
+    number in it from 0. The place is a column, so it holds whatever the splits
+    are in which the files are read again."""
+    # The range partitioner samples its whole input in a job of its own before
+    # the sort runs; keeping the input for the two passes avoids computing it
+    # twice. What later steps read is the written table, so losing a cached
+    # block only costs a recomputation.
     src = df.persist(cache_input) if cache_input is not None else df
     try:
         if partitions:
@@ -43,12 +34,66 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partition
             # A global sort: its range exchange may be coalesced by AQE, which
             # only merges neighbouring ranges, so the order is kept.
             ranged = src.orderBy(*order)
-        ordered = ranged.checkpoint(eager=True)
+        pid = F.spark_partition_id()
+        row = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+        return keep(ranged.select("*", pid.alias(PID), row.alias(ROW)), "ordered")
     finally:
         if cache_input is not None:
             src.unpersist()
 
-    return ordered_numbering([ordered], name)[0]
+
+def _offsets(ordered: DataFrame, sizes: dict[str, Column]) -> DataFrame:
+    """One row a partition of the sort: for each name, the entries before the
+    partition's first, all entries of one name coming before those of the next.
+    Bounded by the number of partitions, like the window over it."""
+    counts = ordered.groupBy(PID).agg(*(F.sum(n.cast("long")).alias(name) for name, n in sizes.items()))
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    out, first = [], F.lit(0)
+    for name in sizes:
+        out.append((first + F.coalesce(F.sum(name).over(before), F.lit(0))).cast("long").alias(name))
+        first = first + F.sum(name).over(whole)
+    return counts.select(PID, *out)
+
+
+def positions(ordered: DataFrame, name: str) -> DataFrame:
+    """The rows of ``in_order`` with ``name`` = 1..N in their order: a count of
+    one column, and a broadcast of one number a partition."""
+    offsets = _offsets(ordered, {_OFFSET: F.lit(1)})
+    at = F.col(_OFFSET) + F.col(ROW) + F.lit(1)
+    return ordered.join(F.broadcast(offsets), PID).select(at.alias(name), *ordered.columns)
+
+
+def entry_positions(ordered: DataFrame, key: str, lists: Sequence[Column], name: str) -> DataFrame:
+    """(name, key, list, entry): the entries of array columns of the rows of
+    ``in_order`` numbered 1..N as one sequence: all of ``lists[0]`` by row and
+    place, then all of ``lists[1]``, ... (of one type).
+
+    One exchange by ``_pid`` (the balanced ranges of the sort) of the arrays
+    alone; the running number of a partition's entries is a window there."""
+    arrays, sizes = [f"_a{i}" for i in range(len(lists))], [f"_n{i}" for i in range(len(lists))]
+    offsets = _offsets(ordered, {n: F.size(a) for n, a in zip(sizes, lists)})
+    rows = ordered.select(key, PID, ROW, *(a.alias(c) for a, c in zip(lists, arrays)))
+    before = Window.partitionBy(PID).orderBy(ROW).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"_b{i}": F.coalesce(F.sum(F.size(a)).over(before), F.lit(0)) for i, a in enumerate(arrays)})
+    rows = rows.join(F.broadcast(offsets), PID)
+
+    def numbered(i: int) -> Column:
+        first = F.col(sizes[i]) + F.col(f"_b{i}") + F.lit(1)
+        return F.transform(arrays[i], lambda e, k: F.struct((first + k).alias(name), F.lit(i).alias("list"), e.alias("entry")))
+
+    return rows.select(key, F.inline(F.concat(*map(numbered, range(len(lists)))))).select(name, key, "list", "entry")
+
+
+def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None,
+              cache_input: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Add ``name`` = 1..N following ``order`` (which must be a total order),
+    like an identity column filled in that insert order: a range-partitioned
+    sort (balanced, since the order is unique) kept as Parquet, and the offsets
+    of its partitions. No window over the data itself, no single-partition step
+    over rows, nothing collected to the driver.
+    """
+    return positions(in_order(df, order, partitions, cache_input), name).drop(PID, ROW)
 
 
 def ordered_numbering(groups: Sequence[DataFrame], name: str) -> list[DataFrame]:
@@ -56,12 +101,12 @@ def ordered_numbering(groups: Sequence[DataFrame], name: str) -> list[DataFrame]
     ``groups[0]`` first, then ``groups[1]``, ..., each group in its parent's
     order.
 
-    Each group must be derived from the same range-sorted, checkpointed
-    DataFrame by narrow, order-preserving steps only (filter, explode,
-    project, broadcast join), so that within each checkpoint partition
+    Each group must be derived from the same range-sorted DataFrame, whose
+    partitions are fixed (a checkpoint), by narrow, order-preserving steps only (filter, explode,
+    project, broadcast join), so that within each partition
     ``monotonically_increasing_id`` is the running index of the group's rows.
     Then only a tiny table is needed: rows per (group, partition), running
-    offsets over it (checkpointed once, at most groups x partitions rows) and
+    offsets over it (written once, at most groups x partitions rows) and
     a broadcast join. The groups themselves are never sorted or shuffled.
     """
     pid = F.spark_partition_id()
@@ -71,7 +116,8 @@ def ordered_numbering(groups: Sequence[DataFrame], name: str) -> list[DataFrame]
         part = g.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("_n")).withColumn("_grp", F.lit(i))
         sizes = part if sizes is None else sizes.unionByName(part)
     w = Window.orderBy("_grp", _PID)
-    offsets = sizes.select("_grp", _PID, (F.sum("_n").over(w) - F.col("_n")).alias(_OFFSET)).checkpoint(eager=True)
+    offsets = sizes.select("_grp", _PID, (F.sum("_n").over(w) - F.col("_n")).alias(_OFFSET))
+    offsets = kept(offsets, "offsets")
     out = []
     for i, g in enumerate(groups):
         mine = F.broadcast(offsets.where(F.col("_grp") == i).drop("_grp"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rosterlens.functions.numeric import to_int, to_smallint
 from rosterlens.functions.text import normalize_text, split_list
-from rosterlens.operators.keys import dense_key, ordered_numbering
+from rosterlens.operators.keys import entry_positions, in_order, positions
 from rosterlens.schema import CHARACTER_COLUMNS, INT_COLUMNS, RENAME_MAP, SMALLINT_COLUMNS
 
 CLASSES = "_classes"
@@ -125,7 +125,7 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
     ``keyed``: dense surrogate keys 1..N in insert order (characters by
     source id; starting classes before other classes; feats by character
     and position). Characters take one balanced range sort; class and feat
-    rows are numbered from it without a sort of their own. Unkeyed relations
+    rows are numbered inside its ranges. Unkeyed relations
     use ``source_id`` as the key and need no sort at all.
     """
     nested = nest(clean)
@@ -135,20 +135,20 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
             class_rows(nested).drop("_ord"),
             feat_rows(nested).drop("_ord"),
         )
-    keyed_rows = dense_key(nested, source_order(), "char_id")
-    character = character_rows(keyed_rows, "char_id")
-    # Children are numbered straight from the sorted, checkpointed character
-    # rows (filter / explode keep their order), so they need no sort of their
-    # own: starting classes first, then the other classes, each by character
-    # and position; feats by character and position.
-    has_start = F.col(HAS_START)
-    starts = keyed_rows.where(has_start).select(
-        "char_id", F.col(CLASSES)[0]["class"].alias("class"), F.col(CLASSES)[0]["subclass"].alias("subclass"),
-        F.col(START_LEVEL).alias("level"))
-    rest = F.when(has_start, F.slice(CLASSES, 2, F.greatest(F.size(CLASSES) - 1, F.lit(0)))).otherwise(F.col(CLASSES))
-    others = keyed_rows.select("char_id", F.explode(rest).alias("_e")).select(
-        "char_id", F.col("_e.class").alias("class"), F.col("_e.subclass").alias("subclass"),
-        F.lit(None).cast("smallint").alias("level"))
-    start_keyed, other_keyed = ordered_numbering([starts, others], "class_id")
-    feats = ordered_numbering([keyed_rows.select("char_id", F.explode(FEATS).alias("feat"))], "feat_id")[0]
-    return Relations(character, start_keyed.unionByName(other_keyed), feats)
+    ordered = positions(in_order(nested, source_order()), "char_id")
+    # Children are numbered from the kept, sorted character rows: starting
+    # classes first, then the other classes, each by character and position;
+    # feats by character and position.
+    has_start, classes = F.col(HAS_START), F.col(CLASSES)
+    none = F.lit(None).cast("smallint")
+
+    def leveled(entries: Column, level: Column) -> Column:
+        return F.transform(entries, lambda e: F.struct(e["class"].alias("class"), e["subclass"].alias("subclass"), level.alias("level")))
+
+    starts = F.slice(classes, 1, F.when(has_start, 1).otherwise(0))
+    rest = F.when(has_start, F.slice(classes, 2, F.greatest(F.size(classes) - 1, F.lit(0)))).otherwise(classes)
+    class_entries_ = entry_positions(ordered, "char_id", [leveled(starts, F.col(START_LEVEL)), leveled(rest, none)], "class_id")
+    feats = entry_positions(ordered, "char_id", [F.col(FEATS)], "feat_id")
+    return Relations(character_rows(ordered, "char_id"),
+                     class_entries_.select("class_id", "char_id", "entry.class", "entry.subclass", "entry.level"),
+                     feats.select("feat_id", "char_id", F.col("entry").alias("feat")))

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC = "UTC"
 
@@ -65,7 +66,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="rosterlens-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the checkpoint directory and read
+    back: later passes read only their columns, and a lost executor costs only
+    the tasks it was running."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kept-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
