@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlens.llm import chat, dialogue_repair, mixing, ngram_join, packing, prefix_counts, quality_votes, repeat_index, toxic_segments, vector_graph, warc
+from rosterlens.llm import chat, dialogue_repair, hash_ring, mixing, ngram_join, packing, prefix_counts, quality_votes, repeat_index
+from rosterlens.llm import token_alignment, toxic_segments, vector_graph, warc
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +70,17 @@ def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue_repair.repair_digests(dialogue_repair.damaged(_table(spark, sf_dir, "conversations")))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_digests(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_VOCABULARY))
+
+
+def op13_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hash_ring.ring_shards(_table(spark, sf_dir, "documents"), shards=8)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +89,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_repeat_index, op3_chat_format, op4_vector_graph, op5_best_fit_packing, op6_token_counts, op7_warc,
-    op8_source_mix, op9_quality_votes, op10_toxic_segments, op11_dialogue_repair, pipeline)}
+    op8_source_mix, op9_quality_votes, op10_toxic_segments, op11_dialogue_repair, op12_token_alignment,
+    op13_hash_ring, pipeline)}
 
 _CHAT_MARKS = [("\\", "b"), *chat.CONTROL]
 
