@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations
 from rosterlens.plans.etl import LOAD_COLUMNS, Settings, refresh
+from rosterlens.sources.sinks import load_folders
 
 REPORTS = {
     "class_popularity": lambda r: reports.class_popularity(r, ordered=True),
@@ -44,10 +46,15 @@ def _tables(spark, database: str, tables_dir: str | None) -> Relations:
     """Loaded tables from the catalog, or from their folders (a session
     without a persistent metastore forgets its databases when it ends)."""
     if tables_dir:
-        return Relations(*(spark.read.parquet(f"{tables_dir.rstrip('/')}/{n}") for n in LOAD_COLUMNS))
+        return Relations(*load_folders(spark, tables_dir, list(LOAD_COLUMNS)))
     return Relations(*(spark.table(f"`{database}`.`{n}`") for n in LOAD_COLUMNS))
 
 
+def _properties(given: list[str]) -> dict[str, str]:
+    pairs = (p.partition("=")[::2] for p in given)
+    return {k: os.environ[v[1:]] if v.startswith("@") else v for k, v in pairs}
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="rosterlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -57,6 +64,10 @@ def main(argv=None) -> int:
     r.add_argument("--stream-checkpoint", help="with --landing: land only new files of the --source folder")
     r.add_argument("--database", default="characters")
     r.add_argument("--database-location")
+    r.add_argument("--jdbc-url", help="load the three tables behind this URL instead of the catalog")
+    r.add_argument("--jdbc-partitions", type=int, help="connections of a JDBC load")
+    r.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE",
+                   help="driver property; @VARIABLE as the value takes it from the environment")
     r.add_argument("--sample-rows", type=int)
     r.add_argument("--timestamp-format")
     r.add_argument("--buckets", default="auto", help='bucket count on char_id, "auto" (default) or 0 for none')
@@ -84,6 +95,7 @@ def main(argv=None) -> int:
             database=args.database,
             database_location=args.database_location, sample_rows=args.sample_rows,
             timestamp_format=args.timestamp_format,
+            jdbc_url=args.jdbc_url, jdbc_partitions=args.jdbc_partitions, jdbc_properties=_properties(args.jdbc_property),
             buckets=args.buckets if args.buckets == "auto" else (int(args.buckets) or None),
             validate=not args.no_validate))
         print(json.dumps(counts))

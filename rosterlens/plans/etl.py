@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from rosterlens.operators.integrity import assert_sound, relation_counts
-from rosterlens.plans import reports
 from rosterlens.plans.clean import clean_profiles
 from rosterlens.plans.model import Relations, build_relations
 from rosterlens.plans.views import VIEWS
@@ -20,7 +19,6 @@ from rosterlens.streaming.landing import land_csv_stream
 # The declared tables; a load writes exactly these columns.
 TABLES = {"character": CHARACTER_SCHEMA, "character_class": CLASS_SCHEMA, "character_feats": FEAT_SCHEMA}
 LOAD_COLUMNS = {name: schema.names for name, schema in TABLES.items()}
-STAGED = "__staged"
 
 
 @dataclass
@@ -72,24 +70,30 @@ def load_jdbc(rels: Relations, settings: Settings) -> None:
                          settings.jdbc_properties, num_partitions=settings.jdbc_partitions)
 
 
-def load_catalog(spark: SparkSession, rels: Relations, settings: Settings, raw: DataFrame) -> Relations:
+def load_catalog(spark: SparkSession, rels: Relations, settings: Settings, raw: DataFrame) -> dict[str, int]:
     """Full refresh of the catalog tables: written beside the old ones, checked
-    there, and only then put in their place. A failure before that leaves the
-    old tables as they are."""
+    there, and published together by one pointer. A load that ends at any point
+    before leaves the old tables, all three. Returns the rows written."""
     db = settings.database
-    buckets = sinks.auto_buckets(spark, raw) if settings.buckets == "auto" else settings.buckets
+    version = sinks.begin_load(spark, db, TABLES)
+    # the kept character rows, where there are some: their count reads no column
+    source = rels.ordered if rels.ordered is not None else raw
+    buckets = sinks.auto_buckets(spark, source) if settings.buckets == "auto" else settings.buckets
+    counts = {}
     for name, df in rels.as_dict().items():
-        sinks.write_table(sinks.as_declared(df, TABLES[name]), db, name + STAGED,
-                          bucket_key="char_id" if buckets else None, buckets=buckets)
+        seen = Observation(f"{name}_rows")
+        sinks.write_table(sinks.as_declared(df, TABLES[name]), db, sinks.versioned(name, version),
+                          bucket_key="char_id" if buckets else None, buckets=buckets, observation=seen)
+        counts[name] = int(seen.get.get("rows") or 0)
     if settings.validate:
-        assert_sound(*(spark.table(f"`{db}`.`{n}{STAGED}`") for n in TABLES))
-    sinks.replace_tables(spark, db, list(TABLES), STAGED)
-    return Relations(*(spark.table(f"`{db}`.`{n}`") for n in TABLES))
+        assert_sound(*(spark.table(f"`{db}`.`{sinks.versioned(n, version)}`") for n in TABLES))
+    sinks.publish(spark, db, TABLES, version)
+    return counts
 
 
 def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
-    """Extract, transform, load; returns rows per loaded relation (three
-    numbers come back to the driver)."""
+    """Extract, transform, load; returns rows per loaded relation, as the
+    writing tasks counted them."""
     use_utc(spark)
     raw = extract(spark, settings)
     rels = transform(raw, settings)
@@ -97,38 +101,20 @@ def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
         if settings.validate:
             assert_sound(rels.character, rels.classes, rels.feats)
         load_jdbc(rels, settings)
-        loaded = rels
-    else:
-        loaded = load_catalog(spark, rels, settings, raw)
-    return {r["relation"]: r["rows"] for r in relation_counts(loaded.as_dict()).collect()}
-
-
-def view_builders(rels: Relations):
-    """The reporting views in dependency order."""
-    builders = [
-        lambda: reports.class_popularity(rels),
-        lambda: reports.race_popularity(rels),
-        lambda: reports.multiclass_count(rels),
-        lambda: reports.level_20_count(rels),
-        lambda: reports.maxed_stats(rels),
-        lambda: reports.dump_stats(rels),
-        lambda: reports.class_notes_summary(rels),
-        lambda: reports.top_subclass_per_class(rels),
-        lambda: reports.dashboard_kpis(rels),
-    ]
-    return list(zip(VIEW_NAMES, builders))
-
-
-def register_views(spark: SparkSession, rels: Relations) -> list[str]:
-    return sinks.register_views(spark, view_builders(rels))
+        return {r["relation"]: r["rows"] for r in relation_counts(rels.as_dict()).collect()}
+    return load_catalog(spark, rels, settings, raw)
 
 
 def refresh(spark: SparkSession, settings: Settings) -> dict[str, int]:
     """Database -> tables -> the database's views, which then is the current
     one. Behind a JDBC URL only the tables are refreshed; the catalog is not
-    touched."""
+    touched. Temporary views that would hide the names of the database's tables
+    and views are an error, before anything is done."""
     if settings.jdbc_url:
         return run_pipeline(spark, settings)
+    hiding = sinks.shadowing(spark, [*TABLES, *VIEW_NAMES])
+    if hiding:
+        raise ValueError(f"temporary views of this session hide names of the database: {', '.join(hiding)}")
     sinks.create_schema(spark, settings.database, drop=False, location=settings.database_location)
     counts = run_pipeline(spark, settings)
     sinks.create_views(spark, settings.database, VIEWS)

@@ -108,6 +108,7 @@ class Relations:
     character: DataFrame
     classes: DataFrame
     feats: DataFrame
+    ordered: DataFrame | None = None  # the kept character rows that keyed relations come from
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"character": self.character, "character_class": self.classes, "character_feats": self.feats}
@@ -135,7 +136,8 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
             class_rows(nested).drop("_ord"),
             feat_rows(nested).drop("_ord"),
         )
-    ordered = positions(in_order(nested, source_order()), "char_id")
+    rows = in_order(nested, source_order())
+    ordered = positions(rows, "char_id")
     # Children are numbered from the kept, sorted character rows: starting
     # classes first, then the other classes, each by character and position;
     # feats by character and position.
@@ -151,4 +153,4 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
     feats = entry_positions(ordered, "char_id", [F.col(FEATS)], "feat_id")
     return Relations(character_rows(ordered, "char_id"),
                      class_entries_.select("class_id", "char_id", "entry.class", "entry.subclass", "entry.level"),
-                     feats.select("feat_id", "char_id", F.col("entry").alias("feat")))
+                     feats.select("feat_id", "char_id", F.col("entry").alias("feat")), rows)

@@ -23,12 +23,13 @@ from rosterlens.operators.keys import attach_keys
 from rosterlens.plans import clean as cl
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations, build_relations, split_lists
-from rosterlens.plans.etl import LOAD_COLUMNS, Settings, refresh, register_views
+from rosterlens.plans.etl import LOAD_COLUMNS, Settings, refresh
+from rosterlens.plans.views import VIEWS
 from rosterlens.schema import RAW_NUMERIC_COLUMNS, VIEW_NAMES
 from rosterlens.session import ensure_checkpoint_dir, use_utc
 from rosterlens.sources.csv_landing import OK, STATUS, read_profile_csv, sample_rows, write_profile_csv
 from rosterlens.sources.fixtures import raw_profiles
-from rosterlens.sources.sinks import auto_buckets, create_schema, write_table
+from rosterlens.sources.sinks import auto_buckets, create_schema, create_views, write_table
 from rosterlens.sources.tables import key_map, load_view, numeric_projection
 
 # Oracle tests exercise the class exclusion with a pattern that matches the
@@ -62,6 +63,10 @@ def _slug(sf_dir: str) -> str:
     return f"{os.path.basename(path)}-{hashlib.sha1(path.encode()).hexdigest()[:8]}"
 
 
+def _database(sf_dir: str) -> str:
+    return "rosterlens_" + re.sub(r"[^0-9a-zA-Z]", "_", _slug(sf_dir))
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw profile rows, landed once per session and folder as Parquet in
     the shared checkpoint folder, as the reference extracts its CSV once per
@@ -108,7 +113,7 @@ def _relations(spark: SparkSession, sf_dir: str, key) -> Relations:
         # scan only the columns they use, with filters pushed down, and their
         # joins and per-character aggregations read co-located buckets
         # instead of shuffling.
-        db = "rosterlens_" + re.sub(r"[^0-9a-zA-Z]", "_", _slug(sf_dir))
+        db = _database(sf_dir)
         create_schema(spark, db, drop=True, location=_scratch(spark, "tables", _slug(sf_dir)))
         buckets = auto_buckets(spark, cleaned(spark, sf_dir))
         for name, df in built.as_dict().items():
@@ -296,8 +301,12 @@ def q_refreshed_views(spark, d):
 
 
 def q_view_lookup(spark, d):
-    register_views(spark, relations(spark, d))
-    return load_view(spark, "vw_top_subclass_per_class")
+    """A report read by its view's name, from the database of the loaded tables."""
+    relations(spark, d)
+    db = _database(d)
+    with _LOCK:
+        create_views(spark, db, VIEWS)
+    return load_view(spark, "vw_top_subclass_per_class", db)
 
 
 def _on_relations(fn: Callable[[Relations], DataFrame]):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +61,19 @@ def as_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_table(df: DataFrame, database: str, table: str, mode: str = "overwrite",
-                bucket_key: str | None = None, buckets: int | None = None, fmt: str = "parquet") -> None:
+                bucket_key: str | None = None, buckets: int | None = None, fmt: str = "parquet",
+                observation: Observation | None = None) -> None:
     """Full refresh of one catalog table. With ``bucket_key`` the table is
     bucketed and sorted on it, so later joins on that key between tables with
-    the same bucket count read co-located files instead of shuffling."""
+    the same bucket count read co-located files instead of shuffling.
+    ``observation`` gets the ``rows`` that the writing tasks saw."""
     if bucket_key and buckets:
         # Hash-partition with the bucketing hash first, so each task writes
         # the file of one bucket (not one file per bucket per task).
         df = df.repartition(buckets, bucket_key)
+    if observation is not None:  # in the writing stage, so a task that runs again counts once
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    if bucket_key and buckets:
         writer = df.write.mode(mode).format(fmt).bucketBy(buckets, bucket_key).sortBy(bucket_key)
     else:
         writer = df.write.mode(mode).format(fmt)
@@ -86,8 +92,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
                num_partitions: int | None = None) -> None:
     """Full refresh through JDBC: TRUNCATE (keeping the table and its keys)
     instead of DROP, partition-parallel batched inserts."""
-    if num_partitions:
-        df = df.coalesce(num_partitions)
+    if num_partitions:  # so many connections; the steps before keep their own parallelism
+        df = df.repartition(num_partitions)
     (
         df.write.mode("overwrite")
         .option("truncate", str(truncate).lower())
@@ -97,11 +103,91 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     )
 
 
-def replace_tables(spark: SparkSession, database: str, names: Sequence[str], suffix: str) -> None:
-    """The staged tables ``name + suffix`` take the place of the old ones."""
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.sql(f"ALTER TABLE `{database}`.`{name}{suffix}` RENAME TO `{database}`.`{name}`")
+POINTER = "current_load"
+LOADS = "loads"
+
+
+def execute(spark: SparkSession, sql: str) -> None:
+    """One catalog statement of a publication."""
+    spark.sql(sql)
+
+
+def versioned(name: str, version: int) -> str:
+    return f"{name}__v{version}"
+
+
+def load_versions(spark: SparkSession, database: str, names: Sequence[str]) -> dict[int, list[str]]:
+    """The tables of each load that is in the database, whole or not."""
+    found: dict[int, list[str]] = {}
+    for r in spark.sql(f"SHOW TABLES IN `{database}`").collect():
+        m = re.fullmatch(r"(.+)__v(\d+)", r["tableName"])
+        if m and m[1] in names:
+            found.setdefault(int(m[2]), []).append(r["tableName"])
+    return found
+
+
+def current_version(spark: SparkSession, database: str) -> int:
+    """The published load; 0 when there is none."""
+    if not spark.catalog.tableExists(f"`{database}`.`{POINTER}`"):
+        return 0
+    return spark.table(f"`{database}`.`{POINTER}`").first()["version"]
+
+
+def _show(spark: SparkSession, database: str, tables: Mapping[str, T.StructType], versions: Sequence[int]) -> None:
+    """The public names as views of one load, or of that of several which the
+    pointer names (its number is a literal: the others are pruned in planning)."""
+    for name, schema in tables.items():
+        columns = ", ".join(f"`{c}`" for c in schema.names)
+        guard = f" WHERE (SELECT version FROM `{database}`.`{POINTER}`) = {{v}}" if len(versions) > 1 else ""
+        parts = [f"SELECT {columns} FROM `{database}`.`{versioned(name, v)}`" + guard.format(v=v) for v in versions]
+        execute(spark, f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS " + " UNION ALL ".join(parts))
+
+
+def begin_load(spark: SparkSession, database: str, tables: Mapping[str, T.StructType]) -> int:
+    """The number of a new load. What earlier loads left behind is dropped, but
+    for the published one and the one before it, which readers may still hold."""
+    plain = [n for n in tables if spark.catalog.tableExists(f"`{database}`.`{n}`")
+             and spark.catalog.getTable(f"`{database}`.`{n}`").tableType != "VIEW"]
+    if plain:
+        raise ValueError(f"{', '.join(plain)} of {database} are tables, not views of a load: drop them or take another database")
+    now, found = current_version(spark, database), load_versions(spark, database, list(tables))
+    if now:
+        _show(spark, database, tables, [now])  # a load that was cut off may have left views of its own tables
+    before = max((v for v in found if v < now), default=0)
+    for v, names in found.items():
+        if v not in (now, before):
+            for name in names:
+                execute(spark, f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    return max([now, *found]) + 1
+
+
+def publish(spark: SparkSession, database: str, tables: Mapping[str, T.StructType], version: int) -> None:
+    """All tables of a load in one step: the public names first become views of
+    the old and the new load, of which the pointer picks one; then the pointer, one
+    catalog statement, changes; then the views drop the old load. Cut off anywhere,
+    all names show one load. For readers without a catalog the load's number is
+    added to the ``loads`` folder beside the tables, as one file."""
+    now = current_version(spark, database)
+    point = f"CREATE OR REPLACE VIEW `{database}`.`{POINTER}` AS SELECT {{v}} AS version"
+    if now:
+        _show(spark, database, tables, [now, version])
+    execute(spark, point.format(v=version))
+    _show(spark, database, tables, [version])
+    folder = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    spark.range(1).select(F.lit(version).cast("long").alias("version")).write.mode("append").json(f"{folder}/{LOADS}")
+
+
+def load_folders(spark: SparkSession, folder: str, names: Sequence[str]) -> list[DataFrame]:
+    """The tables of the last load published in a database's folder, without a catalog."""
+    folder = folder.rstrip("/")
+    version = spark.read.schema("version long").json(f"{folder}/{LOADS}").agg(F.max("version")).first()[0]
+    return [spark.read.parquet(f"{folder}/{versioned(n, version)}") for n in names]
+
+
+def shadowing(spark: SparkSession, names: Sequence[str]) -> list[str]:
+    """Those of ``names`` that the session has temporary views of."""
+    temporary = {t.name for t in spark.catalog.listTables("default") if t.isTemporary}  # listed with every database
+    return [n for n in names if n.lower() in temporary]
 
 
 def create_views(spark: SparkSession, database: str, views: Mapping[str, str]) -> list[str]:
@@ -110,12 +196,3 @@ def create_views(spark: SparkSession, database: str, views: Mapping[str, str]) -
     for name, sql in views.items():
         spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {sql.format(db=f'`{database}`')}")
     return list(views)
-
-
-def register_views(spark: SparkSession, builders: Sequence[tuple[str, Callable[[], DataFrame]]]) -> list[str]:
-    """Create or replace session views over DataFrames that are no catalog tables."""
-    names = []
-    for name, build in builders:
-        build().createOrReplaceTempView(name)
-        names.append(name)
-    return names

@@ -14,8 +14,9 @@ def key_map(character: DataFrame) -> DataFrame:
 
 
 def load_view(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
-    """A whole table or view by name."""
-    return spark.table(f"{database}.{name}" if database else name)
+    """A whole table or view of a database (the current one by default) by
+    name; a temporary view of that name is not meant."""
+    return spark.table(f"`{database or spark.catalog.currentDatabase()}`.`{name}`")
 
 
 def numeric_projection(character: DataFrame) -> DataFrame:

@@ -105,3 +105,121 @@ def test_the_fixture_uses_every_line(spark):
 
     used = raw_profiles(spark, SF_SMALL).where("src_ord = 0").agg(F.sum(F.size(F.split("feats", " / ")))).first()[0]
     assert used == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+
+TINY = {"character": "a int", "character_class": "a int", "character_feats": "a int"}
+
+
+def _tiny_load(spark, db, n, monkeypatch=None, stop=None):
+    """A load of three one-row tables holding ``n``; ``stop``: the catalog statement at which it is killed."""
+    from pyspark.sql import types as T
+
+    tables = {t: T.StructType([T.StructField("a", T.IntegerType())]) for t in TINY}
+    ran = []
+
+    def execute(session, sql):
+        if stop is not None and len(ran) == stop:
+            raise KeyboardInterrupt(sql)
+        ran.append(sql)
+        session.sql(sql)
+
+    if monkeypatch:
+        monkeypatch.setattr(sinks, "execute", execute)
+    version = sinks.begin_load(spark, db, tables)
+    for t in TINY:
+        sinks.write_table(spark.createDataFrame([(n,)], "a int"), db, sinks.versioned(t, version))
+    sinks.publish(spark, db, tables, version)
+    return ran
+
+
+def _seen(spark, db):
+    return {tuple(r[0] for r in spark.table(f"{db}.{t}").collect()) for t in TINY}
+
+
+def test_a_load_killed_at_any_statement_leaves_one_version(spark, tmp_path, monkeypatch):
+    db = "killed"
+    sinks.create_schema(spark, db, location=str(tmp_path / "db"))
+    _tiny_load(spark, db, 1)
+    _tiny_load(spark, db, 2)
+    statements = len(_tiny_load(spark, db, 3, monkeypatch))
+    assert statements >= 10 and _seen(spark, db) == {(3,)}
+    now = 3
+    for stop in range(statements):
+        with pytest.raises(KeyboardInterrupt):
+            _tiny_load(spark, db, 100 + stop, monkeypatch, stop)
+        seen = _seen(spark, db)
+        assert seen in ({(now,)}, {(100 + stop,)}), (stop, seen)
+        now = next(iter(seen))[0]
+        folders = {r[0] for df in sinks.load_folders(spark, str(tmp_path / "db"), list(TINY)) for r in df.collect()}
+        assert len(folders) == 1
+    _tiny_load(spark, db, 7, monkeypatch)
+    assert _seen(spark, db) == {(7,)}
+    # the published load and the one before it stay, nothing else
+    _tiny_load(spark, db, 8, monkeypatch)
+    assert len(sinks.load_versions(spark, db, list(TINY))) <= 3
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_an_old_load_is_pruned_from_the_views_while_both_are_there(spark, tmp_path, monkeypatch):
+    from pyspark.sql import types as T
+
+    db = "pruned"
+    tables = {t: T.StructType([T.StructField("a", T.IntegerType())]) for t in TINY}
+    sinks.create_schema(spark, db, location=str(tmp_path / "db"))
+    _tiny_load(spark, db, 1)
+    _tiny_load(spark, db, 2)
+    sinks._show(spark, db, tables, [1, 2])
+    p = spark.table(f"{db}.character")._jdf.queryExecution().executedPlan().toString()
+    assert p.count("FileScan") == 1 and "Union" not in p and _seen(spark, db) == {(2,)}
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_a_refresh_of_real_tables_killed_midway_keeps_the_old_ones(spark, tmp_path, monkeypatch):
+    one = write(tmp_path / "one.csv", HEADER.rstrip(), *ROWS)
+    two = write(tmp_path / "two.csv", HEADER.rstrip(), ROWS[0])
+    refresh(spark, settings(tmp_path, "midway", one))
+    write_table = sinks.write_table
+
+    def third_fails(df, database, table, **more):
+        if table.startswith("character_feats"):
+            raise KeyboardInterrupt
+        write_table(df, database, table, **more)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_table", third_fails)
+        with pytest.raises(KeyboardInterrupt):
+            refresh(spark, settings(tmp_path, "midway", two))
+    assert [spark.table(f"midway.{t}").count() for t in LOAD_COLUMNS] == [2, 4, 2]
+    assert refresh(spark, settings(tmp_path, "midway", two)) == {
+        t: spark.table(f"midway.{t}").count() for t in LOAD_COLUMNS}
+    joined = spark.table("midway.character_class").join(spark.table("midway.character").hint("merge"), "char_id")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()  # buckets are seen through the views
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_two_databases_and_hiding_views(spark, tmp_path):
+    """Reports of one database do not show another's, and a temporary view of a report's name is refused."""
+    from rosterlens.plans import registry
+    from rosterlens.sources.tables import load_view
+
+    registry.QUERIES["view_lookup"](spark, SF_SMALL).count()
+    src = write(tmp_path / "one.csv", HEADER.rstrip(), ROWS[0])
+    refresh(spark, settings(tmp_path, "second", src))
+    assert spark.table("vw_dashboard_kpis").first()["total_characters"] == 1
+    assert load_view(spark, "vw_dashboard_kpis").first()["total_characters"] == 1
+    spark.range(1).createOrReplaceTempView("vw_dashboard_kpis")
+    try:
+        assert load_view(spark, "vw_dashboard_kpis", "second").first()["total_characters"] == 1
+        with pytest.raises(ValueError, match="vw_dashboard_kpis"):
+            refresh(spark, settings(tmp_path, "second", src))
+    finally:
+        spark.catalog.dropTempView("vw_dashboard_kpis")
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_plain_tables_are_not_replaced(spark, tmp_path):
+    sinks.create_schema(spark, "plain_db", location=str(tmp_path / "db"))
+    spark.range(1).write.saveAsTable("plain_db.character")
+    with pytest.raises(ValueError, match="character"):
+        refresh(spark, settings(tmp_path, "plain_db", write(tmp_path / "a.csv", HEADER.rstrip(), ROWS[0])))
+    assert spark.table("plain_db.character").count() == 1
+    spark.sql("DROP DATABASE plain_db CASCADE")
