@@ -71,8 +71,9 @@ def group_summary(df: DataFrame, group: str, entity: str, value: str,
     ``value`` over the non-null rows.
 
     Rows are first merged to (group, entity, value) with a weight, then to
-    (group, value), so the median's map holds a group's distinct values and
-    neither step keeps a map per entity. An entity may have several values."""
+    (group, value); the median is where the running weight of a group's distinct
+    values, a sorted window that spills, passes the two middle ranks. No step
+    keeps a map per group or entity. An entity may have several values."""
     n_name, avg_name, med_name = names
     per_value = df.where(F.col(value).isNotNull()).groupBy(entity, group, value).agg(F.count(F.lit(1)).alias("_w"))
     # an entity counts once a group: with its first value there
@@ -80,10 +81,18 @@ def group_summary(df: DataFrame, group: str, entity: str, value: str,
     rows = per_entity.select(group, F.posexplode("_values").alias("_i", "_v")).select(
         group, F.col("_v." + value).alias(value), F.col("_v._w").alias("_w"), (F.col("_i") == 0).cast("long").alias("_one"))
     merged = rows.groupBy(group, value).agg(F.sum("_w").alias("_w"), F.sum("_one").alias("_one"))
-    return merged.groupBy(group).agg(
+    same = Window.partitionBy(group)
+    upto = same.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = merged.select(group, value, "_w", "_one", F.sum("_w").over(upto).alias("_upto"), F.sum("_w").over(same).alias("_all"))
+
+    def at(rank: str):
+        """The value of a 0-based rank among the rows, the weights counted."""
+        return F.max(F.when((F.col("_upto") > F.expr(rank)) & (F.col("_upto") - F.col("_w") <= F.expr(rank)), F.col(value)))
+
+    return ranked.groupBy(group).agg(
         F.sum("_one").alias(n_name),
         (F.sum(F.col("_w") * F.col(value)) / F.sum("_w")).alias(avg_name),
-        F.percentile(F.col(value), F.lit(0.5), F.col("_w")).alias(med_name),
+        ((at("(_all - 1) div 2") + at("_all div 2")) / 2).alias(med_name),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterlens.functions.text import matches_ci
 from rosterlens.operators.correlation import corr_matrix
-from rosterlens.operators.paging import page, top_n
+from rosterlens.operators.paging import page, page_after, top_n
 from rosterlens.plans import reports
 from rosterlens.plans.model import Relations
 from rosterlens.schema import (
@@ -94,6 +94,14 @@ def explorer_page(rels: Relations, where: Column | str | None = None, order=None
     return page(explorer_union(rels), order + ["metric", "category"], page_no, size, where)
 
 
+EXPLORER_ORDER = [("count", False), ("metric", True), ("category", True)]
+
+
+def explorer_after(rels: Relations, last=None, where: Column | str | None = None, size: int = EXPLORER_PAGE_SIZE) -> DataFrame:
+    """D9 by cursor: the page after the row with (count, metric, category) ``last``."""
+    return page_after(explorer_union(rels), EXPLORER_ORDER, last, size, where)
+
+
 def correlation_matrix(rels: Relations) -> DataFrame:
     """Pearson matrix of the nine numeric fields, long form, 2 decimals."""
     return corr_matrix(rels.character, CORRELATION_COLUMNS)

@@ -22,9 +22,16 @@ _SQL = [
     "SELECT count_if(total_level = 20) AS level_20_characters FROM {db}.character",
     _stacked("`{c}` >= 20", "maxed_count"),
     _stacked("`{c}` = " + _LOW, "dump_count"),
-    "SELECT class, count(DISTINCT c.char_id) AS characters, avg(notes_len) AS avg_notes_len, "
-    "median(notes_len) AS median_notes_len FROM {db}.character_class k JOIN {db}.character c ON c.char_id = k.char_id "
-    "WHERE notes_len IS NOT NULL GROUP BY class",
+    # R7 as in operators.aggregates.group_summary; a character has one notes length, so the rows of
+    # (class, character) are the characters
+    "SELECT class, sum(n) AS characters, sum(w * notes_len) / sum(w) AS avg_notes_len, "
+    "(max(CASE WHEN upto > (total - 1) div 2 AND upto - w <= (total - 1) div 2 THEN notes_len END) "
+    "+ max(CASE WHEN upto > total div 2 AND upto - w <= total div 2 THEN notes_len END)) / 2 AS median_notes_len FROM ("
+    "SELECT class, notes_len, n, w, sum(w) OVER (PARTITION BY class ORDER BY notes_len ROWS UNBOUNDED PRECEDING) AS upto, "
+    "sum(w) OVER (PARTITION BY class) AS total FROM ("
+    "SELECT class, notes_len, count(1) AS n, sum(w) AS w FROM ("
+    "SELECT k.char_id, class, notes_len, count(1) AS w FROM {db}.character_class k JOIN {db}.character c ON c.char_id = k.char_id "
+    "WHERE notes_len IS NOT NULL GROUP BY k.char_id, class, notes_len) GROUP BY class, notes_len)) GROUP BY class",
     "SELECT class, subclass AS most_popular_subclass, n AS subclass_count FROM (SELECT class, subclass, n, "
     "row_number() OVER (PARTITION BY class ORDER BY n DESC, subclass) AS rn FROM (SELECT class, subclass, count(1) AS n "
     "FROM {db}.character_class WHERE subclass IS NOT NULL AND subclass <> '' GROUP BY class, subclass)) WHERE rn = 1",
