@@ -48,12 +48,17 @@ def extract(spark: SparkSession, settings: Settings) -> DataFrame:
         columns = csv_landing.header_columns(spark, settings.source)
         land_csv_stream(spark, settings.source, settings.landing, settings.stream_checkpoint, columns)
         raw = csv_landing.read_landed(spark, settings.landing, columns=columns)
-    elif settings.landing:
-        columns = csv_landing.header_columns(spark, settings.source)
-        csv_landing.land_csv(spark, settings.source, settings.landing, columns)
+        return csv_landing.sample_rows(raw, settings.sample_rows)
+    source = settings.source
+    if settings.sample_rows is not None:  # the first files that hold so many rows, and no others
+        source = csv_landing.first_files(spark, source, settings.sample_rows)
+    headers = csv_landing.file_headers(spark, source)
+    columns = csv_landing.all_columns(headers)
+    if settings.landing:
+        csv_landing.land_csv(spark, source, settings.landing, columns, headers=headers)
         raw = csv_landing.read_landed(spark, settings.landing, columns=columns)
     else:
-        raw = csv_landing.read_profile_csv(spark, settings.source)
+        raw = csv_landing.read_profile_csv(spark, source, columns, headers=headers)
         raw = raw.where(raw[csv_landing.STATUS] == csv_landing.OK).drop(csv_landing.STATUS)
     return csv_landing.sample_rows(raw, settings.sample_rows)
 
