@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -41,16 +42,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlens.llm.textnum import text_buffers
-from rosterlens.llm.tokens import BYTE_PATTERN, _Generations, _made, byte_alphabet, spelled
+from rosterlens.llm.tokens import BYTE_PATTERN, _made, byte_alphabet, spelled
 from rosterlens.llm.work import keep, ship_code
 
-STRETCH_BYTES = 1_000_000
+STRETCH_BYTES = 2_000_000
 BLOCK_PAIRS = 1_000_000  # (document, pair) rows of a block of documents, about
-CACHED_CUTS = 120_000  # of each of two generations, none longer than
+CACHED_CUTS = 200_000  # of each of two generations, none longer than
 CACHED_BYTES = 48
 PAIRS_AT_ONCE = 2_000_000
 WIDE_GROUP = 4_096  # pairs of a group whose equal ids are merged first
 SHIFT = 32  # a pair is id of A << SHIFT | id of B
+_NO_STOP = {ord(c): None for c in ".,!?;:"}
 _NONE, _BAD = 65_535, 65_534  # between the ids of A and B of a cut; a cut that is not given back
 
 # ---------------------------------------------------------------- fixed values
@@ -83,53 +85,73 @@ class Both:
         self.space = self.b.piece_to_id("▁")
         self.plain = regex.compile(r"[\t\n\r -~¡-¬®-ɏ]*")
         self.words = regex.compile(BYTE_PATTERN)
-        self.cache = _Generations(None, CACHED_CUTS)
+        self.lead = spelled(b" ")
+        self.new, self.old = {}, {}  # cuts in use, and those of the generation before
 
     @classmethod
     def of(cls, paths: tuple[str, str]) -> "Both":
         return _made(cls, paths)
 
     def _a_ids(self, text: str) -> list[int]:
+        """Ids of A. Plain Latin text is split into words here, by the
+        vocabulary's own pattern; the library does so for any other."""
+        if text.isascii():
+            letters = text.translate(_NO_STOP)
+            if letters[1:].isalpha() and text[0] == " ":  # a word, with a mark behind it or without
+                if len(letters) == len(text):
+                    return [t.id for t in self.a.model.tokenize(self.lead + letters[1:])]
+                if len(letters) == len(text) - 1 and text.startswith(letters):
+                    return [t.id for w in (self.lead + letters[1:], text[-1]) for t in self.a.model.tokenize(w)]
         if self.plain.fullmatch(text):
             return [t.id for w in self.words.findall(text) for t in self.a.model.tokenize(spelled(w.encode()))]
         return self.a.encode(text, add_special_tokens=False).ids
 
     def cuts(self, raws: list[bytes]) -> list[bytes]:
         """For each cut its ids of A, a mark, its ids of B, as 16-bit numbers."""
-        got, todo = [], {}
-        for raw in raws:
-            value = self.cache.get(raw) or self.cache.old.get(raw)
+        new, old = self.new, self.old
+        got = list(map(new.get, raws))
+        todo = []
+        for k, value in enumerate(got):
             if value is None:
-                todo[raw] = None
-            got.append(value)
-        if todo:
-            texts = [r.decode() for r in todo]
-            for raw, text, b in zip(todo, texts, self.b.encode([t[1:] for t in texts], num_threads=1)):
-                a, b = self._a_ids(text), b if len(raw) > 1 else [self.space]
-                same = b"".join([self.a_bytes[i] for i in a]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
-                todo[raw] = np.array([*a, _NONE, *b] if same else [_BAD, _NONE], np.uint16).tobytes()
-        cache = self.cache
-        for k, raw in enumerate(raws):
-            value = got[k] = got[k] or todo[raw]
+                value = old.get(raws[k])
+                if value is None:
+                    todo.append(k)
+                else:
+                    got[k] = new[raws[k]] = value
+        texts = [raws[k].decode() for k in todo]
+        a_bytes, b_bytes, join = self.a_bytes, self.b_bytes, b"".join
+        for k, text, b in zip(todo, texts, self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []):
+            raw, a = raws[k], self._a_ids(text)
+            if len(raw) == 1:
+                b = [self.space]
+            same = join([a_bytes[i] for i in a]) == raw and join([b_bytes[i] for i in b]) == raw
+            got[k] = array("H", [*a, _NONE, *b] if same else [_BAD, _NONE]).tobytes()
             if len(raw) <= CACHED_BYTES:
-                if len(cache) >= cache.most:
-                    cache.old = dict(cache)
-                    cache.clear()
-                cache[raw] = value
+                new[raw] = got[k]
+        if len(new) >= CACHED_CUTS:
+            self.new, self.old = {}, new
         return got
 
 
+_WHITE_BYTE = np.zeros(256, bool)
+_WHITE_BYTE[_ASCII_WHITE] = True
+
+
 def cut_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Where documents begin, and every space that follows no white space."""
     at = np.flatnonzero(data == 0x20)
     at = at[at > 0]
     p1 = data[at - 1]
-    white = np.isin(p1, _ASCII_WHITE)
-    p2, p3 = data[np.maximum(at - 2, 0)], data[np.maximum(at - 3, 0)]
+    white = _WHITE_BYTE[p1]
+    wide = np.flatnonzero(p1 >= 0x80)
+    p1, p2, p3 = p1[wide], data[np.maximum(at[wide] - 2, 0)], data[np.maximum(at[wide] - 3, 0)]
     for before, last in _AFTER.items():
         hit = np.isin(p1, last) & (p2 == before[-1])
-        white |= hit if len(before) == 1 else hit & (p3 == before[0])
-    return np.union1d(at[~white], bounds[:-1])
+        white[wide] |= hit if len(before) == 1 else hit & (p3 == before[0])
+    begins = np.zeros(len(data) + 1, bool)
+    begins[at[~white]] = True
+    begins[bounds[:-1]] = True
+    return np.flatnonzero(begins[:-1])
 
 
 def _lists(offsets: np.ndarray, values: pa.Array) -> pa.LargeListArray:
