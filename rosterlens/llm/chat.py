@@ -17,8 +17,9 @@ an error where it does not.
 
 Defined results: null text and null role are empty; turns go by (turn, role,
 text), nulls first; repeated rows are repeated turns; a null conv_id is a
-conversation of its own; other columns are ignored; an empty table gives an
-empty result. A conversation is one row of the result and so of one task.
+conversation of its own; other columns are ignored, also those named like the
+operator's own; an empty table gives an empty result; a very long text is
+escaped whole. A conversation is one row of the result and so of one task.
 """
 
 from __future__ import annotations
@@ -137,13 +138,15 @@ def format_chats(turns: DataFrame) -> DataFrame:
 
 
 def chat_digests(turns: DataFrame) -> DataFrame:
-    """What a reader of the formatted text recovers, as counts and digests."""
+    """What a reader of the formatted text recovers, as counts and digests. The
+    loss columns are cut from the text by its mask, ``loss_spans``."""
     chats = format_chats(turns)
     broken = F.raise_error(F.lit("a formatted conversation does not read back")).cast("array<struct<role:string,text:string>>")
     chats = chats.withColumn("turns", F.when(F.col("round_trip"), F.col("turns")).otherwise(broken))
     line = F.lit("\n")
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line)), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == ASSISTANT), lambda t: t["text"]), "")
+    loss = F.array_join(F.transform("loss_spans", lambda s: unescaped(
+        F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
     return chats.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
                         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
                         F.length("formatted").cast("long").alias("formatted_chars"))
