@@ -3,8 +3,8 @@
 Writing: one record a page. Of pages with equal payloads of at least
 ``least`` bytes, the one with the largest page_id is the response, the others
 revisit it. The text sink writes the records; its line separator is the end of a
-record. ``records`` bounds the records of a file, so a reader's task holds a
-bounded archive.
+record. A file has at most ``records`` records, and fewer of larger pages (64 MB
+or one record), so a reader's task holds a bounded archive.
 
 Reading: plain records and gzip members (one record each). A record whose
 version line, headers, length, end or digest fails is given up; the reader
@@ -14,8 +14,9 @@ checks, goes on there, and logs the bytes between as a quarantined gap.
 Defined results: null html is an empty payload; pages that share the largest
 page_id of a payload are all responses; a null page_id reads back as null and
 revisits a known one; a null url is left out, characters that a header cannot
-hold are percent-encoded; other columns are ignored; an empty table gives an
-empty result.
+hold are percent-encoded; a very long page has a file of its own; other columns
+are ignored, also those named like the result's; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ from rosterlens.llm.work import keep, ship_code, work_dir
 
 DATE = "2024-01-01T00:00:00Z"  # of all records, so that reruns write the same bytes
 RECORDS = 2_000
-SENT_ROWS = 100_000  # payload groups that may be broadcast (about 60 bytes each)
+#: Payload bytes below which a file has so many records: files of 64 MB at most, or of one record.
+FILE_CLASSES = [(32 << 10, RECORDS), (1 << 20, 64), (None, 1)]
+MEMBER_STEP = 1 << 16  # compressed bytes taken at once
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NEXT = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
@@ -53,9 +56,8 @@ def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
         "payload_bytes": F.octet_length(payload).cast("long"), "payload_digest": base32_sha1(payload.cast("binary"))})
     groups = keep(rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(
         F.count("*").alias("n"), F.max("page_id").alias("last")).where("n > 1").select("payload_digest", "last"), "payloads")
-    side = F.broadcast(groups) if groups.count() <= SENT_ROWS else groups
     first = F.when(F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
-    return rows.join(side, "payload_digest", "left").withColumn("refers_to", first).drop("last")
+    return rows.join(groups, "payload_digest", "left").withColumn("refers_to", first).drop("last")
 
 
 def record(rows: DataFrame) -> Column:
@@ -82,8 +84,17 @@ def record(rows: DataFrame) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0, records: int = RECORDS) -> None:
+    """Archive files under ``path``, a folder for each class of payload sizes, so
+    that a file is bounded in bytes, whatever its records' sizes."""
     rows = with_revisits(pages, least)
-    rows.select(record(rows).alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", records).text(path)
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    sizes = F.lit(0)
+    for below, _ in FILE_CLASSES[:-1]:
+        sizes = sizes + (size >= below).cast("int")
+    there = {r[0] for r in pages.select(sizes.alias("class")).distinct().collect()}  # three numbers at most
+    for k in sorted(there) or [0]:
+        (rows.where(sizes == k).select(record(rows).alias("value")).write.option("lineSep", END)
+         .option("maxRecordsPerFile", min(records, FILE_CLASSES[k][1])).text(f"{path}/size={k}"))
 
 
 def _plain_record(data: bytes, at: int) -> tuple[dict, int]:
@@ -120,17 +131,21 @@ def _plain_record(data: bytes, at: int) -> tuple[dict, int]:
 
 def _record_at(data: bytes, at: int) -> tuple[dict, int]:
     if data[at:at + 2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
+        member, parts, to = zlib.decompressobj(31), [], at
         try:
-            inner = member.decompress(data[at:])
+            while not member.eof and to < len(data):
+                piece = data[to:to + MEMBER_STEP]
+                parts.append(member.decompress(piece))
+                to += len(piece)
         except zlib.error as e:
             raise ValueError(f"broken member: {e}") from None
         if not member.eof:
             raise ValueError("a member without end")
+        inner = b"".join(parts)
         fields, end = _plain_record(inner, 0)
         if end != len(inner):
             raise ValueError("a member with more than its record")
-        return fields, len(data) - len(member.unused_data)
+        return fields, to - len(member.unused_data)
     return _plain_record(data, at)
 
 
@@ -203,10 +218,17 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     return files.where("length > 0").select("path", "content").mapInArrow(_read(payloads), READ_SCHEMA)
 
 
+def gaps(archives: DataFrame) -> DataFrame:
+    """The log of quarantined bytes of ``read_archives``: (path, start, stop, reason)."""
+    return archives.where("kind = 'gap'").select("path", "start", "stop", "reason")
+
+
 def archived_pages(pages: DataFrame, least: int = 0) -> DataFrame:
-    """Writes ``pages`` to archives in the shared folder and reads them back."""
+    """Writes ``pages`` to archives in the shared folder and reads them back. A
+    byte gap in them is an error: nothing of one's own archives may be left out."""
     spark = pages.sparkSession
     path = work_dir(spark, "warc")
     write_archives(pages, path, least)
-    return read_archives(spark, path, payloads=False).where("kind = 'record'").select(
+    gap = F.raise_error(F.concat_ws(" ", F.lit("gap in"), "path", F.col("start"), F.col("stop"), "reason")).cast("boolean")
+    return read_archives(spark, path, payloads=False).where(F.when(F.col("kind") == "gap", gap).otherwise(True)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
