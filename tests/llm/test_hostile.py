@@ -41,6 +41,7 @@ def test_op7_gaps_are_logged_and_fail_a_round_trip(spark, tmp_path, monkeypatch)
 
     def damaged(pages, path, least=0):
         write(pages, path, least)
+        path = path.removeprefix("file:")
         name = next(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".txt") and os.path.getsize(os.path.join(d, f)))
         data = open(name, "rb").read()
         with open(os.path.join(path, "more.warc"), "wb") as f:
