@@ -18,6 +18,7 @@ from rosterlens.llm.textnum import Words
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 GENERATION = 250_000  # cached chunks of each of two generations
+CACHED_LENGTH = 512  # longer ones are worked out each time, so a cache is bounded in bytes
 NO_TOKEN = 65_535  # stands for "no token before"; ids are smaller
 _MADE: dict = {}
 
@@ -71,6 +72,13 @@ class _Generations(dict):
         return value
 
 
+class _Short(_Generations):
+    """The same for strings, of which it keeps those of a bounded length."""
+
+    def __missing__(self, key):
+        return super().__missing__(key) if len(key) <= CACHED_LENGTH else self.make(key)
+
+
 def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[list, np.ndarray]:
     """Distinct strings data[start:end] by their hashes, and each one's number."""
     _, first, number = np.unique(h, return_index=True, return_inverse=True)
@@ -148,6 +156,7 @@ class PrefixCounts:
         self.model = self.tokenizer.model
         back = {c: b for b, c in _ALPHABET.items()}
         self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.vocabulary = {bytes(back[c] for c in s): i for s, i in vocabulary.items() if s not in self.special}
         self.spelling = {i: spelled(b) for b, i in self.vocabulary.items()}
@@ -160,8 +169,8 @@ class PrefixCounts:
         self.state = b"", [NO_TOKEN], [0]  # the word worked on last
         self.words = regex.compile(BYTE_PATTERN)
         self.pairs = _Generations(self._stays, 2 * GENERATION)
-        self.word_counts = _Generations(self._word, 20_000)
-        self.cache = _Generations(self._chunk)
+        self.word_counts = _Short(self._word, 20_000)
+        self.cache = _Short(self._chunk)
 
     @classmethod
     def of(cls, path: str) -> "PrefixCounts":
@@ -202,13 +211,23 @@ class PrefixCounts:
     def _chunk(self, text: str) -> tuple:
         """(bytes, tokens, count after each byte) of white space and the word after it.
         Inside a character, the count is that before it."""
-        if any(s in text for s in self.special):
-            counts, before = [], 0
-            for i in range(1, len(text) + 1):
-                n = len(self.tokenizer.encode(text[:i], add_special_tokens=False).ids)
-                counts += [before] * (len(text[i - 1].encode()) - 1) + [n]
-                before = n
-            return len(counts), counts[-1], counts
+        counts, base, at = [], 0, 0
+        for mark in self.marks.finditer(text):
+            # up to its last character a special string is plain text, then it is one token, and what follows begins anew
+            before, own = text[at:mark.start()], mark[0]
+            counts += [base + c for c in self._plain(before + own[:-1])[2]]
+            counts += [counts[-1] if counts else 0] * (len(own[-1].encode()) - 1)
+            base += self._plain(before)[1] + 1
+            counts.append(base)
+            at = mark.end()
+        if not at:
+            return self._plain(text)
+        _, more, rest = self._plain(text[at:])
+        counts += [base + c for c in rest]
+        return len(counts), base + more, counts
+
+    def _plain(self, text: str) -> tuple:
+        """The same of a text without special strings."""
         counts, total = [], 0
         for word in self.words.findall(text):
             raw = word.encode()
@@ -253,9 +272,8 @@ class PrefixCounts:
         odd = np.fromiter((not r.isascii() and _WIDE_SPACE.search(r.decode()) is not None for r in raws), bool, len(raws))
         keys = [None if o else r.decode() for r, o in zip(raws, odd)]
         cache = self.cache
-        for k in sorted(k for k in keys if k is not None and k not in cache and k not in cache.old):
-            cache[k]
-        values = [None if k is None else cache[k] for k in keys]
+        made = {k: cache[k] for k in sorted(k for k in keys if k is not None and k not in cache and k not in cache.old)}
+        values = [None if k is None else made[k] if k in made else cache[k] for k in keys]
         strange = odd[number]
         sizes = end - start
         tokens = np.fromiter((0 if v is None else v[1] for v in values), np.int64, len(values))[number]

@@ -70,3 +70,31 @@ def test_op3_loss_is_cut_by_the_mask(spark, monkeypatch):
     monkeypatch.setattr(chat, "format_chats", lambda t: made(t).withColumn("loss_spans", chat.F.slice("loss_spans", 1, 1)))
     wrong = {r["conv_id"]: r["loss_chars"] for r in chat.chat_digests(turns).collect()}
     assert wrong[1] == len("a</s>b[INST]") and wrong[4] == 1_000_000
+
+
+def test_op6_special_strings_in_long_runs():
+    import random
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from rosterlens.llm.tokens import PrefixCounts
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, counter = Tokenizer.from_file(path), PrefixCounts.of(path)
+    mark, rnd = "<|endoftext|>", random.Random(4)
+    texts = [mark, mark * 3, f"a{mark}b", f"   {mark}  x", f"日本{mark}語 {mark[:-1]}", f"\n {mark}\n\n", f"{mark} it's{mark}'ll"]
+    texts += ["".join(rnd.choice([mark, mark[:5], " ", "日", "é", "ab", "'s", "\n", "1"]) for _ in range(12)) for _ in range(60)]
+    for text in texts:
+        raw = text.encode()
+        table = counter.tables(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+        for k in range(len(text) + 1):
+            assert table.tokens(len(text[:k].encode())) == len(library.encode(text[:k], add_special_tokens=False).ids), (text, k)
+    run = "".join(chr(rnd.randint(0x4E00, 0x9FA0)) for _ in range(330_000))
+    raw = (run + mark + run[:1000]).encode()  # 1 MB without a space
+    t = time.process_time()
+    table = counter.tables(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+    assert time.process_time() - t < 20
+    assert table.n_tokens == len(library.encode(raw.decode(), add_special_tokens=False).ids)
+    print("seconds", time.process_time() - t)
