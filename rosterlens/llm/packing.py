@@ -7,9 +7,12 @@ in:
 
 1. Large lengths, in descending order, form ``groups`` groups of equal
    cardinality; each length is rounded up to its group's largest.
-2. Configurations of the few sizes are chosen one after the other: the largest
-   size left, with the fullest subset of the others beside it, as often as the
-   counts allow.
+2. Configurations of the few sizes come from a linear programme over all of
+   them, new ones being generated by a knapsack at the sizes' prices. A room
+   that small documents can use costs next to nothing, a smaller one is lost.
+   Whole uses are taken; what is left of each size goes largest first, with
+   the best configuration beside it. Of a few rooms that may count as usable
+   that with the fewest sequences in all is taken.
 3. The actual documents take the places of their group by rank, so every
    sequence keeps at least the room the rounding promised.
 4. Small lengths, longest first, go where they leave the least room (best fit)
@@ -18,9 +21,10 @@ in:
 Ranks come from counts per (length, hash bucket) and ranks inside a bucket, so
 no task sees all documents of a length.
 
-Defined results: null text is empty (one piece, the end id); equal rows are
-packed separately; null ids stay; other columns are ignored; an empty table
-gives an empty result.
+Defined results: null and empty texts are one piece, the end id; a very long
+text is cut into as many pieces as it takes, in the one task that holds it;
+equal rows are packed separately; null ids stay; other columns are ignored,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,6 +43,10 @@ from rosterlens.llm.work import keep, ship_code
 
 BLOCK_BYTES = 6_000_000
 RANK_ROWS = 20_000  # rows of one length ranked together, on average
+ROUNDS = 4  # configurations generated for each size, at most
+GAIN = 1e-3  # of a sequence: a configuration that saves less ends the search
+OPEN = 0.02  # of a sequence: cost of an empty one whose room small documents can use
+LOST = 0.05  # of a sequence: what one without a usable room costs more
 
 
 def _tokenise(path: str, capacity: int, end_id: int, with_ids: bool):
@@ -93,70 +101,133 @@ def ranked(df: DataFrame, by: str, order: list, name: str) -> tuple[DataFrame, d
     return out.withColumn(name, F.col("_base") + F.col("_at") - 1).drop("_bucket", "_at", "_base"), counts
 
 
-def _fullest(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, int]]:
-    """(size number, times) with the largest sum within ``room``."""
-    best = np.full(room + 1, -1, np.int64)  # by sum: number of the size added last
-    best[0] = len(sizes)
+def _configuration(sizes: np.ndarray, worth: np.ndarray, most: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
+    """How often each size is in the sequence of largest worth less cost, with
+    no more of a size than ``most``, and that value. ``cost`` goes by load."""
+    room = len(cost) - 1
+    best = np.full(room + 1, -np.inf)
+    best[0] = 0.0
     steps = []
-    for k in range(len(sizes)):
-        s = int(sizes[k])
-        times = np.zeros(room + 1, np.int64)
-        if s > room or not counts[k]:
-            steps.append(times)
-            continue
-        reached = best >= 0
-        for t in range(1, min(int(counts[k]), room // s) + 1):
-            fresh = np.zeros(room + 1, bool)
-            fresh[t * s:] = reached[:room + 1 - t * s]
-            fresh &= best < 0
-            if not fresh.any():
-                continue
-            best[fresh] = k
-            times[fresh] = t
+    for s, w, n in zip(sizes.tolist(), worth.tolist(), most.tolist()):
+        times = np.zeros(room + 1, np.int16)
+        before = best
+        for t in range(1, min(n, room // s) + 1):
+            value = before[:room + 1 - t * s] + t * w
+            if t == 1:
+                best = before.copy()
+            better = np.flatnonzero(value > best[t * s:]) + t * s
+            best[better] = value[better - t * s]
+            times[better] = t
         steps.append(times)
-    total = int(np.flatnonzero(best >= 0)[-1])
-    out = []
+    value = best - cost
+    load = int(value.argmax())
+    found, value = np.zeros(len(sizes), np.int64), float(value[load])
     for k in range(len(sizes) - 1, -1, -1):
-        t = int(steps[k][total])
-        if t:
-            out.append((k, t))
-            total -= t * int(sizes[k])
-    return out
-
-
-def plan_large(lengths: dict[int, int], capacity: int, groups: int) -> tuple[list, int]:
+        found[k] = steps[k][load]
+        load -= found[k] * int(sizes[k])
+    return found, value
+
+
+def _optimal(sizes: np.ndarray, counts: np.ndarray, cost: np.ndarray) -> list[tuple[np.ndarray, float]]:
+    """Configurations and how often to use each (fractions) at the least total
+    cost: a linear programme over all configurations, which are generated as
+    the prices of the sizes call for them."""
+    room, n = len(cost) - 1, len(sizes)
+    alone = room // sizes
+    columns = np.diag(alone).astype(float)
+    inverse = np.diag(1.0 / alone)
+    used = counts / alone
+    prices = cost[alone * sizes]
+    for _ in range(ROUNDS * n):
+        worth = prices @ inverse
+        fresh, gain = _configuration(sizes, worth, alone, cost)
+        if gain < GAIN:
+            break
+        step = inverse @ fresh
+        up = step > 1e-9
+        ratio = np.where(up, used / np.where(up, step, 1.0), np.inf)
+        out = int(ratio.argmin())
+        used = np.maximum(used - ratio[out] * step, 0.0)
+        used[out] = ratio[out]
+        columns[:, out], prices[out] = fresh, cost[int(fresh @ sizes)]
+        pivot = inverse[out] / step[out]
+        inverse -= np.outer(step, pivot)
+        inverse[out] = pivot
+    return [(columns[:, i].astype(np.int64), float(used[i])) for i in np.argsort(-used, kind="stable") if used[i] > 0]
+
+
+def _grouped(lengths: dict[int, int], groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First rank, size and cardinality of the groups over the descending
+    lengths; groups of one size are one."""
+    order = np.array(sorted(lengths, reverse=True), np.int64)
+    ends = np.cumsum([lengths[x] for x in order.tolist()])
+    total = int(ends[-1])
+    starts = np.arange(0, total, -(-total // groups))
+    sizes = order[np.searchsorted(ends, starts, "right")]  # rounded up to the group's first
+    first = np.flatnonzero(np.append(True, sizes[1:] != sizes[:-1]))
+    starts = starts[first]
+    return starts, sizes[first], np.diff(np.append(starts, total))
+
+
+def plan_large(lengths: dict[int, int], capacity: int, groups: int, usable: int) -> tuple[list, int]:
     """Intervals (from, to, first bin, slot) over the large documents in
-    descending order of length, and the number of bins."""
-    order = sorted(lengths, reverse=True)
-    ends = np.cumsum([lengths[x] for x in order])
-    total = int(ends[-1]) if len(order) else 0
-    if not total:
+    descending order of length, and the number of bins. A room of ``usable``
+    or more counts as left to the small documents, a smaller one as lost."""
+    if not lengths:
         return [], 0
-    size = -(-total // groups)
-    starts = np.arange(0, total, size)
-    counts = np.minimum(size, total - starts)
-    sizes = np.array([order[int(np.searchsorted(ends, s, "right"))] for s in starts])  # rounded up to the group's first
+    starts, sizes, counts = _grouped(lengths, groups)
+    load = np.arange(capacity + 1)
+    cost = np.where(capacity - load >= usable, OPEN + (1 - OPEN) * load / capacity, 1 + LOST)
     left, used = counts.copy(), np.zeros(len(starts), np.int64)
     out, bins = [], 0
-    while left.any():
-        top = int(np.flatnonzero(left)[0])
-        left[top] -= 1
-        beside = dict(_fullest(sizes, left, capacity - int(sizes[top])))
-        left[top] += 1
-        beside[top] = beside.get(top, 0) + 1
-        times = min(int(left[k]) // t for k, t in beside.items())
+
+    def place(configuration: np.ndarray, times: int) -> None:
+        nonlocal bins
         slot = 0
-        for k, t in sorted(beside.items()):
-            for _ in range(t):
+        for k in np.flatnonzero(configuration):
+            for _ in range(int(configuration[k])):
                 begin = int(starts[k] + used[k])
                 out.append((begin, begin + times, bins, slot))
                 used[k] += times
                 slot += 1
-            left[k] -= t * times
+        left[:] -= configuration * times
         bins += times
+
+    for configuration, times in _optimal(sizes, counts, cost):
+        if int(times + 1e-6):
+            place(configuration, int(times + 1e-6))
+    # the rest, less than one sequence of each configuration: the largest size, with the best beside it
+    while left.any():
+        top = int(np.flatnonzero(left)[0])
+        left[top] -= 1
+        beside, _ = _configuration(sizes, sizes * (1 + GAIN) / capacity, left, cost[int(sizes[top]):])
+        left[top] += 1
+        beside[top] += 1
+        place(beside, int((left[beside > 0] // beside[beside > 0]).min()))
     return out, bins
 
 
+def rooms_left(intervals: list, lengths: dict[int, int], capacity: int) -> dict[int, int]:
+    """Sequences by the room that the actual documents of a plan leave."""
+    order = np.array(sorted(lengths, reverse=True), np.int64)
+    ends = np.cumsum([lengths[x] for x in order.tolist()])
+    runs: dict[tuple, list] = {}
+    for begin, end, first, _ in intervals:
+        runs.setdefault((first, end - begin), []).append(begin)
+    out: dict[int, int] = {}
+    for (_, times), begins in runs.items():
+        cuts = {0, times}  # where the length of one of the documents changes
+        for b in begins:
+            lo, hi = np.searchsorted(ends, [b, b + times], "right")
+            cuts.update(c for c in (ends[lo:hi] - b).tolist() if c < times)
+        cuts = sorted(cuts)
+        for a, b in zip(cuts, cuts[1:]):
+            held = order[np.searchsorted(ends, np.array(begins) + a, "right")].sum()
+            room = capacity - int(held)
+            out[room] = out.get(room, 0) + b - a
+    return out
+
+
 def plan_small(rooms: dict[int, int], lengths: dict[int, int], capacity: int) -> tuple[list, int]:
     """Intervals (length, from, to, room of the sequence, its first rank, slot)
     for the small documents; sequences not in ``rooms`` yet have room
@@ -194,6 +265,27 @@ def plan_small(rooms: dict[int, int], lengths: dict[int, int], capacity: int) ->
     return out, opened
 
 
+def plan(large: dict[int, int], small: dict[int, int], capacity: int, groups: int) -> tuple[list, int]:
+    """The large documents' plan with the fewest sequences once the small ones
+    are in, over some rooms that count as usable: lengths that a quarter, half
+    or all but a quarter of the small documents do not pass, or none."""
+    tokens = sum(k * n for part in (large, small) for k, n in part.items())
+    usable = [capacity + 1]
+    if small:
+        order = sorted(small)
+        shares = np.cumsum([small[x] for x in order])
+        usable = [order[int(np.searchsorted(shares, share * shares[-1]))] for share in (0.5, 0.75, 0.25)] + usable
+    fewest, best = None, ([], 0)
+    for room in usable:
+        intervals, bins = plan_large(large, capacity, groups, room)
+        total = bins + plan_small(rooms_left(intervals, large, capacity), small, capacity)[1]
+        if fewest is None or total < fewest:
+            fewest, best = total, (intervals, bins)
+        if total == -(-tokens // capacity):  # there cannot be fewer
+            break
+    return best
+
+
 def _placed(intervals: list, capacity: int):
     """Rows (length, rank, ...) of small documents with their sequence's room and rank and the slot."""
     intervals = sorted(intervals)
@@ -229,7 +321,7 @@ def _seated(intervals: list, base: dict[int, int]):
     return run
 
 
-def pack(table: DataFrame, capacity: int = 4096, groups: int = 128, least: int = 8) -> DataFrame:
+def pack(table: DataFrame, capacity: int = 4096, groups: int = 64, least: int = 8) -> DataFrame:
     """Rows of ``pieces`` with sequence_id and offset. Lengths over
     ``capacity // least`` count as large."""
     large_from = capacity // least + 1
@@ -244,7 +336,7 @@ def pack(table: DataFrame, capacity: int = 4096, groups: int = 128, least: int =
     for k in sorted(large, reverse=True):
         base[k] = at
         at += large[k]
-    intervals, bins = plan_large(large, capacity, groups)
+    intervals, bins = plan(large, small, capacity, groups)
     seated = ranks.where(F.col("length") >= large_from)
     seated = keep(seated.mapInArrow(_seated(intervals, base), spec + ", bin long, slot long"), "seated")
     filled = seated.groupBy("bin").agg((capacity - F.sum("length")).alias("room"))
