@@ -104,25 +104,26 @@ class WordIds:
         self.model = self.tokenizer.model
         self.words = regex.compile(WORD_PATTERN)
         self.cache = _Generations(self._ids)
+        self.parts = _Short(self._part)  # words without their marks, in lower case
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
         return _made(cls, path)
 
+    def _part(self, word: str) -> tuple:
+        shown = word if word.isascii() else spelled(word.encode())  # ASCII characters spell themselves
+        return tuple([t.id for t in self.model.tokenize(shown)])
+
     def _ids(self, raw: bytes) -> tuple:
         text = raw.decode()
         if not _PLAIN.fullmatch(text) or "<|" in text:
             return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
         text = text.lower()
         if text.isalpha():
-            words = (text,)
-        elif text[:-1].isalpha() and text[-1] in ".,!?;:":
-            words = (text[:-1], text[-1])
-        else:
-            words = self.words.findall(text)
-        if text.isascii():  # its characters spell themselves
-            return tuple(t.id for w in words for t in self.model.tokenize(w))
-        return tuple(t.id for w in words for t in self.model.tokenize(spelled(w.encode())))
+            return self.parts[text]
+        if text[:-1].isalpha() and text[-1] in ".,!?;:":
+            return self.parts[text[:-1]] + self.parts[text[-1]]
+        return tuple(chain.from_iterable(map(self.parts.__getitem__, self.words.findall(text))))
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a buffer, one after the other, and their bounds."""
