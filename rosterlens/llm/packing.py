@@ -12,7 +12,8 @@ in:
    that small documents can use costs next to nothing, a smaller one is lost.
    Whole uses are taken; what is left of each size goes largest first, with
    the best configuration beside it. Of a few rooms that may count as usable
-   that with the fewest sequences in all is taken.
+   and a few bounds of large lengths those with the fewest sequences in all
+   are taken.
 3. The actual documents take the places of their group by rank, so every
    sequence keeps at least the room the rounding promised.
 4. Small lengths, longest first, go where they leave the least room (best fit)
@@ -47,6 +48,8 @@ ROUNDS = 4  # configurations generated for each size, at most
 GAIN = 1e-3  # of a sequence: a configuration that saves less ends the search
 OPEN = 0.02  # of a sequence: cost of an empty one whose room small documents can use
 LOST = 0.05  # of a sequence: what one without a usable room costs more
+CLOSE = 1e-3  # share of sequences over the least possible that ends the search
+SHARES = (8, 4, 2)  # lengths over this part of the capacity count as large
 
 
 def _tokenise(path: str, capacity: int, end_id: int, with_ids: bool):
@@ -265,24 +268,31 @@ def plan_small(rooms: dict[int, int], lengths: dict[int, int], capacity: int) ->
     return out, opened
 
 
-def plan(large: dict[int, int], small: dict[int, int], capacity: int, groups: int) -> tuple[list, int]:
-    """The large documents' plan with the fewest sequences once the small ones
-    are in, over some rooms that count as usable: lengths that a quarter, half
-    or all but a quarter of the small documents do not pass, or none."""
-    tokens = sum(k * n for part in (large, small) for k, n in part.items())
-    usable = [capacity + 1]
-    if small:
-        order = sorted(small)
-        shares = np.cumsum([small[x] for x in order])
-        usable = [order[int(np.searchsorted(shares, share * shares[-1]))] for share in (0.5, 0.75, 0.25)] + usable
-    fewest, best = None, ([], 0)
-    for room in usable:
-        intervals, bins = plan_large(large, capacity, groups, room)
-        total = bins + plan_small(rooms_left(intervals, large, capacity), small, capacity)[1]
-        if fewest is None or total < fewest:
-            fewest, best = total, (intervals, bins)
-        if total == -(-tokens // capacity):  # there cannot be fewer
-            break
+def plan(lengths: dict[int, int], capacity: int, groups: int) -> tuple[int, list, int]:
+    """The least large length, the large documents' intervals and the number of
+    their bins, with the fewest sequences found once the small ones are in.
+
+    Tried are lengths over an eighth, a quarter and half of the capacity as
+    large, and as usable rooms the lengths that half, three and one quarter of
+    the small documents do not pass, or none. A plan within ``CLOSE`` of the
+    least possible number ends the search."""
+    least = -(-sum(k * n for k, n in lengths.items()) // capacity)
+    fewest, best = None, (1, [], 0)
+    for part in SHARES:
+        large = {k: n for k, n in lengths.items() if k > capacity // part}
+        small = {k: n for k, n in lengths.items() if k <= capacity // part}
+        usable = [capacity + 1]
+        if small:
+            order = sorted(small)
+            shares = np.cumsum([small[x] for x in order])
+            usable = [order[int(np.searchsorted(shares, share * shares[-1]))] for share in (0.5, 0.75, 0.25)] + usable
+        for room in usable:
+            intervals, bins = plan_large(large, capacity, groups, room)
+            total = bins + plan_small(rooms_left(intervals, large, capacity), small, capacity)[1]
+            if fewest is None or total < fewest:
+                fewest, best = total, (capacity // part + 1, intervals, bins)
+            if total <= least * (1 + CLOSE):
+                return best
     return best
 
 
@@ -321,22 +331,20 @@ def _seated(intervals: list, base: dict[int, int]):
     return run
 
 
-def pack(table: DataFrame, capacity: int = 4096, groups: int = 64, least: int = 8) -> DataFrame:
-    """Rows of ``pieces`` with sequence_id and offset. Lengths over
-    ``capacity // least`` count as large."""
-    large_from = capacity // least + 1
+def pack(table: DataFrame, capacity: int = 4096, groups: int = 64) -> DataFrame:
+    """Rows of ``pieces`` with sequence_id and offset."""
     names = [c for c in table.columns if c != "ids"]
     order = ["doc", "piece", "ids_crc32"]
     ranks, counts = ranked(table, "length", order, "rank")
     ranks = keep(ranks, "ranks")
     spec = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranks.schema)
+    large_from, intervals, bins = plan(counts, capacity, groups)
     large = {k: v for k, v in counts.items() if k >= large_from}
     small = {k: v for k, v in counts.items() if k < large_from}
     base, at = {}, 0
     for k in sorted(large, reverse=True):
         base[k] = at
         at += large[k]
-    intervals, bins = plan(large, small, capacity, groups)
     seated = ranks.where(F.col("length") >= large_from)
     seated = keep(seated.mapInArrow(_seated(intervals, base), spec + ", bin long, slot long"), "seated")
     filled = seated.groupBy("bin").agg((capacity - F.sum("length")).alias("room"))
