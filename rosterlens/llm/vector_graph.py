@@ -8,10 +8,11 @@ Only vectors with one label (not null) are compared, by cosine.
    found by beam search in the graph so far, ``links`` a node (twice that on the
    lowest level), kept in the shared folder.
 3. Every vector queries every shard of its label, in blocks. A block widens its
-   beam until an audit passes: for a fixed set of its queries the links are
-   also found by brute force over the shard, and the beam doubles until
-   ``recall`` of them, and of a full beam's, are found; beams that end full of
-   links are answered by the exact product instead.
+   beam until an audit passes: for some of its queries, more until they have
+   ``AUDIT_LINKS`` links, the links are also found by brute force over the
+   shard, and the beam doubles until ``RECALL`` of them are found. Beams that
+   end full of links are answered by the exact product, as is a block that has
+   too few links to audit or whose widest beam still fails.
 4. Found pairs are verified in double precision; a block's links become edges
    to the smallest node of their local component, and a label-wide union of
    those edges gives components.
@@ -37,8 +38,11 @@ SHARD_ROWS = 16_384
 BLOCK_ROWS = 4_096
 LINKS = 12
 BEAM = 48
-AUDIT_ROWS = 48
+AUDIT_ROWS = 48  # queries of the first audit
+AUDIT_LINKS = 32  # true links that an audit sees at least, or the whole block
 RECALL = 0.99
+WIDEST = 16 * BEAM  # beam beyond which the exact product costs less
+GOLDEN = (5 ** 0.5 - 1) / 2
 STEP = 512  # queries searched in step
 
 
@@ -233,6 +237,41 @@ def _local_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
+def _audited_beam(graph: Graph, q: np.ndarray, audit: np.ndarray, a: np.ndarray, b: np.ndarray, percent: float, n: int) -> int | None:
+    """The first beam that finds ``RECALL`` of the audit's true links (a, b), or none."""
+    beam = min(BEAM, n)
+    while True:
+        ids, score = graph.search(q[audit], beam)
+        full = score[:, -1] >= percent - 1e-3  # answered by the exact product
+        open_ = ~np.isin(a, audit[full])
+        got = np.isin(a[open_] * n + b[open_], np.where(ids >= 0, audit[:, None] * n + ids, -1))
+        if got.sum() >= RECALL * len(got):
+            return beam
+        if beam >= min(WIDEST, n):
+            return None
+        beam = min(2 * beam, n)
+
+
+def _searched(graph: Graph, q: np.ndarray, units: np.ndarray, exact: np.ndarray, beam: int, percent: float):
+    """Links (query, node) found by the graph, verified; queries whose beam is full of links go by the exact product."""
+    pairs_a, pairs_b = [], []
+    for s in range(0, len(q), STEP):
+        ids, score = graph.search(q[s:s + STEP], beam)
+        full = np.flatnonzero(score[:, -1] >= percent - 1e-3)
+        ids[full] = -1
+        i, j = np.nonzero((ids >= 0) & (score >= percent - 1e-3))
+        a, b = s + i, ids[i, j]
+        true = np.einsum("pd,pd->p", units[a], exact[b]) >= percent
+        pairs_a.append(a[true])
+        pairs_b.append(b[true])
+        for f in range(0, len(full), 64):
+            rows = s + full[f:f + 64]
+            i, j = np.nonzero(units[rows] @ exact.T >= percent)
+            pairs_a.append(rows[i])
+            pairs_b.append(j)
+    return np.concatenate(pairs_a), np.concatenate(pairs_b)
+
+
 def _query(percent: float):
     schema = pa.schema([("rep", pa.int64()), ("found", pa.int64()), ("root", pa.int64())])
 
@@ -246,39 +285,29 @@ def _query(percent: float):
         left = left.take(pa.array(np.argsort(left.column("rep").to_numpy())))
         rep, units = left.column("rep").to_numpy(), _units(left)
         q = units.astype(np.float32)
-        # the audit's queries: spread over the block, the same on every run
-        audit = np.unique(np.linspace(0, len(q) - 1, min(AUDIT_ROWS, len(q))).astype(np.int64))
-        truth = units[audit] @ exact.T >= percent
-        beam = min(BEAM, len(reps))
-        while True:
-            ids, score = graph.search(q[audit], beam)
-            got = np.zeros(truth.shape, bool)
-            row = np.repeat(np.arange(len(audit)), ids.shape[1])
-            ok = ids.ravel() >= 0
-            got[row[ok], ids.ravel()[ok]] = True
-            full = (score[:, -1] >= percent - 1e-3)  # answered by the exact product below
-            want = truth[~full]
-            if beam >= len(reps) or not want.any() or (got[~full] & want).sum() >= RECALL * want.sum():
-                break
-            beam = min(2 * beam, len(reps))
-        pairs_a, pairs_b = [], []
-        for s in range(0, len(q), STEP):
-            ids, score = graph.search(q[s:s + STEP], beam)
-            full = np.flatnonzero(score[:, -1] >= percent - 1e-3)
-            ids[full] = -1
-            i, j = np.nonzero((ids >= 0) & (score >= percent - 1e-3))
-            a, b = s + i, ids[i, j]
-            true = np.einsum("pd,pd->p", units[a], exact[b]) >= percent
-            pairs_a.append(a[true])
-            pairs_b.append(b[true])
-            for f in range(0, len(full), 64):
-                rows = s + full[f:f + 64]
-                i, j = np.nonzero(units[rows] @ exact.T >= percent)
-                pairs_a.append(rows[i])
-                pairs_b.append(j)
-        a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
-        other = rep[a] != reps[b]
-        a, b = a[other], b[other]
+
+        def linked(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """All links of some queries, by the exact product."""
+            a, b = [], []
+            for s in range(0, len(rows), 64):
+                part = rows[s:s + 64]
+                i, j = np.nonzero(units[part] @ exact.T >= percent)
+                other = rep[part[i]] != reps[j]
+                a.append(part[i][other])
+                b.append(j[other])
+            return np.concatenate(a), np.concatenate(b)
+
+        # the audit's queries, spread over the block and the same on every run, until they have links enough
+        order = np.argsort(np.arange(len(q)) * GOLDEN % 1.0, kind="stable")
+        n, a, b = AUDIT_ROWS, *linked(order[:AUDIT_ROWS])
+        while len(a) < AUDIT_LINKS and n < len(q):
+            more = linked(order[n:4 * n])
+            a, b, n = np.append(a, more[0]), np.append(b, more[1]), 4 * n
+        if n < len(q):
+            beam = _audited_beam(graph, q, order[:n], a, b, percent, len(reps))
+            a, b = linked(np.arange(len(q))) if beam is None else _searched(graph, q, units, exact, beam, percent)
+            other = rep[a] != reps[b]
+            a, b = a[other], b[other]
         found = np.bincount(a, counts[b], len(rep)).astype(np.int64)
         nodes, roots = _local_edges(rep[a], reps[b])
         mine = np.searchsorted(nodes, rep)
