@@ -13,14 +13,16 @@ surpluses of the significant segments add up. A logistic curve fitted on the
 same unseen rows turns the sum into a probability.
 
 Training uses at most ``train_rows`` labelled documents (by hash order of the
-id) whose crc32(id) mod 3 is not 1. Label, language, source and id are inputs
+id) whose crc32(id) mod 3 is not 1, and keeps at most ``TABLE_ROWS`` forms;
+surpluses over ``MOST`` count as that in the curve. Label, language, source and id are inputs
 of no score. Scoring covers every whole text.
 
 Defined results: null and empty texts score as a text without findings; rows
 without, with null or with contradicting labels train nothing (a document
 labelled twice counts as toxic if one label says so); equal rows score alike;
-null ids stay, not held out; an empty table gives an empty result; without
-labels of both kinds every score is 0.
+null ids stay, not held out; very long texts are scanned whole, and chance
+grows with their length; other columns may have any names; an empty table gives
+an empty result; without labels of both kinds every score is 0.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ DRIFT = 0.3
 STRENGTH = 2.0  # documents' worth of the Dirichlet prior
 LEAST = 1.0  # log-odds of a table entry
 MOST = 30.0  # surplus beyond which the curve is flat
-TABLE_ROWS = 2_000_000  # never reached with TRAIN_ROWS documents; checked
+TABLE_ROWS = 1_000_000  # forms in the table at most, the largest log-odds first (ties by hash)
+UNIT = "decimal(38,9)"  # segment totals are added up exactly, in any order
 
 
 def _levels(words: Words) -> list[np.ndarray]:
@@ -158,9 +161,7 @@ def _fit_table(rows: DataFrame, yes: int, no: int) -> tuple[np.ndarray, np.ndarr
     a, b = F.col("yes") + STRENGTH * p, F.col("no") + STRENGTH * (1 - p)
     odds = F.log(a / (yes + STRENGTH)) - F.log(b / (no + STRENGTH)) - F.sqrt(1 / a + 1 / b)
     table = counted.where("yes > 1").withColumn("odds", odds).where(F.col("odds") >= LEAST).select("h", "odds")
-    found = table.limit(TABLE_ROWS + 1).toPandas()
-    if len(found) > TABLE_ROWS:
-        raise ValueError("the token table of a bounded sample cannot be this large")
+    found = table.orderBy(F.desc("odds"), "h").limit(TABLE_ROWS).toPandas()
     keys = found["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     return keys[order], found["odds"].to_numpy(float)[order]
@@ -185,15 +186,17 @@ def _observe(model: tuple):
     return run
 
 
-def _chance_law(seen: list) -> tuple[float, float]:
+def _chance_law(seen: DataFrame) -> tuple[float, float]:
     """Decay rate and frequency a token of segment totals in clean documents:
     beyond the smallest total they fall off exponentially."""
-    totals = np.array([t for label, _, ts in seen if label == 0 for t in ts])
-    tokens = sum(n for label, n, _ in seen if label == 0)
-    if len(totals) < 10:
-        return 1.0, (len(totals) + 1) / max(1, tokens)
-    rate = float(min(max(1 / max(1e-9, totals.mean() - totals.min()), 0.5), 2.0))
-    return rate, float(len(totals) * math.exp(rate * totals.min()) / max(1, tokens))
+    clean = seen.where("label = 0")
+    tokens = int(clean.agg(F.sum("n")).first()[0] or 0)
+    total = clean.select(F.explode("totals").alias("t")).select(F.col("t").cast(UNIT).alias("t"))
+    n, mean, least = total.agg(F.count("t"), F.sum("t") / F.count("t"), F.min("t")).first()
+    if n < 10:
+        return 1.0, (n + 1) / max(1, tokens)
+    rate = min(max(1 / max(1e-9, float(mean) - float(least)), 0.5), 2.0)
+    return rate, n * math.exp(rate * float(least)) / max(1, tokens)
 
 
 def _scored(model: tuple, curve: tuple | None, spans: bool):
@@ -242,21 +245,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Token table, decay rate and curve from at most ``train_rows`` labelled documents."""
     ship_code(docs.sparkSession)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).where(~held_out(F.col(id_col)))
-    known = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("_label"))
-    sample = known.orderBy(F.xxhash64(id_col), id_col).limit(train_rows)
-    rows = keep(docs.join(F.broadcast(sample), id_col).select(
-        F.col(text_col).alias("text"), F.col("_label").cast("long").alias("label"),
-        (F.pmod(F.xxhash64(id_col, F.lit(5)), F.lit(3)) == 0).alias("calibrate")), "train")
+    known = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("label"))
+    known = known.select(F.col(id_col).alias("doc"), "label")
+    sample = known.orderBy(F.xxhash64("doc"), "doc").limit(train_rows)
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    rows = keep(texts.join(F.broadcast(sample), "doc").select(
+        "text", F.col("label").cast("long").alias("label"),
+        (F.pmod(F.xxhash64("doc", F.lit(5)), F.lit(3)) == 0).alias("calibrate")), "train")
     n = {(r[0], r[1]): r[2] for r in rows.groupBy("calibrate", "label").count().collect()}
     empty = np.zeros(0, np.uint64), np.zeros(0)
     if not n.get((False, 1)) or not n.get((False, 0)):
         return empty, None
     table = _fit_table(rows.where("not calibrate").select("text", "label"), n[False, 1], n[False, 0])
-    seen = [tuple(r) for r in rows.where("calibrate").select("text", "label").mapInArrow(
-        _observe(table), "label long, n long, totals array<double>").collect()]  # a third of train_rows at most
+    seen = keep(rows.where("calibrate").select("text", "label").mapInArrow(
+        _observe(table), "label long, n long, totals array<double>"), "observed")
     rate, frequency = _chance_law(seen)
-    x = np.array([sum(max(0.0, rate * t - math.log(1 + frequency * k)) for t in ts) for _, k, ts in seen])
-    y = np.array([label for label, _, _ in seen], float)
+    chance = F.log(1 + frequency * F.col("n"))
+    surplus = F.aggregate("totals", F.lit(0.0), lambda a, t: a + F.greatest(F.lit(0.0), rate * t - chance))
+    # two numbers for each of at most train_rows documents
+    points = sorted(tuple(r) for r in seen.select(surplus, F.col("label").cast("double")).collect())
+    x, y = np.array(points, float).reshape(-1, 2).T
     if y.min(initial=1) == y.max(initial=0):  # too few rows to calibrate on
         return (*table, rate, frequency), (-2.0, 1.0)
     return (*table, rate, frequency), _curve(x, y)
