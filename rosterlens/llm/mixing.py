@@ -14,8 +14,9 @@ are counts per bucket, offsets over buckets, and sums inside a bucket.
 
 Defined results: null or empty text has size 0 and takes 0; the null source is
 a source of its own, last in order; a target is at most ``most`` times its
-source's size; equal rows are separate documents; null ids stay; an empty
-table gives an empty result.
+source's size; equal rows are separate documents; null ids stay; a very long
+text is many blocks, of which the mix may take some; other columns may have any
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlens.llm.textnum import Words, blocks, text_buffers
-from rosterlens.llm.work import keep, ship_code
+from rosterlens.llm.work import carried, keep, ship_code
 
 BLOCK_BYTES = 4_000_000
 BUCKET_ROWS = 20_000  # documents or slots of one source summed together, on average
@@ -162,15 +163,21 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     weights=(5, 2, 1), most: int = 3) -> DataFrame:
     """The mix as rows of ``docs``: each document once for every pass over its
     source that takes at least half of its words. Documents without words are
-    left out. Equal rows count as the separate documents they are."""
-    _, pieces, schedule, _ = mix_plan(docs, id_col, text_col, source_col, weights, most)
+    left out. Equal rows are separate documents: the passes of all of them are
+    dealt to them one by one, so none has more than one pass more than another."""
+    placed, pieces, schedule, _ = mix_plan(docs, id_col, text_col, source_col, weights, most)
     drawn = schedule.groupBy("number", "block", "epoch").agg(F.count("*").alias("times"))
     passes = (pieces.join(drawn, ["number", "block"]).groupBy("rid", "before", "number", "epoch", "size")
               .agg(F.sum("words").alias("words")).where(2 * F.col("words") >= F.col("size")))
-    # equal rows share rid: they are one row with the passes of all of them, met once
-    times = passes.groupBy("rid").agg(F.count("*").alias("_times"))
-    rows = docs.withColumn("_rid", F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)))
-    rows = rows.join(times.withColumnRenamed("rid", "_rid"), "_rid")
-    copies = rows.groupBy("_rid").agg(F.count("*").alias("_copies"))
-    rows = rows.join(copies, "_rid").withColumn("_each", F.ceil(F.col("_times") / F.col("_copies")))
-    return rows.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_each").cast("int")))).select(*docs.columns)
+    # equal rows share rid: passes and rows of a rid are counted together
+    copies = placed.where("size > 0").groupBy("rid").agg(F.count("*").alias("copies"))
+    times = keep(passes.groupBy("rid").agg(F.count("*").alias("times")).join(copies, "rid"), "times")
+    rows = carried(docs, rid=F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)))
+    even = rows.join(times.where("times % copies = 0"), "rid").select("row", F.expr("times div copies").alias("passes"))
+    # the few whose passes do not come out even are numbered, by buckets, as one rid may have many
+    odd = keep(rows.join(times.where("times % copies <> 0"), "rid").withColumn("at", F.monotonically_increasing_id()), "odd")
+    buckets = max(1, odd.count() // BUCKET_ROWS)
+    odd = _running(odd.withColumn("_bucket", F.pmod(F.xxhash64("at"), F.lit(buckets))), "rid", ["at"], F.lit(1), "turn")
+    odd = odd.select("row", (F.expr("times div copies") + F.when(F.col("turn") < F.expr("times % copies"), 1).otherwise(0)).alias("passes"))
+    both = even.unionByName(odd).where("passes > 0")
+    return both.select("row", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int")))).select("row.*")

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from rosterlens.llm.components import connected_components
 from rosterlens.llm.textnum import MULTIPLIERS, U, Words, blocks, mix, shingle_sets, text_buffers
-from rosterlens.llm.work import keep, ship_code
+from rosterlens.llm.work import carried, keep, ship_code
 
 BLOCK_BYTES = 1_000_000
 FLUSH_TOKENS = 1_000_000
@@ -346,10 +346,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     low = table.where("sid is not null").groupBy("sid").agg(F.min(rank).alias("low"))
     first = (low.join(_rooted(docs, table, text_col, size, percent), "sid", "left")
              .groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("low").alias("low"))
-             .select(F.col("low.doc").alias("_id"), F.col("low.hash").alias("_hash"), F.lit(False).alias("_all")))
-    stay = table.where("sid is null").select(F.col("doc").alias("_id"), F.col("hash").alias("_hash"), F.lit(True).alias("_all")).distinct()
-    rows = docs.join(first.unionByName(stay), F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")))
+             .select(F.col("low.doc").alias("id"), F.col("low.hash").alias("hash"), F.lit(False).alias("all")))
+    stay = table.where("sid is null").select(F.col("doc").alias("id"), "hash", F.lit(True).alias("all")).distinct()
+    picked = first.unionByName(stay)
+    rows = carried(docs, doc=F.col(id_col).cast("long"), text_hash=F.xxhash64(text_col))
+    rows = rows.join(picked, rows.doc.eqNullSafe(picked.id) & (rows.text_hash == picked.hash))
     # a row without words is alone in its window
-    rows = rows.withColumn("_each", F.when(F.col("_all"), F.monotonically_increasing_id()))
-    one = Window.partitionBy("_id", "_hash", "_each").orderBy("_hash")
-    return rows.withColumn("_rank", F.row_number().over(one)).where("_rank = 1").select(*docs.columns)
+    rows = rows.withColumn("each", F.when(F.col("all"), F.monotonically_increasing_id()))
+    one = Window.partitionBy("id", "hash", "each").orderBy("hash")
+    return rows.withColumn("rank", F.row_number().over(one)).where("rank = 1").select("row.*")

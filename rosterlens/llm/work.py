@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rosterlens.session import ensure_checkpoint_dir
 
@@ -49,3 +50,11 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def carried(docs: DataFrame, **columns) -> DataFrame:
+    """The rows of ``docs`` as one column ``row``, beside ``columns``: whatever
+    the input's columns are called, none clashes with a helper column. The way
+    back is ``select("row.*")``."""
+    return docs.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("row"),
+                       *(c.alias(name) for name, c in columns.items()))
