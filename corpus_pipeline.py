@@ -33,9 +33,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    had = F.octet_length(F.coalesce("text", F.lit(""))) > 0
-    cut = repeat_index.cut_repeats(docs.withColumn("_had", had)).where(~F.col("_had") | (F.octet_length("text") > 0))
-    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(*docs.columns)
+    had = "had_text"
+    while had in map(str.lower, docs.columns):  # a name that no column has
+        had += "_"
+    marked = docs.withColumn(had, F.octet_length(F.coalesce("text", F.lit(""))) > 0)
+    cut = repeat_index.cut_repeats(marked).where(~F.col(had) | (F.octet_length("text") > 0))
+    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
