@@ -287,13 +287,17 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     row is scored where it stands, so no text is shuffled."""
     model, curve = fit(docs, labels, id_col, text_col, label_col, train_rows)
 
+    place = docs.columns.index(text_col)
+
     def run(batches):
         scorer = Scorer(*model)
         for batch in batches:
-            data, bounds = text_buffers(batch.column(text_col))
+            data, bounds = text_buffers(batch.column(place))
             surplus = [scorer.documents(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])[0]
                        for i, j in blocks(bounds, BLOCK_BYTES)]
             x = np.concatenate([np.zeros(0), *surplus])
             score = np.zeros(len(x)) if curve is None else 1 / (1 + np.exp(-(curve[0] + curve[1] * np.minimum(x, MOST))))
             yield batch.filter(pa.array(score < threshold))
-    return docs.mapInArrow(run, docs.schema)
+    # by place: names with dots would be taken for fields
+    rows = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
