@@ -12,22 +12,32 @@ document the component it belongs to. Exact, in four steps:
    sets, hash), linked sets share one within their prefixes, so sets whose
    prefix is filled with unshared shingles are out without a comparison.
 3. Answer level: each remaining set is compared with one root, the set of its
-   lists with the fewest unshared shingles. Sets linked to the same root are
+   lists with the fewest unshared shingles; where the two are highly similar, the
+   set's differences from its root are kept. Sets linked to the same root are
    one component; their pairs are never made.
-4. Index level: an index list holds a shingle's sets in blocks of set size and
-   position. Walking a list, a block pair is skipped when sizes or positions
-   rule it out, when both sets are in one component already, or when the two
-   known overlaps with a common root bound the overlap from above. Where the
-   bound from below already proves the link, no set is read. Only what is left
-   is verified on the sets.
+4. Index level: an index list holds a shingle's sets in blocks of one set size
+   and position. Two blocks are skipped as a whole, no entry of theirs visited,
+   when sizes or positions rule out all their pairs or all their sets are in one
+   component already. Of the pairs in open blocks those fall whose known overlaps
+   with a common root bound theirs from above, and those are links whose bound
+   from below proves it.
+5. What is left is answered incrementally where both sets are highly similar to
+   one root: with R the root, - and + a set's missing and added shingles, the
+   overlap is |R| - |a-| - |b-| + |a- & b-| + |a+ & b+|, so only differences are
+   read. Pairs without such a root are verified on the sets.
 
 Defined results: a null text is an empty one; a document without words has no
 shingles, component = its own id; equal rows stay rows; a null id stays and
 never names a component unless all ids in it are null; further columns of the
-input are ignored; an empty table gives an empty result.
-
-Scale: one bucket holds ``bucket_tokens`` shingles on average plus one entry
-for each set that holds its most common shingle.
+input are ignored; an empty table gives an empty result; a very long text is
+read whole, in one task, its shingles as any others.
+
+Scale: one bucket holds ``BUCKET_TOKENS`` shingles on average plus one entry
+for each set that holds its most common shingle. An index list of more than
+``LIST_ROWS`` sets is walked by many tasks: its sets are parted by size class
+(linked ones are at most one class apart) and by digest, and every two parts
+meet in one task. ``MOST_WEIGHT`` caps a shingle's count where it orders
+prefixes only; ties then stand in the order of their hashes.
 """
 
 from __future__ import annotations
@@ -47,8 +57,10 @@ BLOCK_BYTES = 1_000_000
 FLUSH_TOKENS = 1_000_000
 BUCKET_TOKENS = 3_000_000
 STRETCHES = 16  # of a bucket, compared one after the other
-LOW_BYTES = 6  # of a hash that travel; its bucket gives the top bits
 MOST_WEIGHT = 65_535
+LIST_ROWS = 4096  # sets of an index list that one task walks
+BLOCK_ROWS = 512  # entries of a block at most
+PAIR_ROWS = 1_000_000  # entry pairs in hand at once
 
 
 def _sid(s: np.ndarray) -> int:
@@ -78,7 +90,7 @@ def _measure(size: int):
 
 def _deal(size: int, bits: int):
     """Shingles of the distinct sets of a task, dealt to buckets by their top bits."""
-    names = ["bucket", "sids", "ns", "counts", "low"]
+    names = ["bucket", "sids", "ns", "counts", "hashes"]
 
     def flush(sids, sets):
         h = np.concatenate(sets)
@@ -88,7 +100,6 @@ def _deal(size: int, bits: int):
         bucket = (h >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
         order = np.argsort(bucket, kind="stable")
         h, owner, bucket = h[order], owner[order], bucket[order]
-        low = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES]
         edge = np.flatnonzero(np.diff(bucket)) + 1
         rows = []
         for a, b in zip(np.append(0, edge), np.append(edge, len(h))):
@@ -96,7 +107,7 @@ def _deal(size: int, bits: int):
             at = np.append(0, np.flatnonzero(np.diff(o)) + 1)
             who = o[at]
             rows.append((int(bucket[a]), ids[who].tobytes(), n[who].astype("<i4").tobytes(),
-                         np.diff(np.append(at, b - a)).astype("<i4").tobytes(), low[a:b].tobytes()))
+                         np.diff(np.append(at, b - a)).astype("<i4").tobytes(), h[a:b].astype("<u8").tobytes()))
         kinds = [pa.int64(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -122,27 +133,24 @@ def _joined(table: pa.Table, name: str, kind: str) -> np.ndarray:
     return text_buffers(table.column(name))[0].view(kind)
 
 
-def _shared(bits: int, parts: int):
+def _shared(parts: int):
     """In one bucket: the shingles of two sets or more, back to groups of sets.
 
     Shingles are compared in ``STRETCHES`` stretches of their low bits, so that
     only one stretch at a time is unpacked and sorted."""
     schema = pa.schema([("part", pa.int64()), *((c, pa.binary()) for c in ("sids", "ns", "counts", "hashes", "weights"))])
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        bucket = key[0].as_py()
+    def run(table: pa.Table) -> pa.Table:
         sids, ns = _joined(table, "sids", "<i8"), _joined(table, "ns", "<i4")
-        raw = _joined(table, "low", "u1").reshape(-1, LOW_BYTES)
+        raw = _joined(table, "hashes", "<u8")
         first = np.zeros(len(sids), bool)  # a set met in several tasks counts once
         first[np.unique(sids, return_index=True)[1]] = True
         of = np.repeat(np.arange(len(sids), dtype=np.int32), _joined(table, "counts", "<i4"))
-        stretch = np.where(first[of], raw[:, 0] % STRETCHES, STRETCHES).astype(np.uint8)
+        stretch = np.where(first[of], (raw % U(STRETCHES)).astype(np.uint8), STRETCHES).astype(np.uint8)
         found = []
         for k in range(STRETCHES):
             at = np.flatnonzero(stretch == k)
-            h = np.zeros((len(at), 8), np.uint8)
-            h[:, :LOW_BYTES] = raw[at]
-            h = h.view("<u8").ravel()
+            h = raw[at]
             order = np.argsort(h, kind="stable")
             h, at = h[order], at[order]
             edge = np.append(0, np.flatnonzero(h[1:] != h[:-1]) + 1) if len(h) else np.zeros(0, np.int64)
@@ -153,9 +161,6 @@ def _shared(bits: int, parts: int):
         del raw, stretch
         h, of, weight = (np.concatenate(x) for x in zip(*found))
         del found
-        if bits:
-            h &= U(2 ** min(8 * LOW_BYTES, 64 - bits) - 1)
-            h |= U(bucket) << U(64 - bits)
         part = sids % parts
         place = np.empty(len(sids), np.int32)  # of a set, groups one after the other
         place[np.argsort(part, kind="stable")] = np.arange(len(sids), dtype=np.int32)
@@ -210,42 +215,102 @@ def _prefixes(percent: int):
     return run
 
 
+def _parted(percent: int):
+    """The parts (g, s, t) of an index list in which an entry meets others: a
+    short list is one part. In a long one the sets of size class g and digest
+    part s (role 1; 0 where s = t) meet those of part t of their class (s < t)
+    or the next (role 2); entries of one role 1 or 2 do not meet."""
+    many = f"cast(ceil(many / {LIST_ROWS}) as int)"
+    size_class = f"cast(floor(ln(n) / {math.log(100 / percent) + 1e-4!r}) as int)"
+
+    def part(g, s, t, role):
+        return f"named_struct('g', {g}, 's', {s}, 't', {t}, 'role', {role})"
+
+    return F.expr(f"""if(many <= {LIST_ROWS}, array({part(0, 0, 0, 0)}), flatten(transform(
+        array(named_struct('k', {many}, 'g', {size_class}, 'own', cast(pmod(xxhash64(sid), {many}) as int))), e -> concat(
+            transform(sequence(0, e.k - 1), x -> {part('e.g', 'e.own', 'x', 'if(x = e.own, 0, 1)')}),
+            transform(filter(sequence(0, e.k - 1), x -> x < e.own), x -> {part('e.g', 'x', 'e.own', 2)}),
+            transform(sequence(0, e.k - 1), x -> {part('e.g - 1', 'x', 'e.own', 2)})))))""")
+
+
 def _walk(percent: int):
     """Pairs of the index lists that no bound settles, and those a bound proves.
 
-    Rows come sorted by shingle, set size and position; a list is never parted.
-    """
-    names = ["h", "n", "pos", "sid", "v", "label", "root", "o", "rv"]
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
-
-    def pairs(c):
-        h, n, pos, sid, v, label, root, o, rv = (c[x] for x in names)
-        i, d = np.arange(len(h) - 1), 1
-        done = []
+    Rows come sorted by list part, set size and position; a part is never cut."""
+    key = ["h", "g", "s", "t"]
+    names = [*key, "n", "pos", "role", "sid", "v", "label", "root", "o", "rv"]
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_()), ("kin", pa.bool_())])
+
+    def changes(c, columns):
+        new = np.ones(len(c["h"]), bool)
+        new[1:] = np.logical_or.reduce([c[x][1:] != c[x][:-1] for x in columns])
+        return new
+
+    def open_blocks(c):
+        """(first rows of two blocks, their sizes, whether they are one block)."""
+        lists = np.cumsum(changes(c, key))
+        row = np.arange(len(lists))
+        new = changes(c, [*key, "n", "pos", "role"])
+        new |= (row - np.maximum.accumulate(np.where(new, row, 0))) % BLOCK_ROWS == 0
+        at = np.flatnonzero(new)
+        size = np.diff(np.append(at, len(lists)))
+        lo, hi = np.minimum.reduceat(c["label"], at), np.maximum.reduceat(c["label"], at)
+        lists, n, rest, role = lists[at], c["n"][at], (c["n"] - c["pos"])[at], c["role"][at]
+        i, d = np.arange(len(at)), 0
         while len(i):
-            i = i[i + d < len(h)]
+            i = i[i + d < len(at)]
             j = i + d
             # sizes only grow along a list: past this block all later ones are skipped too
-            near = (h[j] == h[i]) & (100 * n[i] >= percent * n[j])
+            near = (lists[j] == lists[i]) & (100 * n[i] >= percent * n[j])
             i, j = i[near], j[near]
             need = -(-percent * (n[i] + n[j]) // (100 + percent))
-            most = np.minimum(np.minimum(v[i], v[j]), 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1)
-            same = root[i] == root[j]
-            most = np.where(same, np.minimum(most, np.minimum(o[i], o[j]) + np.minimum(v[i] - o[i], v[j] - o[j])), most)
-            open_ = (label[i] != label[j]) & (most >= need)
-            a, b = i[open_], j[open_]
-            if len(a):
-                sure = same[open_] & (o[a] + o[b] - rv[a] >= need[open_])
-                done.append((np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b]), sure))
+            one = (lo[i] == hi[j]) & (lo[j] == hi[i])  # lo <= hi: all labels are one
+            meet = (role[i] != role[j]) | (role[i] == 0)
+            go = (np.minimum(rest[i], rest[j]) >= need) & ~one & meet
+            x, y = i[go], j[go]
+            edge = np.searchsorted(np.cumsum(size[x] * size[y]), np.arange(0, (size[x] * size[y]).sum(), PAIR_ROWS))
+            for p, q in zip(edge, np.append(edge[1:], len(x))):
+                if q > p:
+                    yield at[x[p:q]], at[y[p:q]], size[x[p:q]], size[y[p:q]], d == 0
             d += 1
-        if not done:
-            return None
-        a, b, sure = (np.concatenate(x) for x in zip(*done))
+
+    def pairs(c):
+        n, pos, sid, v, label, root, o, rv = (c[x] for x in names[4:] if x != "role")
+        for x, y, nx, ny, self_pair in open_blocks(c):
+            count = nx * ny
+            of = np.repeat(np.arange(len(count)), count)
+            k = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            i, j = x[of] + k // ny[of], y[of] + k % ny[of]
+            if self_pair:
+                i, j = i[i < j], j[i < j]
+            need = -(-percent * (n[i] + n[j]) // (100 + percent))
+            most = np.minimum(np.minimum(v[i], v[j]), np.minimum(n[i] - pos[i], n[j] - pos[j]))
+            kin = root[i] == root[j]
+            most = np.where(kin, np.minimum(most, np.minimum(o[i], o[j]) + np.minimum(v[i] - o[i], v[j] - o[j])), most)
+            go = (label[i] != label[j]) & (most >= need)
+            i, j, kin = i[go], j[go], kin[go]
+            if len(i):
+                sure = kin & (o[i] + o[j] - rv[i] >= need[go])
+                yield np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j]), sure, kin
+
+    def merged(found):
+        a, b, sure, kin = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((~sure, b, a))
-        a, b, sure = a[order], b[order], sure[order]
+        a, b, sure, kin = a[order], b[order], sure[order], kin[order]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(sure[new])], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (a, b, sure, kin)], schema=schema)
+
+    def batch_of(c):
+        found, held = [], 0
+        for x in pairs(c):
+            found.append(x)
+            held += len(x[0])
+            if held >= PAIR_ROWS:
+                yield merged(found)
+                found, held = [], 0
+        if found:
+            yield merged(found)
 
     def run(batches):
         rest = None
@@ -253,21 +318,35 @@ def _walk(percent: int):
             c = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in names}
             if rest is not None:
                 c = {x: np.concatenate([rest[x], c[x]]) for x in names}
-            last = int(np.searchsorted(c["h"], c["h"][-1])) if len(c["h"]) else 0
+            if not len(c["h"]):
+                continue
+            last = int(np.flatnonzero(changes(c, key))[-1])
+            if last:
+                yield from batch_of({x: y[:last] for x, y in c.items()})
             rest = {x: y[last:] for x, y in c.items()}
-            if last and (out := pairs({x: y[:last] for x, y in c.items()})) is not None:
-                yield out
-        if rest is not None and len(rest["h"]) and (out := pairs(rest)) is not None:
-            yield out
+        if rest is not None:
+            yield from batch_of(rest)
     return run
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) with the exact overlap o and both set sizes."""
+    """pairs (a, b) with the exact overlap o and both set sizes, and both sets' shared shingles."""
     one = sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    return pairs.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("ta", "tb")).cast("long")).drop(
-        "ta", "tb")
+    return pairs.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("ta", "tb")).cast("long"))
+
+
+def _derived(pairs: DataFrame, stars: DataFrame) -> DataFrame:
+    """pairs (a, b) with na, nb and their overlap o by the differences from a
+    common root (``kin``); null where one of them is not highly similar to it."""
+    def of(side):
+        return stars.where("minus is not null").select(
+            F.col("b").alias(side), F.col("nb").alias(f"n{side}"), F.col("rv").alias(f"rv{side}"),
+            F.col("minus").alias(f"minus{side}"), F.col("plus").alias(f"plus{side}"))
+
+    o = F.expr("""if(kin, rva - size(minusa) - size(minusb) + size(array_intersect(minusa, minusb))
+                  + size(array_intersect(plusa, plusb)), null)""")
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", "na", "nb", o.cast("long").alias("o"))
 
 
 def set_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
@@ -282,37 +361,42 @@ def linked_sets(docs: DataFrame, total: int, text_col: str, size: int, percent:
     bits = max(0, math.ceil(math.log2(max(1, total / BUCKET_TOKENS))))
     parts = 2 ** bits
     dealt = docs.select(text_col).mapInArrow(_deal(size, bits),
-                                             "bucket long, sids binary, ns binary, counts binary, low binary")
+                                             "bucket long, sids binary, ns binary, counts binary, hashes binary")
     back = dealt.groupBy("bucket").applyInArrow(
-        _shared(bits, parts), "part long, sids binary, ns binary, counts binary, hashes binary, weights binary")
+        _shared(parts), "part long, sids binary, ns binary, counts binary, hashes binary, weights binary")
     sets = keep(back.groupBy("part").applyInArrow(
         _prefixes(percent), "sid long, n long, v long, prefix array<long>, tokens array<long>"), "sets")
     entries = sets.select("sid", "n", "v", F.posexplode("prefix").alias("i", "h")).withColumn("pos", F.expr("n - v + i"))
-    lists = keep(entries.withColumn("rank", F.struct(((F.col("n") - F.col("v")) * 1000 / F.col("n")).cast("long"), "sid"))
-                 .withColumn("best", F.min("rank").over(Window.partitionBy("h")))
-                 .withColumn("many", F.count("*").over(Window.partitionBy("h")))
-                 .where("many > 1").select("h", "sid", "n", "v", "pos", F.struct("best.col1", "best.sid").alias("best")),
-                 "lists")
+    entries = entries.withColumn("rank", F.struct(((F.col("n") - F.col("v")) * 1000 / F.col("n")).cast("long"), "sid"))
+    heads = entries.groupBy("h").agg(F.min("rank").alias("best"), F.count("*").alias("many"))
+    lists = keep(entries.join(heads.where("many > 1"), "h").select("h", "sid", "n", "v", "pos", "many", "best"), "lists")
     roots = lists.groupBy("sid").agg(F.min("best").alias("best")).select("sid", F.col("best.sid").alias("root"))
-    stars = keep(_overlaps(roots.where("sid != root").select(F.col("root").alias("a"), F.col("sid").alias("b")), sets)
-                 .select("a", "b", "na", "nb", "o"), "stars")
+    first_look = _overlaps(roots.where("sid != root").select(F.col("root").alias("a"), F.col("sid").alias("b")), sets)
+    alike = 4 * F.col("o") >= 3 * F.greatest(F.size("ta"), F.size("tb"))  # highly similar: differences stay short
+    stars = keep(first_look.select("a", "b", "na", "nb", "o", F.size("ta").cast("long").alias("rv"),
+                                   F.when(alike, F.array_except("ta", "tb")).alias("minus"),
+                                   F.when(alike, F.array_except("tb", "ta")).alias("plus")), "stars")
     link = F.expr(f"{100 + percent} * o >= {percent} * (na + nb)")
     first = stars.where(link).select("a", "b")
     found = connected_components(first, "a", "b")
     info = (roots.join(stars.select(F.col("b").alias("sid"), "o"), "sid", "left")
             .join(found.select(F.col("node").alias("sid"), F.col("root").alias("label")), "sid", "left")
             .join(sets.select(F.col("sid").alias("root"), F.col("v").alias("rv")), "root", "left"))
-    known = (lists.drop("best").join(info, "sid")
-             .select("h", "n", "pos", "sid", "v", F.coalesce("label", "sid").alias("label"), "root",
-                     F.coalesce("o", "v").alias("o"), F.coalesce("rv", F.lit(0)).alias("rv")))
-    w = Window.partitionBy("h")
-    mixed = known.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w)).where("lo < hi").drop("lo", "hi")
+    known = keep(lists.drop("best").join(info, "sid")
+                 .select("h", "n", "pos", "sid", "v", "many", F.coalesce("label", "sid").alias("label"), "root",
+                         F.coalesce("o", "v").alias("o"), F.coalesce("rv", F.lit(0)).alias("rv")), "known")
+    mixed = known.join(known.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+                       .select("h"), "h")
+    rows = mixed.withColumn("part", F.explode(_parted(percent))).select("*", "part.*").drop("part", "many")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    walked = keep(mixed.repartition(parts, "h").sortWithinPartitions("h", "n", "pos").mapInArrow(
-        _walk(percent), "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
+    walked = keep(rows.repartition(parts, "h", "g", "s", "t").sortWithinPartitions("h", "g", "s", "t", "n", "pos", "role")
+                  .mapInArrow(_walk(percent), "a long, b long, sure boolean, kin boolean")
+                  .groupBy("a", "b").agg(F.max("sure").alias("sure"), F.max("kin").alias("kin")), "pairs")
     sure = walked.where("sure").select("a", "b")
-    checked = _overlaps(walked.where("not sure").select("a", "b"), sets).where(link).select("a", "b")
-    return first.unionByName(sure).unionByName(checked)
+    answers = keep(_derived(walked.where("not sure"), stars), "answers")
+    verified = _overlaps(answers.where("o is null").select("a", "b"), sets)
+    return (first.unionByName(sure).unionByName(answers.where(link).select("a", "b"))
+            .unionByName(verified.where(link).select("a", "b")))
 
 
 def _rooted(docs: DataFrame, table: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
