@@ -2,8 +2,9 @@
 
 A CSV with quoted line breaks is cut into records by many tasks:
 
-1. The files are read once, as lines, by byte ranges. Each line says what it does
-   to the state "inside quotes": it may keep, swap or set it.
+1. The files are read as lines, by byte ranges. Each line says what it does
+   to the state "inside quotes": it may keep, swap or set it. Where no line that
+   begins outside quotes ends inside, each is a record and 2 and 3 are left out.
 2. One exchange brings the lines of a range together (a range is bounded, as
    Spark's splits are). There a window gives the state before each line for
    either state before the range, and one row a range sums it up.
@@ -53,12 +54,19 @@ def source_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(spark.read.text(path).inputFiles())
 
 
-def first_record(spark: SparkSession, file: str, step: int = 4096) -> tuple[str, int]:
-    """A file's first record that is not empty and the lines up to its end,
-    from as many bytes of the file as that takes."""
+def _open(spark: SparkSession, file: str):
+    """A file as a stream of its bytes, decompressed as Spark's scans do it (by the name's ending)."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
     stream = at.getFileSystem(conf).open(at)
+    return stream if codec is None else codec.createInputStream(stream)
+
+
+def first_record(spark: SparkSession, file: str, step: int = 4096) -> tuple[str, int]:
+    """A file's first record that is not empty and the lines up to its end,
+    from as many bytes of the file as that takes."""
+    stream = _open(spark, file)
     try:
         data = b""
         while True:
@@ -158,7 +166,7 @@ WITH placed AS (
 ), opened AS (
   SELECT file, range, first, last(if(last IS NULL, null, named_struct('range', range, 'k', last)), true) OVER {_RANGE_FRAME} AS open FROM known
 ), owned AS (
-  SELECT s.file, s.range, k, value, open, if(first = 0, s0, s1) AS state,
+  SELECT /*+ BROADCAST(o) */ s.file, s.range, k, value, open, if(first = 0, s0, s1) AS state,
     if(if(first = 0, s0, s1) = 0, out, inside) AS to, if(if(first = 0, s0, s1) = 0, fields, fields_in) AS commas
   FROM stated s JOIN opened o ON o.file = s.file AND o.range = s.range
 ), several AS (
@@ -179,15 +187,58 @@ WITH placed AS (
 SELECT * FROM trimmed WHERE record <> ''"""
 
 
+#: Records of files whose every line is one: the lines as they stand, numbered in their range by its first line.
+_PLAIN = """
+WITH ranges AS (SELECT file, range, min(n) AS first FROM {lines} GROUP BY file, range),
+numbered AS (
+  SELECT /*+ BROADCAST(r) */ l.file, l.range, n - first AS k, value, q.fields AS commas
+  FROM {lines} l JOIN ranges r ON r.file = l.file AND r.range = l.range
+), trimmed AS (
+  SELECT file, 2 * range + k AS row, if(endswith(value, '\r'), left(value, length(value) - 1), value) AS record, commas + 1 AS n_fields
+  FROM numbered WHERE range > 0 OR k >= {header_lines}
+)
+SELECT * FROM trimmed WHERE record <> ''"""
+
+
+def _begins_plain(spark: SparkSession, file: str, size: int = 4096) -> bool:
+    """Whether quotes are balanced in each whole line of a file's beginning."""
+    stream = _open(spark, file)
+    try:
+        lines = bytes(stream.readNBytes(size)).split(b"\n")[:-1]
+    finally:
+        stream.close()
+    return all(line.count(b'"') % 2 == 0 for line in lines)
+
+
+def all_plain(spark: SparkSession, lines: DataFrame, files: Sequence[str]) -> bool:
+    """Whether each line of the files is a record: none that begins outside
+    quotes ends inside. The files are not read for it if one shows a line break
+    in quotes in its first bytes, and no further than the first found."""
+    with ThreadPool(min(16, max(1, len(files)))) as pool:
+        if not all(pool.map(lambda f: _begins_plain(spark, f), files)):
+            return False
+    return lines.where("q.out <> 0").isEmpty()
+
+
+def csv_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(value, file, range, n, q): the lines, in which ``n`` grows along a range, and what each does to the state."""
+    return (spark.read.option("lineSep", "\n").text(path)
+            .selectExpr("value", "_metadata.file_path AS file", "_metadata.file_block_start AS range", "monotonically_increasing_id() AS n",
+                        """split(value, '"') AS pieces""")
+            .selectExpr("value", "file", "range", "n", f"{_QUOTING} AS q"))
+
+
 def csv_records(spark: SparkSession, path: str | list[str], header_lines: int = 1) -> DataFrame:
     """(file, row, record, n_fields) of the CSV files, without their headers:
     ``row`` grows along the file, ``record`` may hold line breaks, ``n_fields``
-    are its fields, quotes minded."""
-    lines = (spark.read.option("lineSep", "\n").text(path)
-             .selectExpr("value", "_metadata.file_path AS file", "_metadata.file_block_start AS range", "monotonically_increasing_id() AS n",
-                         """split(value, '"') AS pieces""")
-             .selectExpr("value", "file", "range", "n", f"{_QUOTING} AS q")
-             .selectExpr("value", "file", "range", "n", "q.out", "q.inside", "q.fields", "q.fields_in").repartition("file", "range"))
+    are its fields, quotes minded. Where each line is a record, nothing is
+    exchanged; else the lines are, once."""
+    lines = csv_lines(spark, path)
+    if all_plain(spark, lines, source_files(spark, path)):
+        return spark.sql(_PLAIN, lines=lines, header_lines=header_lines)
+    # a task a range, as in the scan: what a task sorts is bounded however many lines there are
+    lines = (lines.selectExpr("value", "file", "range", "n", "q.out", "q.inside", "q.fields", "q.fields_in")
+             .repartition(max(1, lines.rdd.getNumPartitions()), "file", "range"))
     return spark.sql(_RECORDS, lines=lines, header_lines=header_lines)
 
 
@@ -269,7 +320,7 @@ def land_csv(spark: SparkSession, path: str | list[str], out: str, columns: Sequ
     """One pass: scan, flag, write Parquet partitioned by ``_status`` so the
     usable rows and the quarantine come from the same read."""
     rows = read_profile_csv(spark, path, columns, key, headers=headers)
-    rows.withColumn(BATCH, F.lit(0)).write.mode("overwrite").partitionBy(BATCH, STATUS).parquet(out)
+    rows.withColumn(BATCH, F.lit(0)).write.mode("overwrite").partitionBy(BATCH, STATUS).parquet(out, compression="zstd")
     return out
 
 
@@ -302,11 +353,17 @@ def first_files(spark: SparkSession, path: str | list[str], n: int, key: str = "
     return files[:done] or files
 
 
+FILE_ROWS = 250_000
+
+
 def write_profile_csv(df: DataFrame, path: str) -> str:
     """Write rows as CSV the way the reader above expects: header, RFC 4180
-    quoting (quotes doubled), white space kept, null as an empty field."""
+    quoting (quotes doubled), white space kept, null as an empty field. Files are
+    compressed, so each is read by one task, and hold ``FILE_ROWS`` rows at most."""
     (
         df.write.mode("overwrite")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", FILE_ROWS)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')

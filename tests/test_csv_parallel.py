@@ -134,3 +134,32 @@ def test_bytes_read(tmp_path, what):
     else:
         # three files were read to find and once more to give the rows
         assert out.stdout.split()[-1] == "1000" and 0 < total <= 7 * size / 20
+
+
+@pytest.mark.parametrize("name", ["a.csv", "a.csv.gz"])
+def test_lines_that_are_records_are_not_exchanged(spark, tmp_path, ranges, name):
+    import gzip
+
+    text = "\n\n" + 'char_id,a\n' + "".join(f'{i},"x, ""{i}"""\n' + "\n" * (i % 7 == 0) for i in range(200))
+    (tmp_path / name).write_bytes(gzip.compress(text.encode()) if name.endswith("gz") else text.encode())
+    ranges(97)
+    df = landing.read_profile_csv(spark, str(tmp_path))
+    assert "REPARTITION_BY" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [(r["char_id"], r["a"]) for r in df.orderBy("src_ord").collect()] == [(str(i), f'x, "{i}"') for i in range(200)]
+    # one line break in quotes, far in the file: the lines are exchanged, once
+    text += '200,"two\nlines"\n201,z\n'
+    (tmp_path / name).write_bytes(gzip.compress(text.encode()) if name.endswith("gz") else text.encode())
+    df = landing.read_profile_csv(spark, str(tmp_path))
+    rows = [(r["char_id"], r["a"]) for r in df.orderBy("src_ord").collect()]
+    assert len(rows) == 202 and rows[-2:] == [("200", "two\nlines"), ("201", "z")]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in plan
+
+
+def test_a_written_file_set_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_ROWS", 100)
+    df = spark.range(0, 1000, 1, 2).selectExpr("cast(id AS string) AS char_id", "repeat('x', 50) AS name")
+    landing.write_profile_csv(df, str(tmp_path / "out"))
+    files = glob.glob(str(tmp_path / "out" / "*.csv.gz"))
+    assert len(files) == 10 and sum(map(os.path.getsize, files)) < 20_000
+    assert landing.read_profile_csv(spark, str(tmp_path / "out")).select("char_id", "name").exceptAll(df).count() == 0
