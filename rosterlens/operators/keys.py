@@ -16,6 +16,13 @@ _LOCAL = "_key_local"
 _OFFSET = "_key_offset"
 
 
+def placed(ranged: DataFrame) -> DataFrame:
+    """Range-sorted rows with their place, ``_pid`` and ``_row`` (see ``in_order``): to be written as they are."""
+    pid = F.spark_partition_id()
+    row = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    return ranged.select("*", pid.alias(PID), row.alias(ROW))
+
+
 def in_order(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None,
              cache_input: StorageLevel | None = StorageLevel.MEMORY_AND_DISK, keep: Callable = kept) -> DataFrame:
     """``df`` range-sorted by ``order`` (a total order) and kept as Parquet with
@@ -34,9 +41,7 @@ def in_order(df: DataFrame, order: Sequence[Column | str], partitions: int | Non
             # A global sort: its range exchange may be coalesced by AQE, which
             # only merges neighbouring ranges, so the order is kept.
             ranged = src.orderBy(*order)
-        pid = F.spark_partition_id()
-        row = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-        return keep(ranged.select("*", pid.alias(PID), row.alias(ROW)), "ordered")
+        return keep(placed(ranged), "ordered")
     finally:
         if cache_input is not None:
             src.unpersist()

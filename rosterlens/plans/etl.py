@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from rosterlens.operators.integrity import assert_sound, relation_counts
-from rosterlens.plans.clean import clean_profiles
+from rosterlens.plans.clean import clean_in_order
 from rosterlens.plans.model import Relations, build_relations
 from rosterlens.plans.views import VIEWS
 from rosterlens.schema import CHARACTER_SCHEMA, CLASS_SCHEMA, FEAT_SCHEMA, VIEW_NAMES
@@ -65,7 +65,9 @@ def extract(spark: SparkSession, settings: Settings) -> DataFrame:
 
 def transform(raw: DataFrame, settings: Settings | None = None) -> Relations:
     fmt = settings.timestamp_format if settings else None
-    return build_relations(clean_profiles(raw, fmt), keyed=True)
+    # landed rows are counted without reading a column
+    rows = raw.count() if settings and settings.landing else None
+    return build_relations(clean_in_order(raw, fmt, rows), keyed=True)
 
 
 def load_jdbc(rels: Relations, settings: Settings) -> None:

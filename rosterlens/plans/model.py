@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from rosterlens.functions.numeric import to_int, to_smallint
 from rosterlens.functions.text import normalize_text, split_list
-from rosterlens.operators.keys import entry_positions, in_order, positions
+from rosterlens.operators.keys import PID, ROW, entry_positions, in_order, positions
 from rosterlens.schema import CHARACTER_COLUMNS, INT_COLUMNS, RENAME_MAP, SMALLINT_COLUMNS
+from rosterlens.session import kept
 
 CLASSES = "_classes"
 FEATS = "_feats"
@@ -68,6 +69,7 @@ def nest(clean: DataFrame) -> DataFrame:
         to_smallint("class_starting_level").alias(START_LEVEL),
         class_entries().alias(CLASSES),
         feat_entries().alias(FEATS),
+        *(c for c in (PID, ROW) if c in clean.columns),
     ).withColumn("is_multiclass", F.size(CLASSES) > 1)
 
 
@@ -125,7 +127,8 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
 
     ``keyed``: dense surrogate keys 1..N in insert order (characters by
     source id; starting classes before other classes; feats by character
-    and position). Characters take one balanced range sort; class and feat
+    and position). Characters take one balanced range sort, or none if ``clean``
+    comes sorted with its rows' places (``clean_in_order``); class and feat
     rows are numbered inside its ranges. Unkeyed relations
     use ``source_id`` as the key and need no sort at all.
     """
@@ -136,7 +139,7 @@ def build_relations(clean: DataFrame, keyed: bool = True) -> Relations:
             class_rows(nested).drop("_ord"),
             feat_rows(nested).drop("_ord"),
         )
-    rows = in_order(nested, source_order())
+    rows = kept(nested, "ordered") if PID in clean.columns else in_order(nested, source_order())
     ordered = positions(rows, "char_id")
     # Children are numbered from the kept, sorted character rows: starting
     # classes first, then the other classes, each by character and position;

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlens.operators.integrity import cascade_delete, check_relations, relation_counts
-from rosterlens.operators.keys import attach_keys
+from rosterlens.operators.keys import PID, ROW, attach_keys
 from rosterlens.plans import clean as cl
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations, build_relations, split_lists
@@ -77,7 +77,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _LOCK:
         if key not in _LANDED:
             path = _scratch(spark, "landed", _slug(sf_dir))
-            raw_profiles(spark, sf_dir).write.mode("overwrite").parquet(path)
+            raw_profiles(spark, sf_dir).write.mode("overwrite").parquet(path, compression="zstd")
             _LANDED[key] = spark.read.parquet(path)
         return _LANDED[key]
 
@@ -87,11 +87,17 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet: like the reference's one cleaned frame, they feed all three
     relation builders (M10). The cleaning queries themselves run C1-C12 from
     the landed rows each time."""
+    return _cleaned(spark, sf_dir).drop(PID, ROW)
+
+
+def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned profiles with their places in the insert order of characters."""
     key = _key(spark, sf_dir)
     with _LOCK:
         if key not in _CLEANED:
             path = _scratch(spark, "cleaned", _slug(sf_dir))
-            cl.clean_profiles(raw(spark, sf_dir)).write.mode("overwrite").parquet(path)
+            landed = raw(spark, sf_dir)
+            cl.clean_in_order(landed, rows=landed.count()).write.mode("overwrite").parquet(path, compression="zstd")
             _CLEANED[key] = spark.read.parquet(path)
         return _CLEANED[key]
 
@@ -107,7 +113,7 @@ def relations(spark: SparkSession, sf_dir: str) -> Relations:
 
 def _relations(spark: SparkSession, sf_dir: str, key) -> Relations:
     if key not in _BUILT:
-        built = build_relations(cleaned(spark, sf_dir), keyed=True)
+        built = build_relations(_cleaned(spark, sf_dir), keyed=True)
         # Loaded once, like the reference's tables: Parquet tables bucketed on
         # char_id in a database under the shared checkpoint folder. Reports
         # scan only the columns they use, with filters pushed down, and their

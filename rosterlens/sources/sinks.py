@@ -77,6 +77,8 @@ def write_table(df: DataFrame, database: str, table: str, mode: str = "overwrite
         writer = df.write.mode(mode).format(fmt).bucketBy(buckets, bucket_key).sortBy(bucket_key)
     else:
         writer = df.write.mode(mode).format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
     writer.saveAsTable(f"`{database}`.`{table}`")
 
 
