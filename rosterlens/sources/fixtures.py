@@ -68,10 +68,10 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lines = F.col("lines")
 
-    def some(field, first, n=None, sep="/", shape=lambda c: c):
+    def some(field, first, n=None, sep="/", shape=None):
         """Lines first, first + 1, ... (n of them, or all) as one list; null when there are none."""
-        part = F.slice(lines, F.lit(first), F.lit(n) if n else F.greatest(F.size(lines), F.lit(1)))
-        return F.when(F.size(part) > 0, F.array_join(F.transform(part, lambda x: shape(x[field])), sep))
+        part = F.slice(lines[field], F.lit(first), F.lit(n) if n else F.greatest(F.size(lines), F.lit(1)))
+        return F.when(F.size(lines) >= first, F.array_join(F.transform(part, shape) if shape else part, sep))
 
     return versions.select(
         v.alias("src_ord"),
