@@ -20,7 +20,7 @@ KEY = "char_id"
 DATE = "date_modified"
 SOURCE_ORDER = "src_ord"
 # Rows a task sorts at most, about, and versions of a key from which they are cut down before the exchange.
-TASK_ROWS = 200_000
+TASK_ROWS = 100_000
 HOT_VERSIONS = 100_000
 
 

@@ -8,11 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from rosterlens.operators.integrity import assert_sound, relation_counts
-from rosterlens.plans.clean import clean_in_order
+from rosterlens.plans.clean import TASK_ROWS, clean_in_order
 from rosterlens.plans.model import Relations, build_relations
 from rosterlens.plans.views import VIEWS
 from rosterlens.schema import CHARACTER_SCHEMA, CLASS_SCHEMA, FEAT_SCHEMA, VIEW_NAMES
-from rosterlens.session import use_utc
+from rosterlens.session import sized, use_utc
 from rosterlens.sources import csv_landing, sinks
 from rosterlens.streaming.landing import land_csv_stream
 
@@ -20,6 +20,10 @@ from rosterlens.streaming.landing import land_csv_stream
 TABLES = {"character": CHARACTER_SCHEMA, "character_class": CLASS_SCHEMA, "character_feats": FEAT_SCHEMA}
 LOAD_COLUMNS = {name: schema.names for name, schema in TABLES.items()}
 
+# Rows a task numbers the entries of, on average: whole ranges of the sort meet in a
+# task by their hash, so there are more tasks than ranges.
+KEYING_TASK_ROWS = 50_000
+
 
 @dataclass
 class Settings:
@@ -103,13 +107,16 @@ def run_pipeline(spark: SparkSession, settings: Settings) -> dict[str, int]:
     writing tasks counted them."""
     use_utc(spark)
     raw = extract(spark, settings)
-    rels = transform(raw, settings)
-    if settings.jdbc_url:
-        if settings.validate:
-            assert_sound(rels.character, rels.classes, rels.feats)
-        load_jdbc(rels, settings)
-        return {r["relation"]: r["rows"] for r in relation_counts(rels.as_dict()).collect()}
-    return load_catalog(spark, rels, settings, raw)
+    rows = raw.count() if settings.landing else None
+    with sized(spark, rows, TASK_ROWS):
+        rels = transform(raw, settings)
+    with sized(spark, rows, KEYING_TASK_ROWS):
+        if settings.jdbc_url:
+            if settings.validate:
+                assert_sound(rels.character, rels.classes, rels.feats)
+            load_jdbc(rels, settings)
+            return {r["relation"]: r["rows"] for r in relation_counts(rels.as_dict()).collect()}
+        return load_catalog(spark, rels, settings, raw)
 
 
 def refresh(spark: SparkSession, settings: Settings) -> dict[str, int]:

@@ -23,12 +23,12 @@ from rosterlens.operators.keys import PID, ROW, attach_keys
 from rosterlens.plans import clean as cl
 from rosterlens.plans import explore, reports
 from rosterlens.plans.model import Relations, build_relations, split_lists
-from rosterlens.plans.etl import LOAD_COLUMNS, Settings, refresh
+from rosterlens.plans.etl import KEYING_TASK_ROWS, LOAD_COLUMNS, Settings, refresh
 from rosterlens.plans.views import VIEWS
 from rosterlens.schema import RAW_NUMERIC_COLUMNS, VIEW_NAMES
-from rosterlens.session import ensure_checkpoint_dir, use_utc
+from rosterlens.session import ensure_checkpoint_dir, sized, use_utc
 from rosterlens.sources.csv_landing import OK, STATUS, read_profile_csv, sample_rows, write_profile_csv
-from rosterlens.sources.fixtures import raw_profiles
+from rosterlens.sources.fixtures import most_rows, raw_profiles
 from rosterlens.sources.sinks import auto_buckets, create_schema, create_views, write_table
 from rosterlens.sources.tables import key_map, load_view, numeric_projection
 
@@ -37,6 +37,7 @@ from rosterlens.sources.tables import key_map, load_view, numeric_projection
 FIXTURE_EXCLUDED_CLASSES = "promo|small"
 SAMPLE_ROWS = 1000
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+LANDING_TASK_ROWS = 400_000  # of the largest table, a task of the landing
 
 # Per session and folder: landed rows, cleaned rows, loaded relations.
 _LANDED: dict[tuple[str, str], DataFrame] = {}
@@ -77,7 +78,8 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _LOCK:
         if key not in _LANDED:
             path = _scratch(spark, "landed", _slug(sf_dir))
-            raw_profiles(spark, sf_dir).write.mode("overwrite").parquet(path, compression="zstd")
+            with sized(spark, most_rows(spark, sf_dir), LANDING_TASK_ROWS):
+                raw_profiles(spark, sf_dir).write.mode("overwrite").parquet(path, compression="zstd")
             _LANDED[key] = spark.read.parquet(path)
         return _LANDED[key]
 
@@ -97,7 +99,9 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
         if key not in _CLEANED:
             path = _scratch(spark, "cleaned", _slug(sf_dir))
             landed = raw(spark, sf_dir)
-            cl.clean_in_order(landed, rows=landed.count()).write.mode("overwrite").parquet(path, compression="zstd")
+            rows = landed.count()
+            with sized(spark, rows, cl.TASK_ROWS):
+                cl.clean_in_order(landed, rows=rows).write.mode("overwrite").parquet(path, compression="zstd")
             _CLEANED[key] = spark.read.parquet(path)
         return _CLEANED[key]
 
@@ -113,7 +117,9 @@ def relations(spark: SparkSession, sf_dir: str) -> Relations:
 
 def _relations(spark: SparkSession, sf_dir: str, key) -> Relations:
     if key not in _BUILT:
-        built = build_relations(_cleaned(spark, sf_dir), keyed=True)
+        rows = _cleaned(spark, sf_dir).count()
+        with sized(spark, rows, KEYING_TASK_ROWS):
+            built = build_relations(_cleaned(spark, sf_dir), keyed=True)
         # Loaded once, like the reference's tables: Parquet tables bucketed on
         # char_id in a database under the shared checkpoint folder. Reports
         # scan only the columns they use, with filters pushed down, and their
@@ -122,8 +128,9 @@ def _relations(spark: SparkSession, sf_dir: str, key) -> Relations:
         db = _database(sf_dir)
         create_schema(spark, db, drop=True, location=_scratch(spark, "tables", _slug(sf_dir)))
         buckets = auto_buckets(spark, cleaned(spark, sf_dir))
-        for name, df in built.as_dict().items():
-            write_table(df, db, name, bucket_key="char_id", buckets=buckets)
+        with sized(spark, rows, KEYING_TASK_ROWS):
+            for name, df in built.as_dict().items():
+                write_table(df, db, name, bucket_key="char_id", buckets=buckets)
         _BUILT[key] = Relations(*(spark.table(f"`{db}`.`{n}`") for n in built.as_dict()))
     return _BUILT[key]
 

@@ -25,7 +25,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     part = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"), "p_type", "p_brand", "p_name")
     line = F.struct("l_linenumber", "pk", "l_suppkey", "p_type", "p_brand", "p_name")
-    return li.join(part, "pk").groupBy("k").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    # lists do not shrink before the exchange, so lines travel as they are and are collected behind it
+    return li.join(part, "pk").repartition("k").groupBy("k").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+
+
+def most_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the largest table that ``raw_profiles`` exchanges (counts that read no column)."""
+    return max(_table(spark, sf_dir, name).count() for name in ("lineitem", "orders", "customer", "part"))
 
 
 def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

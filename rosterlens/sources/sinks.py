@@ -36,11 +36,11 @@ def sink_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*out)
 
 
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS = 250_000
 
 
 def auto_buckets(spark: SparkSession, source: DataFrame) -> int:
-    """About one bucket per million rows of ``source`` (a count of it), at least
+    """About one bucket per ``BUCKET_ROWS`` rows of ``source`` (a count of it), at least
     the session's parallelism, without an upper limit."""
     return max(spark.sparkContext.defaultParallelism, -(-source.count() // BUCKET_ROWS))
 
