@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlens.llm.textnum import Words, blocks, text_buffers
-from rosterlens.llm.work import carried, keep, ship_code
+from rosterlens.llm.work import carried, keep, lean, ship_code
 
 BLOCK_BYTES = 4_000_000
 BUCKET_ROWS = 20_000  # documents or slots of one source summed together, on average
@@ -94,7 +94,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sizes = keep(docs.select(
         F.col(id_col).cast("long").alias("doc"), F.col(source_col).alias("source"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)).alias("rid")).mapInArrow(
-            _sizes, "doc long, source string, rid long, size long"), "sizes")
+            lean(_sizes), "doc long, source string, rid long, size long"), "sizes")
     targets = keep(source_targets(sizes, weights, most), "targets")
     total = int(targets.agg(F.sum("source_size")).first()[0] or 0)
     words = int(min(4096, max(16, total // SLOTS)))

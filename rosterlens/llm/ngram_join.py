@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from rosterlens.llm.components import connected_components
 from rosterlens.llm.textnum import MULTIPLIERS, U, Words, blocks, mix, shingle_sets, text_buffers
-from rosterlens.llm.work import carried, keep, ship_code
+from rosterlens.llm.work import carried, keep, lean, lean_group, ship_code
 
 BLOCK_BYTES = 1_000_000
 FLUSH_TOKENS = 1_000_000
@@ -353,19 +353,19 @@ def set_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """(doc, n, sid, hash): set size, set digest and hash of the text of every document."""
     ship_code(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
-                       F.xxhash64(text_col).alias("hash")).mapInArrow(_measure(size), "doc long, n long, sid long, hash long")
+                       F.xxhash64(text_col).alias("hash")).mapInArrow(lean(_measure(size)), "doc long, n long, sid long, hash long")
 
 
 def linked_sets(docs: DataFrame, total: int, text_col: str, size: int, percent: int) -> DataFrame:
     """Edges (a, b) between set digests whose components are those of all links."""
     bits = max(0, math.ceil(math.log2(max(1, total / BUCKET_TOKENS))))
     parts = 2 ** bits
-    dealt = docs.select(text_col).mapInArrow(_deal(size, bits),
+    dealt = docs.select(text_col).mapInArrow(lean(_deal(size, bits)),
                                              "bucket long, sids binary, ns binary, counts binary, hashes binary")
     back = dealt.groupBy("bucket").applyInArrow(
-        _shared(parts), "part long, sids binary, ns binary, counts binary, hashes binary, weights binary")
+        lean_group(_shared(parts)), "part long, sids binary, ns binary, counts binary, hashes binary, weights binary")
     sets = keep(back.groupBy("part").applyInArrow(
-        _prefixes(percent), "sid long, n long, v long, prefix array<long>, tokens array<long>"), "sets")
+        lean_group(_prefixes(percent)), "sid long, n long, v long, prefix array<long>, tokens array<long>"), "sets")
     entries = sets.select("sid", "n", "v", F.posexplode("prefix").alias("i", "h")).withColumn("pos", F.expr("n - v + i"))
     entries = entries.withColumn("rank", F.struct(((F.col("n") - F.col("v")) * 1000 / F.col("n")).cast("long"), "sid"))
     heads = entries.groupBy("h").agg(F.min("rank").alias("best"), F.count("*").alias("many"))
@@ -390,7 +390,7 @@ def linked_sets(docs: DataFrame, total: int, text_col: str, size: int, percent:
     rows = mixed.withColumn("part", F.explode(_parted(percent))).select("*", "part.*").drop("part", "many")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     walked = keep(rows.repartition(parts, "h", "g", "s", "t").sortWithinPartitions("h", "g", "s", "t", "n", "pos", "role")
-                  .mapInArrow(_walk(percent), "a long, b long, sure boolean, kin boolean")
+                  .mapInArrow(lean(_walk(percent)), "a long, b long, sure boolean, kin boolean")
                   .groupBy("a", "b").agg(F.max("sure").alias("sure"), F.max("kin").alias("kin")), "pairs")
     sure = walked.where("sure").select("a", "b")
     answers = keep(_derived(walked.where("not sure"), stars), "answers")

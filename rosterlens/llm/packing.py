@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rosterlens.llm.textnum import blocks, text_buffers
 from rosterlens.llm.tokens import WordIds
-from rosterlens.llm.work import keep, ship_code
+from rosterlens.llm.work import keep, lean, ship_code
 
 BLOCK_BYTES = 6_000_000
 RANK_ROWS = 20_000  # rows of one length ranked together, on average
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     ship_code(docs.sparkSession)
     schema = "doc long, piece int, start long, length long, ids_crc32 long"
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
-        _tokenise(vocabulary, capacity, end_id, with_ids), schema + ", ids binary" * with_ids)
+        lean(_tokenise(vocabulary, capacity, end_id, with_ids), keeps=True), schema + ", ids binary" * with_ids)
 
 
 def ranked(df: DataFrame, by: str, order: list, name: str) -> tuple[DataFrame, dict[int, int]]:

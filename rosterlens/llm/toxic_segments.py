@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlens.llm.textnum import MULTIPLIERS, NOT_ALNUM, U, Words, blocks, mix, text_buffers
-from rosterlens.llm.work import keep, ship_code
+from rosterlens.llm.work import keep, lean, ship_code
 
 BLOCK_BYTES = 1_000_000
 TRAIN_ROWS = 30_000
@@ -157,7 +157,7 @@ class Scorer:
 def _fit_table(rows: DataFrame, yes: int, no: int) -> tuple[np.ndarray, np.ndarray]:
     """Forms of at least two toxic documents with log-odds, less the standard error, of ``LEAST`` or more."""
     p = yes / (yes + no)
-    counted = rows.mapInArrow(_count, "h long, yes long, no long").groupBy("h").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    counted = rows.mapInArrow(lean(_count), "h long, yes long, no long").groupBy("h").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     a, b = F.col("yes") + STRENGTH * p, F.col("no") + STRENGTH * (1 - p)
     odds = F.log(a / (yes + STRENGTH)) - F.log(b / (no + STRENGTH)) - F.sqrt(1 / a + 1 / b)
     table = counted.where("yes > 1").withColumn("odds", odds).where(F.col("odds") >= LEAST).select("h", "odds")
@@ -258,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return empty, None
     table = _fit_table(rows.where("not calibrate").select("text", "label"), n[False, 1], n[False, 0])
     seen = keep(rows.where("calibrate").select("text", "label").mapInArrow(
-        _observe(table), "label long, n long, totals array<double>"), "observed")
+        lean(_observe(table)), "label long, n long, totals array<double>"), "observed")
     rate, frequency = _chance_law(seen)
     chance = F.log(1 + frequency * F.col("n"))
     surplus = F.aggregate("totals", F.lit(0.0), lambda a, t: a + F.greatest(F.lit(0.0), rate * t - chance))
@@ -276,7 +276,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model, curve = fit(docs, labels, id_col, text_col, label_col, train_rows)
     spec = "doc long, score double" + ", spans array<struct<start:long,stop:long,surplus:double>>" * spans
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
-        _scored(model, curve, spans), spec)
+        lean(_scored(model, curve, spans)), spec)
     return rows.select(F.col("doc").alias(id_col), held_out(F.col("doc")).alias("held_out"), "score",
                        (F.col("score") >= threshold).cast("int").alias("predicted"), *["spans"] * spans)
 
@@ -300,4 +300,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
             yield batch.filter(pa.array(score < threshold))
     # by place: names with dots would be taken for fields
     rows = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
+    return rows.mapInArrow(lean(run), rows.schema).toDF(*docs.columns)
