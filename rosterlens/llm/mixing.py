@@ -175,9 +175,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = carried(docs, rid=F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)))
     even = rows.join(times.where("times % copies = 0"), "rid").select("row", F.expr("times div copies").alias("passes"))
     # the few whose passes do not come out even are numbered, by buckets, as one rid may have many
-    odd = keep(rows.join(times.where("times % copies <> 0"), "rid").withColumn("at", F.monotonically_increasing_id()), "odd")
-    buckets = max(1, odd.count() // BUCKET_ROWS)
-    odd = _running(odd.withColumn("_bucket", F.pmod(F.xxhash64("at"), F.lit(buckets))), "rid", ["at"], F.lit(1), "turn")
-    odd = odd.select("row", (F.expr("times div copies") + F.when(F.col("turn") < F.expr("times % copies"), 1).otherwise(0)).alias("passes"))
-    both = even.unionByName(odd).where("passes > 0")
-    return both.select("row", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int")))).select("row.*")
+    uneven = keep(times.where("times % copies <> 0"), "uneven")
+    both = even
+    if not uneven.isEmpty():
+        odd = keep(rows.join(uneven, "rid").withColumn("at", F.monotonically_increasing_id()), "odd")
+        buckets = max(1, odd.count() // BUCKET_ROWS)
+        odd = _running(odd.withColumn("_bucket", F.pmod(F.xxhash64("at"), F.lit(buckets))), "rid", ["at"], F.lit(1), "turn")
+        both = even.unionByName(odd.select("row", (F.expr("times div copies") + F.when(
+            F.col("turn") < F.expr("times % copies"), 1).otherwise(0)).alias("passes")))
+    return both.where("passes > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int")))).select("row.*")

@@ -32,6 +32,10 @@ never names a component unless all ids in it are null; further columns of the
 input are ignored; an empty table gives an empty result; a very long text is
 read whole, in one task, its shingles as any others.
 
+Disk: shingles are dealt in ``ROUNDS`` rounds of buckets, so a quarter of them is
+in a shuffle at a time; no document's text is shuffled but once, in ``one_of_each``
+(and once more, where rows with equal id and text are in it).
+
 Scale: one bucket holds ``BUCKET_TOKENS`` shingles on average plus one entry
 for each set that holds its most common shingle. An index list of more than
 ``LIST_ROWS`` sets is walked by many tasks: its sets are parted by size class
@@ -43,6 +47,7 @@ prefixes only; ties then stand in the order of their hashes.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +56,12 @@ from pyspark.sql import functions as F
 
 from rosterlens.llm.components import connected_components
 from rosterlens.llm.textnum import MULTIPLIERS, U, Words, blocks, mix, shingle_sets, text_buffers
-from rosterlens.llm.work import carried, keep, lean, lean_group, ship_code
+from rosterlens.llm.work import carried, discard, keep, lean, lean_group, ship_code
 
 BLOCK_BYTES = 1_000_000
 FLUSH_TOKENS = 1_000_000
 BUCKET_TOKENS = 3_000_000
+ROUNDS = 4  # in which the buckets are dealt at most
 STRETCHES = 16  # of a bucket, compared one after the other
 MOST_WEIGHT = 65_535
 LIST_ROWS = 4096  # sets of an index list that one task walks
@@ -88,15 +94,15 @@ def _measure(size: int):
     return run
 
 
-def _deal(size: int, bits: int):
-    """Shingles of the distinct sets of a task, dealt to buckets by their top bits."""
+def _deal(size: int, bits: int, rounds: int = 1, number: int = 0):
+    """Shingles of the distinct sets of a task, dealt to buckets by their top
+    bits: in round ``number`` of ``rounds`` those whose bucket has that remainder."""
     names = ["bucket", "sids", "ns", "counts", "hashes"]
 
-    def flush(sids, sets):
+    def flush(sids, sizes, sets):
         h = np.concatenate(sets)
-        n = np.array([len(s) for s in sets])
-        ids = np.array(sids, np.int64)
-        owner = np.repeat(np.arange(len(sets)), n)
+        n, ids = np.array(sizes), np.array(sids, np.int64)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         bucket = (h >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
         order = np.argsort(bucket, kind="stable")
         h, owner, bucket = h[order], owner[order], bucket[order]
@@ -112,20 +118,24 @@ def _deal(size: int, bits: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     def run(batches):
-        seen, sids, sets, held = set(), [], [], 0
+        seen, sids, sizes, sets, held = set(), [], [], [], 0
         for batch in batches:
             for _, s in _sets_of(batch.column(0), size):
                 if not len(s) or (sid := _sid(s)) in seen:
                     continue
                 seen.add(sid)
+                here = s[(s >> U(64 - bits)) % U(rounds) == number] if rounds > 1 else s
+                if not len(here):
+                    continue
                 sids.append(sid)
-                sets.append(s)
-                held += len(s)
+                sizes.append(len(s))
+                sets.append(here)
+                held += len(here)
                 if held >= FLUSH_TOKENS:
-                    yield flush(sids, sets)
-                    sids, sets, held = [], [], 0
+                    yield flush(sids, sizes, sets)
+                    sids, sizes, sets, held = [], [], [], 0
         if sets:
-            yield flush(sids, sets)
+            yield flush(sids, sizes, sets)
     return run
 
 
@@ -360,12 +370,17 @@ def linked_sets(docs: DataFrame, total: int, text_col: str, size: int, percent:
     """Edges (a, b) between set digests whose components are those of all links."""
     bits = max(0, math.ceil(math.log2(max(1, total / BUCKET_TOKENS))))
     parts = 2 ** bits
-    dealt = docs.select(text_col).mapInArrow(lean(_deal(size, bits)),
-                                             "bucket long, sids binary, ns binary, counts binary, hashes binary")
-    back = dealt.groupBy("bucket").applyInArrow(
-        lean_group(_shared(parts)), "part long, sids binary, ns binary, counts binary, hashes binary, weights binary")
-    sets = keep(back.groupBy("part").applyInArrow(
+    # every shingle is dealt once, but only a round's share of them is on disk at a time
+    rounds = min(ROUNDS, parts)
+    back = []
+    for number in range(rounds):
+        dealt = docs.select(text_col).mapInArrow(lean(_deal(size, bits, rounds, number)),
+                                                 "bucket long, sids binary, ns binary, counts binary, hashes binary")
+        back.append(keep(dealt.groupBy("bucket").applyInArrow(
+            lean_group(_shared(parts)), "part long, sids binary, ns binary, counts binary, hashes binary, weights binary"), "shared"))
+    sets = keep(reduce(DataFrame.unionByName, back).groupBy("part").applyInArrow(
         lean_group(_prefixes(percent)), "sid long, n long, v long, prefix array<long>, tokens array<long>"), "sets")
+    discard(*back)
     entries = sets.select("sid", "n", "v", F.posexplode("prefix").alias("i", "h")).withColumn("pos", F.expr("n - v + i"))
     entries = entries.withColumn("rank", F.struct(((F.col("n") - F.col("v")) * 1000 / F.col("n")).cast("long"), "sid"))
     heads = entries.groupBy("h").agg(F.min("rank").alias("best"), F.count("*").alias("many"))
@@ -426,16 +441,24 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     equal in both, any. Ids may repeat: rows of one id in two components are two
     rows. Rows without words stay. All columns are kept."""
     table = keep(set_table(docs, id_col, text_col, size), "measures")
-    rank = F.struct(F.col("doc").isNull().alias("none"), "doc", "hash")
-    low = table.where("sid is not null").groupBy("sid").agg(F.min(rank).alias("low"))
+    many = table.where("sid is not null").groupBy("sid", "doc", "hash").agg(F.count("*").alias("many"))
+    rank = F.struct(F.col("doc").isNull().alias("none"), "doc", "hash", "many")
+    low = many.groupBy("sid").agg(F.min(rank).alias("low"))
     first = (low.join(_rooted(docs, table, text_col, size, percent), "sid", "left")
              .groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("low").alias("low"))
-             .select(F.col("low.doc").alias("id"), F.col("low.hash").alias("hash"), F.lit(False).alias("all")))
-    stay = table.where("sid is null").select(F.col("doc").alias("id"), "hash", F.lit(True).alias("all")).distinct()
-    picked = first.unionByName(stay)
+             .select(F.col("low.doc").alias("id"), F.col("low.hash").alias("hash"), (F.col("low.many") > 1).alias("repeats")))
+    # a row without words is not compared with others
+    stay = table.where("sid is null").select(F.col("doc").alias("id"), "hash", F.lit(False).alias("repeats")).distinct()
+    picked = keep(first.unionByName(stay), "picked")
+    repeated = keep(picked.where("repeats"), "repeated")
     rows = carried(docs, doc=F.col(id_col).cast("long"), text_hash=F.xxhash64(text_col))
-    rows = rows.join(picked, rows.doc.eqNullSafe(picked.id) & (rows.text_hash == picked.hash))
-    # a row without words is alone in its window
-    rows = rows.withColumn("each", F.when(F.col("all"), F.monotonically_increasing_id()))
-    one = Window.partitionBy("id", "hash", "each").orderBy("hash")
-    return rows.withColumn("rank", F.row_number().over(one)).where("rank = 1").select("row.*")
+
+    def found(those: DataFrame) -> DataFrame:
+        return rows.join(those, rows.doc.eqNullSafe(those.id) & (rows.text_hash == those.hash))
+
+    alone = found(picked.where("not repeats")).select("row")
+    if repeated.isEmpty():
+        return alone.select("row.*")
+    one = Window.partitionBy("id", "hash").orderBy("hash")
+    chosen = found(repeated).withColumn("rank", F.row_number().over(one)).where("rank = 1").select("row")
+    return alone.unionByName(chosen).select("row.*")
