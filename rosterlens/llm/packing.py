@@ -42,7 +42,7 @@ from rosterlens.llm.textnum import blocks, text_buffers
 from rosterlens.llm.tokens import WordIds
 from rosterlens.llm.work import keep, lean, ship_code
 
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 1_000_000  # of texts tokenised at once: their words take many times as much
 RANK_ROWS = 20_000  # rows of one length ranked together, on average
 ROUNDS = 4  # configurations generated for each size, at most
 GAIN = 1e-3  # of a sequence: a configuration that saves less ends the search
