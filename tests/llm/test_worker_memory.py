@@ -5,9 +5,11 @@ import pickle
 import random
 import subprocess
 import sys
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from tokenizers import Tokenizer
@@ -96,6 +98,20 @@ def test_a_worker_keeps_the_ids_of_many_words_in_little_memory():
     assert int(done.stdout) < 70
 
 
+def test_an_index_of_repeats_takes_bounded_memory():
+    rng = random.Random(5)
+    syllables = ["the", "er", "in", "ing", "and", "th", " ", ". "]
+    rows = [(k, k, 0, 501, "".join(rng.choices(syllables, k=400))[:700].encode()) for k in range(2_500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "rid", "start", "count", "content"])
+    tracemalloc.start()
+    try:
+        for _ in repeat_index._index(200)([batch]):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 90 << 20
+    finally:
+        tracemalloc.stop()
+
+
 @pytest.mark.parametrize("most", [4, 50, 400_000])
 def test_ids_do_not_depend_on_what_is_kept(most):
     path = public_tokenizers.path(queries.WORD_VOCABULARY)
